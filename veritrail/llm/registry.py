@@ -6,10 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from .bpe import op7_byte_bpe
 from .simhash import op2_simhash
+from .tokens import op3_token_ids
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_simhash": op2_simhash,
+    "op3_token_ids": op3_token_ids,
+    "op7_byte_bpe": op7_byte_bpe,
 }
 
 ORACLE: dict[str, str] = {}
