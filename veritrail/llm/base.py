@@ -74,6 +74,18 @@ class Words(dict):
         return found
 
 
+_KEPT: dict[str, object] = {}
+
+
+def kept(token: str, make: Callable):
+    """What `make` made in this worker for the token, or now makes; a worker keeps the last four."""
+    if token not in _KEPT:
+        while len(_KEPT) >= 4:
+            _KEPT.pop(next(iter(_KEPT)))
+        _KEPT[token] = make()
+    return _KEPT[token]
+
+
 LETTERS = re.compile(r"[^\W\d_]+")
 
 

@@ -7,13 +7,19 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from .bpe import op7_byte_bpe
+from .language import op9_language
+from .quality import op10_quality
 from .simhash import op2_simhash
 from .tokens import op3_token_ids
+from .toxicity import op8_toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_simhash": op2_simhash,
     "op3_token_ids": op3_token_ids,
     "op7_byte_bpe": op7_byte_bpe,
+    "op8_toxicity": op8_toxicity,
+    "op9_language": op9_language,
+    "op10_quality": op10_quality,
 }
 
 ORACLE: dict[str, str] = {}

@@ -16,6 +16,8 @@ from __future__ import annotations
 
 import os
 import zlib
+from itertools import chain
+from unicodedata import is_normalized
 
 import numpy as np
 import pyarrow as pa
@@ -33,7 +35,9 @@ MAGIC = 0x52414E31
 
 def frequencies(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, int]:
     """Symbols, frequencies that add up to 1 << bits, and bits; every symbol that occurs has at least 1."""
-    symbols, counts = np.unique(ids, return_counts=True)
+    counts = np.bincount(ids)
+    symbols = np.nonzero(counts)[0]
+    counts = counts[symbols]
     bits = max(14, int(len(symbols)).bit_length() + 1)
     total = 1 << bits
     freq = np.maximum(1, (counts * (total / counts.sum())).astype(np.int64))
@@ -50,33 +54,35 @@ def frequencies(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, int]:
 
 
 def encode(ids: np.ndarray, doc_ids: np.ndarray, null: np.ndarray, counts: np.ndarray) -> bytes:
-    """A shard of these ids; counts: how many of them belong to each document."""
+    """A shard of these ids; counts: how many of them belong to each document.
+
+    All blocks go through their steps side by side, from their last ids to their first. What a step pushes out is kept
+    in its lane's place; the words of a block are those places in reading order. The last block is padded to a full step with its last id."""
     symbols, freq, bits = frequencies(ids)
-    start = np.concatenate(([0], np.cumsum(freq)[:-1])).astype(np.uint64)
-    blocks = -(-len(ids) // BLOCK)
-    at = np.zeros(blocks * BLOCK, np.int64)
-    at[: len(ids)] = np.searchsorted(symbols, ids)
-    at = at.reshape(blocks, BLOCK // LANES, LANES)
+    blocks, steps = -(-len(ids) // BLOCK), BLOCK // LANES
     sizes = np.full(blocks, BLOCK)
     sizes[-1] = len(ids) - (blocks - 1) * BLOCK
-    state = np.full((blocks, LANES), LOW)
-    words = np.zeros((blocks, BLOCK + LANES), np.uint32)
-    free = np.full(blocks, BLOCK + LANES)
-    f64, m = freq.astype(np.uint64), np.uint64(bits)
-    lane = np.arange(LANES)
-    for t in range(BLOCK // LANES - 1, -1, -1):
-        here = (t * LANES + lane) < sizes[:, None]
-        f = f64[at[:, t]]
-        push = here & (state >= (f << (np.uint64(63) - m)))
-        if push.any():
-            rank = np.cumsum(push[:, ::-1], axis=1)[:, ::-1]
-            b, k = np.nonzero(push)
-            words[b, free[b] - rank[b, k]] = (state[b, k] & np.uint64(0xFFFFFFFF)).astype(np.uint32)
-            free -= rank[:, 0]
-            state = np.where(push, state >> np.uint64(32), state)
-        q = state // f
-        state = np.where(here, (q << m) + (state - q * f) + start[at[:, t]], state)
-    used = [words[b, free[b] :] for b in range(blocks)]
+    last = -(-int(sizes[-1]) // LANES)  # steps of the last block
+    padded = np.full(blocks * BLOCK, ids[-1])
+    padded[: len(ids)] = ids
+    by_step = padded.reshape(blocks, steps, LANES).transpose(1, 0, 2).reshape(steps, blocks * LANES)
+    width, first = np.zeros(int(symbols[-1]) + 1, np.uint64), np.zeros(int(symbols[-1]) + 1, np.uint64)
+    width[symbols] = freq
+    first[symbols] = np.cumsum(freq.astype(np.uint64)) - freq
+    m, room, five, half = np.uint64(bits), np.uint64(63 - bits), np.uint64(5), (blocks - 1) * LANES
+    state = np.full(blocks * LANES, LOW)
+    low, pushed = np.zeros((steps, blocks * LANES), np.uint32), np.zeros((steps, blocks * LANES), bool)
+    for t in range((steps if blocks > 1 else last) - 1, -1, -1):
+        part = slice(0, half if t >= last else None)
+        now, s = by_step[t, part], state[part]
+        f = width[now]
+        push = s >= (f << room)
+        low[t, part], pushed[t, part] = s, push
+        s = s >> (push.astype(np.uint64) << five)
+        q = s // f
+        state[part] = (q << m) + (s - q * f) + first[now]
+    low, pushed = (x.reshape(steps, blocks, LANES).transpose(1, 0, 2) for x in (low, pushed))
+    used = [low[b][pushed[b]] for b in range(blocks)]
     offset = np.concatenate(([0], np.cumsum([len(w) for w in used]))).astype("<u8")
     sums = np.array([[zlib.crc32(w.tobytes()), zlib.crc32(np.ascontiguousarray(ids[b * BLOCK : (b + 1) * BLOCK], "<u4").tobytes())] for b, w in enumerate(used)], "<u4")
     head = np.array([MAGIC, bits, len(symbols), len(doc_ids), blocks, len(ids)], "<u4")
@@ -110,7 +116,7 @@ def decode(shard: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray
     out = np.zeros((blocks, BLOCK // LANES, LANES), np.uint32)
     at, m, mask, lane = offset[:-1].copy(), np.uint64(bits), np.uint64((1 << bits) - 1), np.arange(LANES)
     for t in range(-(-int(sizes.max()) // LANES)):
-        here = (t * LANES + lane) < sizes[:, None]
+        here = (t * LANES < sizes)[:, None]
         low = state & mask
         s = slots[low.astype(np.int64)]
         out[:, t] = symbols[s]
@@ -128,13 +134,23 @@ def decode(shard: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray
     return ids, doc_ids, null, counts
 
 
+class Pieces(dict):
+    """Numbers for strings, in the order in which they are first asked for."""
+
+    def __missing__(self, piece: str) -> int:
+        n = self[piece] = len(self)
+        return n
+
+
 class Tokenized:
     """Ids of texts by the tokenizers library, which sees each distinct word of a worker once.
 
     The tokenizer's normaliser and splitter act on words between white space separately, so the ids of a text are
-    those of its words one after another."""
+    those of its words one after another. A word that is letters and then punctuation is two pieces to the splitter,
+    so that new pieces go to the library in one line, apart by blanks; the library marks the end of each. Other words go to it one by one."""
 
     BLANKS = str.maketrans("\n\r\t", "   ")
+    TAIL = ".,;:!?%&#$*|"
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -142,37 +158,85 @@ class Tokenized:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
+        vocabulary = self.tokenizer.get_vocab()
+        self.closes = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.closes[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
         self.start()
 
     def start(self) -> None:
-        self.known: dict[str, int] = {}
-        self.lengths, self.flat, self.offsets = np.zeros(0, np.int64), np.zeros(0, np.uint32), np.zeros(1, np.int64)
+        self.known: dict[str, int] = {}  # word -> its number; each word is one or two pieces
+        self.first, self.second = np.zeros(0, np.int32), np.zeros(0, np.int32)
+        self.pieces = Pieces()
+        self.pieces[""]
+        self.lengths, self.offsets, self.flat = np.zeros(1, np.int64), np.zeros(1, np.int64), np.zeros(0, np.uint32)
+
+    def alone(self, pieces: list[str]) -> list[np.ndarray]:
+        return [np.array(x.ids, np.uint32) for x in self.tokenizer.encode_batch(pieces, add_special_tokens=False)]
+
+    def line(self, pieces: list[str]) -> list[np.ndarray]:
+        """Ids of pieces of letters or of punctuation."""
+        out = []
+        for k in range(0, len(pieces), 20_000):
+            part = pieces[k : k + 20_000]
+            ids = np.array(self.tokenizer.encode(" ".join(part), add_special_tokens=False).ids, np.uint32)
+            ends = np.nonzero(self.closes[ids])[0] + 1
+            out += np.split(ids, ends[:-1]) if len(ends) == len(part) else self.alone(part)
+        return out
+
+    def learn(self, words: list[str]) -> None:
+        rows = []
+        for w in words:
+            core = w.rstrip(self.TAIL)
+            if (core.isalpha() or not core) and (w.isascii() or (is_normalized("NFC", w) and "\u03a3" not in w and "\u0130" not in w)):
+                rows.append((core.lower(), w[len(core) :]))
+            else:
+                rows.append(("\0" + w, ""))
+        before = len(self.pieces)
+        first = np.fromiter(map(self.pieces.__getitem__, [a for a, _ in rows]), np.int32, len(rows))
+        second = np.fromiter(map(self.pieces.__getitem__, [b for _, b in rows]), np.int32, len(rows))
+        new = list(self.pieces)[before:]
+        plain = [p for p in new if p[0] != "\0"]
+        got = iter(self.line(plain))
+        strange = iter(self.alone([p[1:] for p in new if p[0] == "\0"]))
+        ids = [next(strange) if p[0] == "\0" else next(got) for p in new]
+        if ids:
+            self.flat = np.concatenate((self.flat, *ids))
+            self.lengths = np.concatenate((self.lengths, np.fromiter(map(len, ids), np.int64, len(ids))))
+            self.offsets = np.cumsum(self.lengths) - self.lengths
+        self.known.update(zip(words, range(len(self.known), len(self.known) + len(words)), strict=True))
+        self.first, self.second = np.concatenate((self.first, first)), np.concatenate((self.second, second))
 
     def __call__(self, texts: list[str], end: int) -> tuple[np.ndarray, np.ndarray]:
         """All ids, each text's followed by the end id, and the number of ids of each text."""
         if len(self.known) > CACHE_WORDS:
             self.start()
-        split, known = [t.translate(self.BLANKS).split(" ") if t.find("\t") >= 0 or t.find("\r") >= 0 else t.replace("\n", " ").split(" ") for t in texts], self.known
-        new = list(set().union(*split).difference(known))
+        split = [(t.translate(self.BLANKS) if "\t" in t or "\r" in t else t.replace("\n", " ")).split(" ") for t in texts]
+        new = list(set().union(*split).difference(self.known))
         if new:
-            got = [x.ids for x in self.tokenizer.encode_batch(new, add_special_tokens=False)]
-            known.update(zip(new, range(len(known), len(known) + len(new)), strict=True))
-            self.lengths = np.concatenate((self.lengths, np.fromiter(map(len, got), np.int64, len(got))))
-            self.flat = np.concatenate((self.flat, np.array([i for x in got for i in x], np.uint32)))
-            self.offsets = np.concatenate(([0], np.cumsum(self.lengths)))
+            self.learn(new)
         n_words = np.fromiter(map(len, split), np.int64, len(split))
-        at = np.concatenate([np.fromiter(map(known.__getitem__, ws), np.int64, len(ws)) for ws in split])
-        n = self.lengths[at]
+        at = np.fromiter(map(self.known.__getitem__, chain.from_iterable(split)), np.int32, int(n_words.sum()))
+        pieces = np.stack((self.first[at], self.second[at]), axis=1).ravel()
+        ends = 2 * np.cumsum(n_words)
+        keep = np.nonzero(pieces)[0]
+        ends, pieces = np.searchsorted(keep, ends), pieces[keep]
+        n = self.lengths[pieces]
         upto = np.concatenate(([0], np.cumsum(n)))
-        ends = upto[np.cumsum(n_words)]
-        counts = np.diff(ends, prepend=0)
-        place = np.repeat(self.offsets[at] - upto[:-1], n) + np.arange(upto[-1])
-        return np.insert(self.flat[place], ends, np.uint32(end)), counts + 1
+        place = np.arange(upto[-1]) + np.repeat(self.offsets[pieces] - upto[:-1], n)
+        ends = upto[ends]
+        return np.insert(self.flat[place], ends, np.uint32(end)), np.diff(ends, prepend=0) + 1
 
 
 _TOKENIZED: dict[str, Tokenized] = {}
 
 
+def tokenized(path: str) -> Tokenized:
+    """A worker's tokenizer with what it has met so far."""
+    if path not in _TOKENIZED:
+        _TOKENIZED[path] = Tokenized(path)
+    return _TOKENIZED[path]
+
+
 def write(docs: DataFrame, path: str, end: int) -> DataFrame:
     """Tokenizes the texts and writes shards (part, seq, n_ids, shard) in ascending doc_id order; returns what was written."""
     from .bpe import groups
@@ -187,7 +251,7 @@ def write(docs: DataFrame, path: str, end: int) -> DataFrame:
     rows = rows.sortWithinPartitions(F.asc_nulls_first("doc_id"), F.xxhash64("text"))
 
     def shards(batches):
-        tok = _TOKENIZED.get(path) or _TOKENIZED.setdefault(path, Tokenized(path))
+        tok = tokenized(path)
         held, size, seq, part = [], 0, 0, 0
 
         def close():
