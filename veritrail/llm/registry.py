@@ -7,7 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from .bpe import op7_byte_bpe
+from .hnsw import op4_hnsw
 from .language import op9_language
+from .media import op5_gif_media
+from .mixing import op6_mixing
 from .quality import op10_quality
 from .simhash import op2_simhash
 from .tokens import op3_token_ids
@@ -16,6 +19,9 @@ from .toxicity import op8_toxicity
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_simhash": op2_simhash,
     "op3_token_ids": op3_token_ids,
+    "op4_hnsw": op4_hnsw,
+    "op5_gif_media": op5_gif_media,
+    "op6_mixing": op6_mixing,
     "op7_byte_bpe": op7_byte_bpe,
     "op8_toxicity": op8_toxicity,
     "op9_language": op9_language,
