@@ -270,18 +270,22 @@ def decoded(tokens: DataFrame, path: str, pattern: str) -> DataFrame:
     return tokens.select("doc_id", of(F.col("ids")).alias("bytes"))
 
 
-def digests(docs: DataFrame, path: str, pattern: str) -> DataFrame:
-    """(doc_id, n_tokens, ids_sha256, decoded_sha256): every text encoded, and its ids decoded again."""
+def digests(docs: DataFrame, path: str, pattern: str, keep: tuple[str, ...] = (), ids: bool = False) -> DataFrame:
+    """(doc_id, n_tokens, ids_sha256, decoded_sha256): every text encoded, and its ids decoded again.
 
-    @F.pandas_udf("n_tokens long, ids_sha256 string, decoded_sha256 string")
+    keep: columns of docs that come along; ids: whether the ids do."""
+    kinds = "ids array<int>, " * ids + "n_tokens long, ids_sha256 string, decoded_sha256 string"
+
+    @F.pandas_udf(kinds)
     def of(texts: pd.Series) -> pd.DataFrame:
         e, out = encoder(path, pattern), []
         for part in groups([t or "" for t in texts]):
-            for ids in e(part):
-                out.append((len(ids), hashlib.sha256(ids.astype("<u4").tobytes()).hexdigest(), hashlib.sha256(e.decode(ids)).hexdigest()))
-        return pd.DataFrame(out, columns=["n_tokens", "ids_sha256", "decoded_sha256"])
+            for found in e(part):
+                row = (len(found), hashlib.sha256(found.astype("<u4").tobytes()).hexdigest(), hashlib.sha256(e.decode(found)).hexdigest())
+                out.append((found.astype(np.int32), *row) if ids else row)
+        return pd.DataFrame(out, columns=[k.split()[0] for k in kinds.split(", ")])
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), of(F.col("text")).alias("d")).select("doc_id", "d.*")
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), *[F.col(f"`{c}`") for c in keep], of(F.col("text")).alias("d")).select("doc_id", *[f"`{c}`" for c in keep], "d.*")
 
 
 def op7_byte_bpe(spark, sf_dir: str) -> DataFrame:

@@ -15,8 +15,10 @@ from .quality import op10_quality
 from .simhash import op2_simhash
 from .tokens import op3_token_ids
 from .toxicity import op8_toxicity
+from .urls import op1_urls
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_urls": op1_urls,
     "op2_simhash": op2_simhash,
     "op3_token_ids": op3_token_ids,
     "op4_hnsw": op4_hnsw,
