@@ -19,15 +19,15 @@ from __future__ import annotations
 
 import uuid
 from collections import Counter
+from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .base import CACHE_WORDS, LETTERS, cut, in_fold, kept
+from .base import CACHE_WORDS, cut, in_fold, kept
 
 SLOT_BITS, HASHES = 19, 4
 GRAMS = (1, 2, 3, 4)
@@ -37,10 +37,43 @@ MAX_LANGUAGES = 512
 PARTS, HELD_OUT = 4, 2
 
 
-def grams(word: str) -> list[int]:
-    """Hashes of the n-grams of a lower-case word."""
-    edged, h = f"^{word}$", xxhash.xxh64_intdigest
-    return [h(edged[i : i + n].encode("utf-8", "surrogatepass")) for n in GRAMS for i in range(len(edged) - n + 1)]
+_IS_LETTER: dict[int, bool] = {}
+
+
+def grams(chunks: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """For each length of n-gram the hashes of those of all chunks, lower-cased, and the numbers of the chunks that they are in.
+
+    Words are the chunks' runs of letters, with an edge before and after."""
+    code = np.frombuffer(" ".join(chunks).lower().encode("utf-32-le", "surrogatepass"), np.uint32)
+    distinct, at = np.unique(code, return_inverse=True)
+    letter = np.array([_IS_LETTER.setdefault(c, chr(c).isalpha()) for c in distinct.tolist()], bool)[at]
+    chunk = np.cumsum(code == 32)
+    edge = np.diff(np.concatenate(([False], letter, [False])).astype(np.int8))
+    begin, end = np.nonzero(edge == 1)[0], np.nonzero(edge == -1)[0]
+    if not len(begin):
+        return
+    # words one after another, each as edge, letters, edge
+    size = end - begin + 2
+    word = np.repeat(np.arange(len(begin)), size)
+    first = np.cumsum(size) - size
+    inner = np.ones(len(word), bool)
+    inner[first] = inner[first + size - 1] = False
+    codes = np.full(len(word), 94, np.uint64)
+    codes[first + size - 1] = 36
+    codes[inner] = code[letter]
+    of = chunk[begin][word]
+    h = np.zeros(len(codes), np.uint64)
+    for n in range(1, max(GRAMS) + 1):
+        last = len(codes) - n + 1
+        if last <= 0:
+            return
+        h = h[:last] * np.uint64(0x9E3779B97F4A7C15) + codes[n - 1 :] + np.uint64(n)
+        if n in GRAMS:
+            whole = word[:last] == word[n - 1 :]
+            z = h[whole]
+            z = (z ^ (z >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+            z = (z ^ (z >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+            yield z ^ (z >> np.uint64(31)), of[:last][whole]
 
 
 def places(hashes: np.ndarray) -> np.ndarray:
@@ -80,14 +113,13 @@ def train(docs: DataFrame) -> Filter:
         for b in batches:
             words: dict[str, Counter] = {}
             for lang, text in zip(b.column("k_lang").to_pylist(), b.column("text").to_pylist(), strict=True):
-                words.setdefault(lang, Counter()).update(LETTERS.findall((text or "").lower()))
+                words.setdefault(lang, Counter()).update((text or "").split())
             for lang, own in words.items():
-                total = Counter()
-                for w, n in own.items():
-                    for g in grams(w):
-                        total[g] += n
-                keys = np.fromiter(total.keys(), np.uint64, len(total)).view(np.int64)
-                yield pa.RecordBatch.from_arrays([pa.array([lang] * len(keys), pa.string()), pa.array(keys), pa.array(np.fromiter(total.values(), np.int64, len(total)))], names=["lang", "gram", "n"])
+                times = np.fromiter(own.values(), np.int64, len(own))
+                for hashes, of in grams(list(own)):
+                    keys, at = np.unique(hashes, return_inverse=True)
+                    counts = np.bincount(at, times[of], len(keys)).astype(np.int64)
+                    yield pa.RecordBatch.from_arrays([pa.array([lang] * len(keys), pa.string()), pa.array(keys.view(np.int64)), pa.array(counts)], names=["lang", "gram", "n"])
 
     counts = rows.mapInArrow(count, "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
     counts = cut(counts)
@@ -117,14 +149,13 @@ class Counts:
         counted = [Counter(t.split()) for t in texts]
         new = list(set().union(*counted).difference(self.known))
         if new:
-            hashes = [[g for w in LETTERS.findall(c.lower()) for g in grams(w)] for c in new]
-            n = np.fromiter(map(len, hashes), np.int64, len(new))
-            flat = np.array([g for h in hashes for g in h], np.uint64)
             rows = np.zeros((len(new), self.rows.shape[1]), np.int32)
-            rows[:, 0] = n
-            if len(flat):
-                some = n > 0
-                rows[some, 1:] = np.add.reduceat(self.model.hits(flat).astype(np.int32), (np.cumsum(n) - n)[some], axis=0)
+            for hashes, of in grams(new):
+                rows[:, 0] += np.bincount(of, minlength=len(new)).astype(np.int32)
+                for k in range(0, len(hashes), 1 << 18):
+                    part, hits = of[k : k + (1 << 18)], self.model.hits(hashes[k : k + (1 << 18)])
+                    first = np.concatenate(([0], np.nonzero(np.diff(part))[0] + 1))
+                    rows[part[first], 1:] += np.add.reduceat(hits.astype(np.int32), first, axis=0)
             self.known.update(zip(new, range(len(self.rows), len(self.rows) + len(new)), strict=True))
             self.rows = np.concatenate((self.rows, rows))
         out = np.zeros((len(texts), self.rows.shape[1]), np.int64)
