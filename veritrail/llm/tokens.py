@@ -16,19 +16,22 @@ from __future__ import annotations
 
 import os
 import zlib
-from itertools import chain
+from itertools import chain, islice
 from unicodedata import is_normalized
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .base import CACHE_WORDS, stored
+from .base import stored
 
 SHARD = 1 << 21
 BLOCK = 1 << 15
 LANES = 32
+#: Words that a worker remembers before it starts anew.
+KNOWN = 900_000
 LOW = np.uint64(1 << 31)
 MAGIC = 0x52414E31
 
@@ -145,12 +148,18 @@ class Pieces(dict):
 class Tokenized:
     """Ids of texts by the tokenizers library, which sees each distinct word of a worker once.
 
-    The tokenizer's normaliser and splitter act on words between white space separately, so the ids of a text are
-    those of its words one after another. A word that is letters and then punctuation is two pieces to the splitter,
-    so that new pieces go to the library in one line, apart by blanks; the library marks the end of each. Other words go to it one by one."""
+    The tokenizer's normaliser and splitter act on words between white space separately, and to the splitter letters
+    and the punctuation after them are two pieces. So the ids of a text are those of its pieces one after another. A batch
+    is lower-cased in ASCII and cut at blanks, and before a stop or comma between an ASCII letter and a blank, as one array of bytes.
+    New pieces of letters or of punctuation go to the library in one line, apart by blanks, and its word ends part their ids again;
+    what is neither goes to it one by one."""
 
-    BLANKS = str.maketrans("\n\r\t", "   ")
     TAIL = ".,;:!?%&#$*|"
+    FOLD = np.arange(256, dtype=np.uint8)
+    FOLD[65:91] += 32
+    FOLD[[9, 10, 13]] = 32
+    ASCII_LETTER = np.zeros(256, bool)
+    ASCII_LETTER[97:123] = True
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -164,62 +173,83 @@ class Tokenized:
         self.start()
 
     def start(self) -> None:
-        self.known: dict[str, int] = {}  # word -> its number; each word is one or two pieces
+        self.known: dict[bytes, int] = {}  # word -> its number; each word is one or two pieces
         self.first, self.second = np.zeros(0, np.int32), np.zeros(0, np.int32)
         self.pieces = Pieces()
         self.pieces[""]
         self.lengths, self.offsets, self.flat = np.zeros(1, np.int64), np.zeros(1, np.int64), np.zeros(0, np.uint32)
 
-    def alone(self, pieces: list[str]) -> list[np.ndarray]:
-        return [np.array(x.ids, np.uint32) for x in self.tokenizer.encode_batch(pieces, add_special_tokens=False)]
+    def alone(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all pieces, and how many each has."""
+        ids = [x.ids for x in self.tokenizer.encode_batch(pieces, add_special_tokens=False)]
+        return np.fromiter(chain.from_iterable(ids), np.uint32), np.fromiter(map(len, ids), np.int64, len(ids))
 
-    def line(self, pieces: list[str]) -> list[np.ndarray]:
-        """Ids of pieces of letters or of punctuation."""
-        out = []
+    def line(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The same for pieces of letters or of punctuation."""
+        out = [(np.zeros(0, np.uint32), np.zeros(0, np.int64))]
         for k in range(0, len(pieces), 20_000):
             part = pieces[k : k + 20_000]
-            ids = np.array(self.tokenizer.encode(" ".join(part), add_special_tokens=False).ids, np.uint32)
+            ids = np.array(self.tokenizer.encode_batch_fast([" ".join(part)], add_special_tokens=False)[0].ids, np.uint32)
             ends = np.nonzero(self.closes[ids])[0] + 1
-            out += np.split(ids, ends[:-1]) if len(ends) == len(part) else self.alone(part)
-        return out
+            out.append((ids, np.diff(ends, prepend=0)) if len(ends) == len(part) else self.alone(part))
+        return tuple(np.concatenate(x) for x in zip(*out, strict=True))
 
-    def learn(self, words: list[str]) -> None:
-        rows = []
+    def learn(self, words: list[bytes]) -> None:
+        cores, tails = [], []
         for w in words:
+            w = w.decode("utf-8", "replace")
+            if w.isalpha() and w.isascii():
+                cores.append(w)
+                tails.append("")
+                continue
             core = w.rstrip(self.TAIL)
             if (core.isalpha() or not core) and (w.isascii() or (is_normalized("NFC", w) and "\u03a3" not in w and "\u0130" not in w)):
-                rows.append((core.lower(), w[len(core) :]))
+                cores.append(core.lower())
+                tails.append(w[len(core) :])
             else:
-                rows.append(("\0" + w, ""))
+                cores.append("\0" + w)
+                tails.append("")
         before = len(self.pieces)
-        first = np.fromiter(map(self.pieces.__getitem__, [a for a, _ in rows]), np.int32, len(rows))
-        second = np.fromiter(map(self.pieces.__getitem__, [b for _, b in rows]), np.int32, len(rows))
-        new = list(self.pieces)[before:]
-        plain = [p for p in new if p[0] != "\0"]
-        got = iter(self.line(plain))
-        strange = iter(self.alone([p[1:] for p in new if p[0] == "\0"]))
-        ids = [next(strange) if p[0] == "\0" else next(got) for p in new]
-        if ids:
-            self.flat = np.concatenate((self.flat, *ids))
-            self.lengths = np.concatenate((self.lengths, np.fromiter(map(len, ids), np.int64, len(ids))))
-            self.offsets = np.cumsum(self.lengths) - self.lengths
+        first = np.fromiter(map(self.pieces.__getitem__, cores), np.int32, len(cores))
+        second = np.fromiter(map(self.pieces.__getitem__, tails), np.int32, len(tails))
+        new = list(islice(self.pieces, before, None))
+        odd = np.fromiter((p[0] == "\0" for p in new), bool, len(new))
+        lengths, offsets = np.zeros(len(new), np.int64), np.zeros(len(new), np.int64)
+        for mine, (ids, n) in ((~odd, self.line([p for p in new if p[0] != "\0"])), (odd, self.alone([p[1:] for p in new if p[0] == "\0"]))):
+            lengths[mine], offsets[mine] = n, len(self.flat) + np.cumsum(n) - n
+            self.flat = np.concatenate((self.flat, ids))
+        self.lengths, self.offsets = np.concatenate((self.lengths, lengths)), np.concatenate((self.offsets, offsets))
         self.known.update(zip(words, range(len(self.known), len(self.known) + len(words)), strict=True))
         self.first, self.second = np.concatenate((self.first, first)), np.concatenate((self.second, second))
 
-    def __call__(self, texts: list[str], end: int) -> tuple[np.ndarray, np.ndarray]:
-        """All ids, each text's followed by the end id, and the number of ids of each text."""
-        if len(self.known) > CACHE_WORDS:
+    def words(self, texts: pa.Array) -> tuple[list[bytes], np.ndarray]:
+        """The words of all texts, and the number of those up to the end of each text."""
+        offsets = np.frombuffer(texts.buffers()[1], np.int32 if texts.type == pa.string() else np.int64)[texts.offset : texts.offset + len(texts) + 1].astype(np.int64)
+        data = np.frombuffer(texts.buffers()[2] or b"", np.uint8)[offsets[0] : offsets[-1]]
+        data, ends = self.FOLD[data], offsets[1:] - offsets[0]
+        mark = np.zeros(len(data), bool)
+        if len(data) > 2:
+            mark[1:-1] = ((data[1:-1] == 44) | (data[1:-1] == 46)) & self.ASCII_LETTER[data[:-2]] & (data[2:] == 32)
+        at = np.concatenate((np.nonzero(mark)[0], ends))
+        order = np.argsort(at, kind="stable")
+        place = np.empty(len(at), np.int64)
+        place[order] = at[order] + np.arange(len(at))
+        data = np.insert(data, at, np.uint8(32))
+        blanks = np.nonzero(data == 32)[0]
+        return data.tobytes().split(b" "), np.searchsorted(blanks, place[len(at) - len(ends) :]) + 1
+
+    def __call__(self, texts: pa.Array, end: int) -> tuple[np.ndarray, np.ndarray]:
+        """All ids, each text's followed by the end id, and the number of ids of each text; texts has no nulls."""
+        if len(self.known) > KNOWN:
             self.start()
-        split = [(t.translate(self.BLANKS) if "\t" in t or "\r" in t else t.replace("\n", " ")).split(" ") for t in texts]
-        new = list(set().union(*split).difference(self.known))
+        words, upto = self.words(texts)
+        new = list(set(words).difference(self.known))
         if new:
             self.learn(new)
-        n_words = np.fromiter(map(len, split), np.int64, len(split))
-        at = np.fromiter(map(self.known.__getitem__, chain.from_iterable(split)), np.int32, int(n_words.sum()))
+        at = np.fromiter(map(self.known.__getitem__, words), np.int32, len(words))
         pieces = np.stack((self.first[at], self.second[at]), axis=1).ravel()
-        ends = 2 * np.cumsum(n_words)
         keep = np.nonzero(pieces)[0]
-        ends, pieces = np.searchsorted(keep, ends), pieces[keep]
+        ends, pieces = np.searchsorted(keep, 2 * upto), pieces[keep]
         n = self.lengths[pieces]
         upto = np.concatenate(([0], np.cumsum(n)))
         place = np.arange(upto[-1]) + np.repeat(self.offsets[pieces] - upto[:-1], n)
@@ -237,10 +267,18 @@ def tokenized(path: str) -> Tokenized:
     return _TOKENIZED[path]
 
 
+def runs(texts: pa.Array, most: int = 4 << 20):
+    """The texts in runs of some bytes."""
+    sizes = np.cumsum(pc.binary_length(texts).to_numpy(zero_copy_only=False).astype(np.int64))
+    k = 0
+    while k < len(texts):
+        e = max(k + 1, int(np.searchsorted(sizes, (sizes[k - 1] if k else 0) + most, "right")))
+        yield texts.slice(k, e - k)
+        k = e
+
+
 def write(docs: DataFrame, path: str, end: int) -> DataFrame:
     """Tokenizes the texts and writes shards (part, seq, n_ids, shard) in ascending doc_id order; returns what was written."""
-    from .bpe import groups
-
     spark = docs.sparkSession
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
@@ -264,7 +302,7 @@ def write(docs: DataFrame, path: str, end: int) -> DataFrame:
             part, done = b.column("part")[0].as_py(), 0
             null = b.column("doc_id").is_null().to_numpy(zero_copy_only=False)
             docs = b.column("doc_id").fill_null(0).to_numpy(zero_copy_only=False)
-            for texts in groups(b.column("text").to_pylist()):
+            for texts in runs(b.column("text")):
                 ids, counts = tok(texts, end)
                 held.append((ids, docs[done : done + len(texts)], null[done : done + len(texts)], counts))
                 done += len(texts)
