@@ -128,4 +128,4 @@ def references(spark: SparkSession) -> dict[str, DataFrame]:
 def bronze(spark: SparkSession, units: int, as_of: date, **options) -> dict[str, DataFrame]:
     """Extracts with re-sent rows, and the reference tables."""
     flat = extracts(world(spark, units, **options), as_of)
-    return {name: resent(df, KEYS[name]) for name, df in flat.items()} | references(spark)
+    return {name: df if name == "cbs_accounts" else resent(df, KEYS[name]) for name, df in flat.items()} | references(spark)
