@@ -200,7 +200,8 @@ def pieces(rows: DataFrame, mix: DataFrame) -> DataFrame:
     # the trimmed slot is the one whose words are fewer than the block's
     uses = mix.groupBy("k", "block").agg(F.max("words").alias("most"), F.min("words").alias("least"), F.count("*").alias("n"), F.sum("words").alias("all"))
     uses = uses.select(F.col("k").alias("u_k"), F.col("block").alias("u_block"), "most", "least", "n", "all")
-    out = spans.join(uses, (F.col("k") == F.col("u_k")) & (F.col("block") == F.col("u_block")))
+    # the planner takes the slots for as few as the shards they are made from, and would broadcast them
+    out = spans.join(uses.hint("merge"), (F.col("k") == F.col("u_k")) & (F.col("block") == F.col("u_block")))
     end = F.col("block") * BLOCK - F.col("start")
     trimmed = F.col("least") < F.least(F.lit(BLOCK), F.col("k_size") - F.col("block") * BLOCK)
     times = F.when(trimmed, F.col("n") - 1).otherwise(F.col("n"))
