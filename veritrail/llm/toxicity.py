@@ -29,7 +29,7 @@ from .base import LETTERS, Words, in_fold, kept, sampled_labels, stored
 
 HASH_BITS = 20
 MAX_ROWS = 12_000
-MAX_TERMS = 12_000_000
+MAX_TERMS = 4_000_000
 FACTORS = 4
 #: Lengths of the beginnings of words that are terms too: insults inflect.
 STEMS = (4, 5, 6, 7, 8)
@@ -69,10 +69,15 @@ def fit(rows: list[np.ndarray], y: np.ndarray, factors: int = FACTORS, z: float
     if n < 2 or y.min() == y.max():
         return none
     lengths = np.fromiter(map(len, rows), np.int64, n)
-    row = np.repeat(np.arange(n), lengths)
-    terms, at, df = np.unique(np.concatenate(rows), return_inverse=True, return_counts=True)
+    row = np.repeat(np.arange(n, dtype=np.int32), lengths)
+    at = np.concatenate(rows).astype(np.int32)
+    df = np.bincount(at)  # by bucket, of which there are few enough
+    terms = np.nonzero(df)[0]
+    number = np.zeros(len(df), np.int32)
+    number[terms] = np.arange(len(terms), dtype=np.int32)
+    at, df = number[at], df[terms]
     mean = y.mean()
-    apart = np.abs(np.bincount(at, y[row] - mean, len(terms))) / np.sqrt(df * mean * (1 - mean))
+    apart = np.abs(np.bincount(at, (y - mean)[row], len(terms))) / np.sqrt(df * mean * (1 - mean))
     strong = (df >= 2) & (apart >= z)
     keep = strong | (df >= max(30, n / PAIR_SHARE))
     if not keep.any():
@@ -85,6 +90,8 @@ def fit(rows: list[np.ndarray], y: np.ndarray, factors: int = FACTORS, z: float
     w, v = np.zeros(m), rng.normal(0, 0.01, (m, factors))
     gw, gv, gb = np.full(m, 1e-8), np.full((m, factors), 1e-8), 1e-8
     batch = min(256, max(32, n // 16))
+    # the rarer label counts for more, up to the square root of the ratio of both
+    weight = np.where(y == (mean < 0.5), np.sqrt(max(mean, 1 - mean) / min(mean, 1 - mean)), 1.0)
     for _ in range(max(20, -(-1200 * batch // n))):
         order = rng.permutation(n)
         for k in range(0, n, batch):
@@ -95,7 +102,7 @@ def fit(rows: list[np.ndarray], y: np.ndarray, factors: int = FACTORS, z: float
             sums = np.stack([np.bincount(r, v[t, f], len(pick)) for f in range(factors)], axis=1)
             squares = np.bincount(r, (v**2).sum(1)[t], len(pick))
             p = bias + np.bincount(r, w[t], len(pick)) + 0.5 * ((sums**2).sum(1) - squares)
-            g = (1 / (1 + np.exp(-np.clip(p, -30, 30))) - y[pick]) / len(pick)
+            g = weight[pick] * (1 / (1 + np.exp(-np.clip(p, -30, 30))) - y[pick]) / len(pick)
             dw = (np.bincount(t, g[r], m) + L2 * w) * strong
             dv = np.stack([np.bincount(t, (g[:, None] * sums)[r, f], m) for f in range(factors)], axis=1) - v * np.bincount(t, g[r], m)[:, None] + L2_PAIR * v
             gw, gv, gb = gw + dw**2, gv + dv**2, gb + g.sum() ** 2
