@@ -250,11 +250,11 @@ def one_of_each(docs: DataFrame, words: int = 5, bits: int = 4, parts: int = 3)
 
     Rows without an id are kept. Of rows that repeat an id, one stays."""
     found = near_duplicates(docs.select("doc_id", "text"), words, bits, parts)
-    ids = found.where("doc_id is not null").groupBy(F.col("doc_id").alias("kept_id")).agg(F.min("component_id").alias("c"), F.count("*").alias("copies"))
-    ids = cut(ids.where("kept_id = c").select("kept_id", "copies"))
-    rows = docs.where("doc_id is not null").join(ids, docs["doc_id"].cast("long") == ids["kept_id"])
-    single = rows.where("copies = 1").select(*[docs[c] for c in docs.columns])
-    again = rows.where("copies > 1").select(*[docs[c] for c in docs.columns]).dropDuplicates(["doc_id"])
+    ids = found.where("doc_id is not null").groupBy(F.col("doc_id").alias("_one_id")).agg(F.min("component_id").alias("_one_c"), F.count("*").alias("_one_n"))
+    ids = cut(ids.where("_one_id = _one_c").select("_one_id", "_one_n"))
+    rows = docs.where("doc_id is not null").join(ids, docs["doc_id"].cast("long") == ids["_one_id"])
+    single = rows.where("_one_n = 1").select(*[docs[c] for c in docs.columns])
+    again = rows.where("_one_n > 1").select(*[docs[c] for c in docs.columns]).dropDuplicates(["doc_id"])
     return single.unionByName(again).unionByName(docs.where("doc_id is null"))
 
 
