@@ -202,10 +202,9 @@ def global_rank_and_sum(spark, sf_dir):
     return relational.numbered(c, [F.desc("c_acctbal"), F.col("c_custkey")], "rank", F.col("c_custkey"), "upto").select("c_custkey", "rank", F.round("upto", 2).alias("upto"))
 
 
-@query("SELECT DISTINCT least(a, b) AS src, greatest(a, b) AS dst FROM (SELECT o_custkey % 50 AS a, o_orderkey % 50 AS b FROM orders) WHERE a <> b")
+@query("SELECT DISTINCT a AS src, b AS dst FROM (SELECT l_suppkey AS a, l_partkey AS b FROM lineitem UNION ALL SELECT l_partkey, l_suppkey FROM lineitem)")
 def symmetric_edges(spark, sf_dir):
-    e = read(spark, sf_dir, "orders").select((F.col("o_custkey") % 50).alias("src"), (F.col("o_orderkey") % 50).alias("dst")).where("src <> dst")
-    return relational.both_ways(e).where("src < dst")
+    return relational.both_ways(read(spark, sf_dir, "lineitem"), "l_suppkey", "l_partkey")
 
 
 # ---------------------------------------------------------------- graph
@@ -253,11 +252,11 @@ def dated_edges(spark, sf_dir):
     return graph.identity_graph(graph.pair_edges(ship_links(spark, sf_dir))[0], ORDERS).groupBy("snapshot_date").agg(F.count("*").alias("edges"))
 
 
-@query(f"""WITH {CAL}, {ACT}, touched AS (SELECT DISTINCT account_id AS cif, counterparty_vpa, txn_date FROM act WHERE counterparty_vpa IS NOT NULL AND account_id % 10 = 0), usable AS (SELECT counterparty_vpa FROM touched GROUP BY 1 HAVING count(DISTINCT cif) BETWEEN 2 AND 25),
+@query(f"""WITH {CAL}, {ACT}, touched AS (SELECT DISTINCT account_id AS cif, counterparty_vpa || '@' || txn_date AS counterparty_vpa, txn_date FROM act WHERE counterparty_vpa IS NOT NULL), usable AS (SELECT counterparty_vpa FROM touched GROUP BY 1 HAVING count(DISTINCT cif) BETWEEN 2 AND 25),
 t AS (SELECT DISTINCT snapshot_date, counterparty_vpa, cif FROM touched JOIN cal ON txn_date <= snapshot_date AND txn_date > snapshot_date - 14 WHERE counterparty_vpa IN (SELECT counterparty_vpa FROM usable))
 SELECT a.snapshot_date, a.cif AS src, b.cif AS dst, count(*) AS weight FROM t a JOIN t b ON a.snapshot_date = b.snapshot_date AND a.counterparty_vpa = b.counterparty_vpa AND a.cif < b.cif GROUP BY 1, 2, 3 HAVING count(*) >= 2""")
 def shared_counterparties(spark, sf_dir):
-    t = activity(spark, sf_dir).where("account_id % 10 = 0").select(F.col("account_id").alias("cif"), "counterparty_vpa", "txn_date", F.lit(None).cast("string").alias("counterparty_account_id"))
+    t = activity(spark, sf_dir).select(F.col("account_id").alias("cif"), F.concat("counterparty_vpa", F.lit("@"), F.col("txn_date").cast("string")).alias("counterparty_vpa"), "txn_date", F.lit(None).cast("string").alias("counterparty_account_id"))
     return graph.counterparty_edges(t, EVENTS, days=14).drop("link_type")
 
 
@@ -280,10 +279,10 @@ def shared_identifiers(spark, sf_dir):
     return graph.shared_identifiers(links, hubs, account, once)[1].select("cif", "cifs_sharing_mobile")
 
 
-@query("""WITH e AS (SELECT o_custkey % 40 AS a, o_orderkey % 40 AS b, CASE WHEN o_orderstatus = 'O' THEN 'DEVICE' ELSE 'TRANSFER' END AS link_type FROM orders WHERE o_custkey % 40 < o_orderkey % 40)
+@query("""WITH e AS (SELECT l_suppkey AS a, l_partkey AS b, CASE WHEN l_returnflag = 'R' THEN 'DEVICE' ELSE 'TRANSFER' END AS link_type FROM lineitem)
 SELECT a AS src, b AS dst, CASE WHEN count(DISTINCT link_type) = 2 THEN 'both' WHEN min(link_type) = 'DEVICE' THEN 'identity' ELSE 'money' END AS kind FROM e WHERE a IN (3, 7) OR b IN (3, 7) GROUP BY 1, 2""")
 def ego_graph(spark, sf_dir):
-    e = read(spark, sf_dir, "orders").select((F.col("o_custkey") % 40).alias("src_cif"), (F.col("o_orderkey") % 40).alias("dst_cif"), F.when(F.col("o_orderstatus") == "O", "DEVICE").otherwise("TRANSFER").alias("link_type")).where("src_cif < dst_cif")
+    e = read(spark, sf_dir, "lineitem").select(F.col("l_suppkey").alias("src_cif"), F.col("l_partkey").alias("dst_cif"), F.when(F.col("l_returnflag") == "R", "DEVICE").otherwise("TRANSFER").alias("link_type"))
     return graph.merged_kinds(graph.neighbourhood(e, [3, 7]), ["DEVICE"])
 
 
@@ -298,27 +297,27 @@ def label_with_horizon(spark, sf_dir):
     return rows.select("c_custkey", "snapshot_date", features.label(F.col("snapshot_date"), F.col("c"), ORDERS.as_of).alias("label"))
 
 
-@query("""WITH t AS (SELECT o_orderkey AS k, o_totalprice AS v, CASE WHEN o_orderkey % 5 = 0 THEN NULL ELSE o_orderstatus END AS s FROM orders WHERE o_orderkey % 7 <> 0), u AS (SELECT o_orderkey AS k, CASE WHEN o_orderkey % 3 = 0 THEN o_totalprice + 1 ELSE o_totalprice END AS v,
-CASE WHEN o_orderkey % 10 = 0 THEN NULL ELSE o_orderstatus END AS s FROM orders WHERE o_orderkey % 11 <> 0)
+@query("""WITH t AS (SELECT o_orderkey AS k, o_totalprice AS v, CASE WHEN o_orderpriority <> '1-URGENT' THEN o_orderstatus END AS s FROM orders WHERE o_orderstatus <> 'P'), u AS (SELECT o_orderkey AS k, CASE WHEN o_totalprice > 300000 THEN o_totalprice + 1 ELSE o_totalprice END AS v,
+CASE WHEN o_orderpriority NOT IN ('1-URGENT', '2-HIGH') THEN o_orderstatus END AS s FROM orders WHERE o_orderpriority <> '5-LOW')
 SELECT CASE WHEN t.k IS NULL THEN 'inserted' WHEN u.k IS NULL THEN 'deleted' WHEN t.v IS DISTINCT FROM u.v OR t.s IS DISTINCT FROM u.s THEN 'updated' ELSE 'kept' END AS action, coalesce(u.k, t.k) AS k, CASE WHEN u.k IS NULL THEN t.v ELSE u.v END AS v, CASE WHEN u.k IS NULL THEN t.s ELSE u.s END AS s FROM t FULL JOIN u ON t.k = u.k""")
 def merge_upsert(spark, sf_dir):
     from ..sources.store import merged
 
-    o = read(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("k"), F.col("o_totalprice").alias("v"), F.col("o_orderstatus").alias("s"))
-    t = o.where("k % 7 <> 0").withColumn("s", F.when(F.col("k") % 5 != 0, F.col("s")))
-    u = o.where("k % 11 <> 0").withColumns({"v": F.when(F.col("k") % 3 == 0, F.col("v") + 1).otherwise(F.col("v")), "s": F.when(F.col("k") % 10 != 0, F.col("s"))})
-    return merged(t, u, ["k"])
+    o = read(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("k"), F.col("o_totalprice").alias("v"), F.col("o_orderstatus").alias("s"), F.col("o_orderpriority").alias("p"))
+    t = o.where("s <> 'P'").withColumn("s", F.when(F.col("p") != "1-URGENT", F.col("s")))
+    u = o.where("p <> '5-LOW'").withColumns({"v": F.when(F.col("v") > 300000, F.col("v") + 1).otherwise(F.col("v")), "s": F.when(~F.col("p").isin("1-URGENT", "2-HIGH"), F.col("s"))})
+    return merged(t.drop("p"), u.drop("p"), ["k"])
 
 
-@query("SELECT 'now' AS version, count(*) AS rows_, count(o_orderstatus) AS labelled FROM orders UNION ALL SELECT 'first', count(*), count(CASE WHEN o_orderkey % 2 = 0 THEN o_orderstatus END) FROM orders WHERE o_orderkey % 3 = 0")
+@query("SELECT 'now' AS version, count(*) AS rows_, count(o_orderstatus) AS labelled FROM orders UNION ALL SELECT 'first', count(*), count(CASE WHEN o_orderpriority <> '1-URGENT' THEN o_orderstatus END) FROM orders WHERE o_orderstatus = 'F'")
 def version_travel(spark, sf_dir):
     import uuid
 
     from ..sources.store import Store
 
     store = Store(spark, f"{shared_dir(spark)}/store-{uuid.uuid4().hex}")
-    o = read(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus")
-    store.write("orders", o.where("o_orderkey % 3 = 0").withColumn("o_orderstatus", F.when(F.col("o_orderkey") % 2 == 0, F.col("o_orderstatus"))))
+    o = read(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus", "o_orderpriority")
+    store.write("orders", o.where("o_orderstatus = 'F'").withColumn("o_orderstatus", F.when(F.col("o_orderpriority") != "1-URGENT", F.col("o_orderstatus"))))
     store.merge("orders", o, ["o_orderkey"])
 
     def line(df: DataFrame, name: str) -> DataFrame:
@@ -332,7 +331,7 @@ BUCKET = "CAST(CAST('0x' || left(md5(CAST(o_orderkey AS VARCHAR) || '|' || CAST(
 
 def order_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     o = read(spark, sf_dir, "orders")
-    return o.select(F.col("o_orderkey").alias("account_id"), F.to_date("o_orderdate").alias("snapshot_date"), F.when(F.col("o_orderkey") % 7 != 3, (F.col("o_totalprice") > 250000).cast("int")).alias("is_mule_90d"))
+    return o.select(F.col("o_orderkey").alias("account_id"), F.to_date("o_orderdate").alias("snapshot_date"), F.when(F.col("o_orderpriority") != "5-LOW", (F.col("o_totalprice") > 250000).cast("int")).alias("is_mule_90d"))
 
 
 @query(f"SELECT o_orderkey AS account_id, {BUCKET} AS bucket FROM orders")
@@ -341,7 +340,7 @@ def sample_bucket(spark, sf_dir):
     return f.select("account_id", s.bucket(F.col("account_id"), F.col("snapshot_date")).alias("bucket"))
 
 
-FEATS = f"f AS (SELECT o_orderkey AS account_id, CAST(o_orderdate AS DATE) AS snapshot_date, CASE WHEN o_orderkey % 7 <> 3 THEN CAST(o_totalprice > 250000 AS INTEGER) END AS y, {BUCKET} AS b FROM orders)"
+FEATS = f"f AS (SELECT o_orderkey AS account_id, CAST(o_orderdate AS DATE) AS snapshot_date, CASE WHEN o_orderpriority <> '5-LOW' THEN CAST(o_totalprice > 250000 AS INTEGER) END AS y, {BUCKET} AS b FROM orders)"
 
 
 @query(f"""WITH {FEATS}, p AS (SELECT * FROM f WHERE y = 1 AND snapshot_date BETWEEN DATE '1996-01-01' AND DATE '2000-01-01' ORDER BY snapshot_date DESC, account_id LIMIT 100), n AS (SELECT * FROM f WHERE y = 0 AND snapshot_date BETWEEN DATE '1996-01-01' AND DATE '2000-01-01' ORDER BY b, account_id, snapshot_date LIMIT (SELECT count(*) * 3 FROM p))
@@ -484,12 +483,12 @@ def quality_profile(spark, sf_dir):
     return findings(spark, [*found, quality.unique("orders", o, ["o_orderkey"], n["rows"])])
 
 
-@query("""WITH s AS (SELECT count(*) AS n, count(*) FILTER (WHERE o_custkey NOT IN (SELECT c_custkey FROM customer WHERE c_custkey % 1000 <> 3)) AS b FROM orders)
+@query("""WITH s AS (SELECT count(*) AS n, count(*) FILTER (WHERE o_custkey NOT IN (SELECT c_custkey FROM customer WHERE c_acctbal > -990)) AS b FROM orders)
 SELECT 'unknown customers at most 0.10%' AS check_name, b / n <= 0.001 AS success, n AS elements, b AS unexpected, printf('%.6f', b / n) AS observed FROM s UNION ALL SELECT 'unknown customers at most 0.05% (warning: half the limit)', b / n <= 0.0005, n, b, printf('%.6f', b / n) FROM s
 UNION ALL SELECT 'orders = distinct orders of lines', (SELECT count(DISTINCT l_orderkey) FROM lineitem) = n, n, abs((SELECT count(DISTINCT l_orderkey) FROM lineitem) - n), CAST((SELECT count(DISTINCT l_orderkey) FROM lineitem) AS VARCHAR) FROM s
 UNION ALL SELECT 'rows against the previous load within -5% / +10%', n / 14000.0 BETWEEN 0.95 AND 1.10, n, NULL, printf('%.4f', n / 14000.0) FROM s""")
 def quality_rates(spark, sf_dir):
-    o, c = read(spark, sf_dir, "orders"), read(spark, sf_dir, "customer").where("c_custkey % 1000 <> 3").select(F.col("c_custkey").alias("o_custkey"))
+    o, c = read(spark, sf_dir, "orders"), read(spark, sf_dir, "customer").where("c_acctbal > -990").select(F.col("c_custkey").alias("o_custkey"))
     n = o.count()
     lines = read(spark, sf_dir, "lineitem").select("l_orderkey").distinct().count()
     return findings(spark, [*quality.rate_with_warning("orders", "unknown customers", n, quality.orphans(o, "o_custkey", c)), quality.equal("orders", "orders = distinct orders of lines", n, lines), *quality.volume("orders", n, 14000.0)])
