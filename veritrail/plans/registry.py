@@ -99,6 +99,47 @@ def night_and_round(spark, sf_dir):
     return o.select("o_orderkey", s.at_night(at).alias("night"), s.multiple_of(F.floor("o_totalprice"), 5).alias("round_amount"))
 
 
+FEATURE_SQL = f"""WITH {CAL}, {ACT}, {MOVES},
+ev AS (SELECT *, CAST(ts AS DATE) AS d, json_extract_string(props, '$.k') AS k FROM events),
+acc AS (SELECT user_id AS a, min(d) AS open_date, min(CASE WHEN event_type = 'error' AND value > 280 THEN d END) AS freeze_date FROM ev GROUP BY 1),
+rep AS (SELECT user_id AS a, d AS report_date, k AS complainant FROM ev WHERE event_type = 'view' AND value > 280),
+ses AS (SELECT user_id AS a, d, k AS device, CASE WHEN value > 200 THEN 'MOBILE_CHANGE' ELSE 'LOGIN' END AS e FROM ev WHERE event_type = 'click'),
+known AS (SELECT a, min(d) AS known_from FROM (SELECT a, report_date AS d FROM rep UNION ALL SELECT a, freeze_date FROM acc WHERE freeze_date IS NOT NULL) GROUP BY 1),
+m30 AS (SELECT account_id AS a, snapshot_date AS s, count(*) AS n, coalesce(sum(CASE WHEN direction = 'CR' THEN amount END), 0) AS cr, count(*) FILTER (WHERE hour(txn_ts) IN (23, 0, 1, 2, 3, 4)) AS night, count(*) FILTER (WHERE direction = 'CR') AS ncr,
+  count(*) FILTER (WHERE direction = 'CR' AND amount % 1000 = 0) AS rnd, quantile_disc(CASE WHEN direction = 'CR' THEN least(720.0, (least(coalesce(next_debit, {DAY_END}), {DAY_END}) - t) / 3600.0) END, 0.5) AS hold
+  FROM moves JOIN cal ON txn_date <= snapshot_date AND txn_date > snapshot_date - 30 GROUP BY 1, 2),
+m7 AS (SELECT account_id AS a, snapshot_date AS s, count(DISTINCT CASE WHEN direction = 'CR' THEN counterparty_vpa END) AS snd, count(DISTINCT CASE WHEN direction = 'DR' THEN counterparty_vpa END) AS rcv,
+  sum(CASE WHEN direction = 'CR' AND t + 86400 <= {DAY_END} THEN least(amount, out_24h) END) AS o, sum(CASE WHEN direction = 'CR' AND t + 86400 <= {DAY_END} THEN amount END) AS i FROM moves JOIN cal ON txn_date <= snapshot_date AND txn_date > snapshot_date - 7 GROUP BY 1, 2),
+fd AS (SELECT a, device, min(d) AS d FROM ses WHERE device IS NOT NULL GROUP BY 1, 2),
+nd AS (SELECT a, snapshot_date AS s, count(*) AS n FROM fd JOIN cal ON d <= snapshot_date AND d > snapshot_date - 30 GROUP BY 1, 2), ch AS (SELECT a, snapshot_date AS s, count(*) AS n FROM ses JOIN cal ON d <= snapshot_date AND d > snapshot_date - 30 WHERE e = 'MOBILE_CHANGE' GROUP BY 1, 2),
+dev AS (SELECT a, min(d) AS d FROM fd GROUP BY 1), cp AS (SELECT complainant, min(report_date) AS c FROM rep WHERE complainant IS NOT NULL GROUP BY 1),
+vc AS (SELECT account_id AS a, snapshot_date AS s, count(*) AS n FROM act JOIN cp ON complainant = counterparty_vpa JOIN cal ON txn_date <= snapshot_date AND txn_date > snapshot_date - 30 WHERE direction = 'CR' AND c <= snapshot_date GROUP BY 1, 2)
+SELECT m30.a AS account_id, m30.s AS snapshot_date, CAST(m30.s - open_date AS INTEGER) AS account_age_days, CAST(m30.a < 20 AS INTEGER) AS min_kyc_flag, round(cr / greatest(5000.0, (60000.0 + 1000 * m30.a) / 12), 3) AS inflow_to_declared_income_30d, CAST(coalesce(snd, 0) AS INTEGER) AS distinct_senders_7d, CAST(coalesce(rcv, 0) AS INTEGER) AS distinct_receivers_7d,
+round(CASE WHEN i > 0 THEN o / i ELSE 0 END, 3) AS pass_through_ratio_7d, round(coalesce(hold, 720.0), 1) AS median_hold_hours_30d, round(night / m30.n, 3) AS night_txn_share_30d, round(CASE WHEN ncr > 0 THEN rnd / ncr ELSE 0 END, 3) AS round_amount_share_30d, CAST(coalesce(nd.n, 0) AS INTEGER) AS new_device_logins_30d, CAST(coalesce(ch.n, 0) AS INTEGER) AS vpa_or_mobile_changes_30d,
+CAST(CASE WHEN dev.d <= m30.s THEN 1 ELSE 0 END AS INTEGER) AS accounts_on_same_device, CAST(coalesce(vc.n, 0) AS INTEGER) AS credits_from_complainants_30d
+FROM m30 JOIN acc ON acc.a = m30.a LEFT JOIN known ON known.a = m30.a LEFT JOIN m7 ON m7.a = m30.a AND m7.s = m30.s LEFT JOIN nd ON nd.a = m30.a AND nd.s = m30.s LEFT JOIN ch ON ch.a = m30.a AND ch.s = m30.s LEFT JOIN dev ON dev.a = m30.a LEFT JOIN vc ON vc.a = m30.a AND vc.s = m30.s
+WHERE open_date <= m30.s AND (known_from IS NULL OR known_from > m30.s)"""
+
+
+@query(FEATURE_SQL)
+def feature_assembly(spark, sf_dir):
+    e = read(spark, sf_dir, "events").select("user_id", "event_type", "value", F.to_date("ts").alias("d"), F.get_json_object("props", "$.k").alias("k"))
+    user, no_date = F.col("user_id"), F.lit(None).cast("date")
+    frozen = F.min(F.when((F.col("event_type") == "error") & (F.col("value") > 280), F.col("d")))
+    account = e.groupBy("user_id").agg(F.min("d").alias("open_date"), frozen.alias("freeze_date")).select(user.alias("account_id"), user.alias("cif"), F.lit("B").alias("branch_code"), F.lit("P").alias("product_code"), "open_date", no_date.alias("dormant_from"), no_date.alias("reactivated_on"), "freeze_date", F.when(F.col("freeze_date").isNotNull(), "CYBER_COMPLAINT").alias("freeze_reason"))
+    customer = account.select("cif", F.when(F.col("cif") < 20, "MIN_KYC").otherwise("FULL").alias("kyc_type"), (60000.0 + 1000 * F.col("cif")).alias("declared_annual_income"))
+    session = e.where("event_type = 'click'").select(user.alias("cif"), F.col("d").alias("session_date"), F.col("k").alias("device_id"), F.when(F.col("value") > 200, "MOBILE_CHANGE").otherwise("LOGIN").alias("event_type"))
+    report = e.where("event_type = 'view' and value > 280").select(user.alias("account_id"), F.col("d").alias("report_date"), F.col("k").alias("complainant_vpa"))
+    decision = spark.createDataFrame([], "account_id long, decision string, decision_date date")
+    clusters = spark.createDataFrame([], "snapshot_date date, cif long, person_cluster_id long, person_cluster_size int, ring_id long, ring_size int, hops_to_known_mule int, accounts_on_same_device int, cifs_sharing_mobile int")
+    txn = activity(spark, sf_dir).withColumnRenamed("event_id", "txn_id")
+    rows = features.assemble(features.Silver(customer, account, txn, session, report, decision, clusters), EVENTS)
+    return rows.select(
+        "account_id", "snapshot_date", "account_age_days", "min_kyc_flag", "inflow_to_declared_income_30d", "distinct_senders_7d", "distinct_receivers_7d", "pass_through_ratio_7d", "median_hold_hours_30d", "night_txn_share_30d",
+        "round_amount_share_30d", "new_device_logins_30d", "vpa_or_mobile_changes_30d", "accounts_on_same_device", "credits_from_complainants_30d",
+    )
+
+
 # ---------------------------------------------------------------- timeline
 
 
@@ -539,6 +580,36 @@ def visual_builder(spark, sf_dir):
     return v.frame(read(spark, sf_dir, "orders"))
 
 
+CHECKS = """(VALUES ('manual-a', TIMESTAMP '2025-01-01 01:00:00', 'bronze', 't', 'row count', 'row_count', true, '100', NULL), ('manual-a', TIMESTAMP '2025-01-01 01:30:00', 'gold', 'f', 'no label before 90 days have passed (leakage)', 'not_null', false, '3', 3),
+('scheduled__b', TIMESTAMP '2025-01-02 01:00:00', 'bronze', 't', 'bad rows at most 1%', 'rate_at_most', true, '0.005000', 1), ('scheduled__b', TIMESTAMP '2025-01-02 00:50:00', 'bronze', 't', 'row count', 'row_count', true, '90', NULL)) c(pipeline_run, run_ts, layer, table_name, check_name, expectation_type, success, observed_value, unexpected_count)"""
+
+
+@query(f"""WITH r AS (SELECT *, max(run_ts) OVER (PARTITION BY pipeline_run, layer) AS last_ts, min(run_ts) OVER (PARTITION BY pipeline_run) AS started FROM {CHECKS}), l AS (SELECT layer, arg_max(pipeline_run, run_ts) AS newest FROM r GROUP BY 1)
+SELECT pipeline_run, r.layer, check_name, CASE WHEN pipeline_run LIKE 'scheduled~_~_%' ESCAPE '~' THEN 'nightly' ELSE 'by hand' END AS run_type, '2025-01-01 ' || CASE WHEN pipeline_run LIKE 'scheduled%' THEN 'nightly' ELSE 'by hand' END || ' ' || strftime(started, '%H:%M') AS run_label,
+CASE WHEN check_name LIKE '%(leakage)%' THEN 'Leakage guard' WHEN expectation_type = 'row_count' THEN 'Volume' ELSE 'Rate limit' END AS category, CAST(CASE WHEN success AND unexpected_count > 0 THEN 1 ELSE 0 END AS INTEGER) AS near_miss, CASE WHEN expectation_type = 'not_null' THEN CAST(unexpected_count AS DOUBLE) ELSE CAST(observed_value AS DOUBLE) END AS actual,
+CASE expectation_type WHEN 'row_count' THEN 1.0 WHEN 'rate_at_most' THEN 0.01 ELSE 0.0 END AS expected, CAST(CASE WHEN pipeline_run = newest THEN 1 ELSE 0 END AS INTEGER) AS is_latest FROM r JOIN l ON l.layer = r.layer WHERE run_ts = last_ts""")
+def view_checks(spark, sf_dir):
+    from datetime import datetime
+
+    rows = [
+        ("manual-a", datetime(2025, 1, 1, 1), "bronze", "t", "row count", "row_count", "critical", True, "100", 100, None, '{"min_value": 1}'),
+        ("manual-a", datetime(2025, 1, 1, 1, 30), "gold", "f", "no label before 90 days have passed (leakage)", "not_null", "critical", False, "3", 50, 3, None),
+        ("scheduled__b", datetime(2025, 1, 2, 1), "bronze", "t", "bad rows at most 1%", "rate_at_most", "warning", True, "0.005000", 200, 1, '{"max_rate": 0.01}'),
+        ("scheduled__b", datetime(2025, 1, 2, 0, 50), "bronze", "t", "row count", "row_count", "critical", True, "90", 90, None, '{"min_value": 1}'),
+    ]
+    kinds = "pipeline_run string, run_ts timestamp, layer string, table_name string, check_name string, expectation_type string, severity string, success boolean, observed_value string, element_count long, unexpected_count long, kwargs string"
+    more = {"run_id": F.lit("r"), "as_of": F.lit(date(2025, 1, 1)), "column_name": F.lit(None).cast("string"), "unexpected_pct": F.lit(None).cast("double"), "table_snapshot_id": F.lit(None).cast("long")}
+    v = reports.v_dq({"dq_results": spark.createDataFrame(rows, kinds).withColumns(more)})
+    return v.select("pipeline_run", "layer", "check_name", "run_type", "run_label", "category", "near_miss", "actual", "expected", "is_latest")
+
+
+@query("SELECT o_custkey, o_orderkey, CAST(row_number() OVER (PARTITION BY o_custkey ORDER BY o_totalprice DESC, o_orderkey) AS INTEGER) AS ring_rank, CASE WHEN o_custkey = (SELECT max(o_custkey) FROM orders) THEN 1 ELSE 0 END AS is_latest FROM orders")
+def view_ranked(spark, sf_dir):
+    o = read(spark, sf_dir, "orders")
+    t = o.select(F.col("o_custkey").alias("run_date"), F.col("o_orderkey").alias("ring_id"), F.col("o_totalprice").alias("sum_p_mule_adj"), *[F.lit(1).alias(c) for c in ("ring_size", "accounts_scored", "accounts_alerted", "top_tier", "max_p_mule_adj", "min_hops_to_known_mule", "top_reason_codes")])
+    return reports.v_rings({"mule_rings": t}).select(F.col("run_date").alias("o_custkey"), F.col("ring_id").alias("o_orderkey"), "ring_rank", "is_latest")
+
+
 @query()
 def simulated_world(spark, sf_dir):
     from ..sources import simulate
