@@ -237,3 +237,19 @@ def test_entry_point(spark):
 
     assert __spark_entry__.entry(spark).count() > 0
     assert set(__spark_entry__.oracle_sql()) <= set(__spark_entry__.queries())
+
+
+def test_exports(spark, tmp_path):
+    from veritrail.sources import export
+
+    st = Store(spark, str(tmp_path / "store"))
+    st.write("t", spark.createDataFrame([(1, 'a "b", c'), (2, None)], "a int, b string"))
+    for kind in ("parquet", "csv", "json"):
+        where = export.tables(st, ["t"], str(tmp_path / kind), kind)
+        back = spark.read.format(kind).option("header", True).option("escape", '"').schema("a int, b string").load(where["t"])
+        assert sorted(map(str, back.collect())) == sorted(map(str, st.read("t").collect()))
+    with pytest.raises(ValueError):
+        export.write(st.read("t"), str(tmp_path / "x"), "nope")
+    export.save_context(st.read("t"), {"run_id": "r", "to": date(2025, 1, 1)}, str(tmp_path / "ctx"))
+    rows, meta = export.load_context(spark, str(tmp_path / "ctx"))
+    assert rows.count() == 2 and meta == {"run_id": "r", "to": "2025-01-01"}
