@@ -2,22 +2,24 @@
 
 from __future__ import annotations
 
+import ctypes
 import re
 import uuid
 from collections.abc import Callable
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: A Python worker never gets more than this much text at once, whatever the row lengths.
-BATCH_BYTES = 8 << 20
+BATCH_BYTES = 4 << 20
 #: Entries that a worker's word cache may hold before it starts anew.
-CACHE_WORDS = 600_000
+CACHE_WORDS = 400_000
 SPACE = r"[^\x20\x09-\x0D]+"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A table of the corpus; ."""
+    """A table of the corpus. Also bounds the batches that Python workers get, in bytes."""
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -75,14 +77,26 @@ class Words(dict):
 
 
 _KEPT: dict[str, object] = {}
+try:
+    _TRIM = ctypes.CDLL(None).malloc_trim
+except (AttributeError, OSError):  # not glibc
+    _TRIM = None
+
+
+def trim() -> None:
+    """Gives memory that this worker has freed back to the machine."""
+    pa.default_memory_pool().release_unused()
+    if _TRIM:
+        _TRIM(0)
 
 
 def kept(token: str, make: Callable):
-    """What `make` made in this worker for the token, or now makes; a worker keeps the last four."""
+    """What `make` made in this worker for the token, or now makes. A worker keeps one such thing, so that the stages
+    of a job, which share workers, do not add up."""
     if token not in _KEPT:
-        while len(_KEPT) >= 4:
-            _KEPT.pop(next(iter(_KEPT)))
+        _KEPT.clear()
         _KEPT[token] = make()
+    trim()
     return _KEPT[token]
 
 
@@ -112,3 +126,16 @@ def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
     else:
         raise RuntimeError(f"components: no fixed point after {rounds} rounds")
     return now.select(F.col("a").alias("node"), F.col("b").alias("component")).union(now.select("b", "b").distinct())
+
+
+def groups(texts: list[str], most: int = 2 << 20):
+    """The texts in runs of some bytes."""
+    part, size = [], 0
+    for t in texts:
+        part.append(t)
+        size += len(t)
+        if size >= most:
+            yield part
+            part, size = [], 0
+    if part:
+        yield part

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .base import CACHE_WORDS, cut, in_fold, kept
+from .base import CACHE_WORDS, cut, groups, in_fold, kept
 
 SLOT_BITS, HASHES = 19, 4
 GRAMS = (1, 2, 3, 4)
@@ -173,8 +173,6 @@ def predicted(docs: DataFrame, model: Filter):
 
     @F.pandas_udf("lang_pred string, score double")
     def predict(texts: pd.Series) -> pd.DataFrame:
-        from .bpe import groups
-
         m, langs, scores = shared.value, [], []
         counts = kept(token, lambda: Counts(m))
         for part in groups([t or "" for t in texts]):

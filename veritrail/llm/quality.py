@@ -154,7 +154,7 @@ def scored(docs: DataFrame, model: dict):
 
     @F.pandas_udf("double")
     def score(texts: pd.Series) -> pd.Series:
-        m, words, out = shared.value, kept("quality", lambda: Words(terms)), []
+        m, words, out = shared.value, kept("quality", lambda: Words(terms, 200_000)), []
         texts = [t or "" for t in texts]
         for k in range(0, len(texts), 256):
             part = texts[k : k + 256]
