@@ -19,11 +19,13 @@ import heapq
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .base import CACHE_WORDS
+from .base import CACHE_WORDS, kept
+from .words import Numbers, gathered, hashed, raw, runs
 
 LONGEST = 256
 NONE = np.uint32(0xFFFFFFFF)
@@ -94,9 +96,9 @@ class Encoder:
         self.start()
 
     def start(self) -> None:
-        """An empty cache: chunk -> its number; number n has ids flat[offsets[n]:offsets[n + 1]]."""
-        self.known: dict[str, int] = {}
-        self.lengths, self.flat = np.zeros(0, np.int64), np.zeros(0, np.uint32)
+        """An empty cache: chunk n has ids flat[offsets[n]:offsets[n] + lengths[n]]."""
+        self.numbers = Numbers()
+        self.lengths, self.offsets, self.flat = np.zeros(0, np.int32), np.zeros(0, np.int64), np.zeros(0, np.uint32)
 
     def matrix(self, pieces: list[bytes]) -> list[np.ndarray]:
         """Ids of pieces of similar length."""
@@ -181,69 +183,90 @@ class Encoder:
                     out[i] = ids
         return out
 
-    def learn(self, chunks: list[str]) -> None:
+    def learn(self, chunks: list[bytes]) -> None:
         """Adds the ids of new chunks to the cache."""
-        split = [self.split(c) for c in chunks]
+        split = [self.split(c.decode("utf-8", "surrogatepass")) for c in chunks]
         distinct = {p: i for i, p in enumerate(dict.fromkeys(p for ps in split for p in ps))}
         ids = self.pieces([p.encode("utf-8", "surrogatepass") for p in distinct])
-        at = [np.concatenate([ids[distinct[p]] for p in ps]) if ps else np.zeros(0, np.uint32) for ps in split]
-        self.known.update(zip(chunks, range(len(self.known), len(self.known) + len(chunks)), strict=True))
-        self.lengths = np.concatenate((self.lengths, np.fromiter(map(len, at), np.int64, len(at))))
-        self.flat = np.concatenate((self.flat, *at))
-
-    def chunks(self, text: str) -> list[str]:
-        """Parts of a text whose merges do not depend on each other: words with the blank before them where every
-        white space stands alone, else the matches of the pattern."""
-        if ALONE(text):
-            return self.split(text)
-        first, *rest = text.split(" ")
-        return [first, *[" " + w for w in rest]] if first else [" " + w for w in rest]
-
-    def __call__(self, texts: list[str]) -> list[np.ndarray]:
+        n = np.fromiter(map(len, ids), np.int64, len(ids))
+        at = np.fromiter((distinct[p] for ps in split for p in ps), np.int64)
+        found, sizes = gathered(np.concatenate(ids) if ids else np.zeros(0, np.uint32), np.cumsum(n) - n, n, at)
+        upto = np.concatenate(([0], np.cumsum(sizes)))[np.cumsum(np.fromiter(map(len, split), np.int64, len(split)))]
+        self.lengths = np.concatenate((self.lengths, np.diff(upto, prepend=0).astype(np.int32)))
+        self.offsets = np.cumsum(self.lengths, dtype=np.int64) - self.lengths
+        self.flat = np.concatenate((self.flat, found))
+
+    def chunks(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The bytes of all texts, the lengths of the chunks that they fall into, and the number of chunks up to each text's end.
+
+        Merges do not depend on other chunks. Where every white space of a text stands alone and is ASCII, they are words with the
+        blank before them, other white space, and what begins with a stop or comma after an ASCII letter; else the matches of the pattern."""
+        data, ends = raw(texts)
+        begins = np.concatenate(([0], ends[:-1])) if len(ends) else ends
+        blank = WHITE[data]
+        odd = np.zeros(len(data) + 1, np.int64)
+        bad = strange(data)
+        bad[1:] |= blank[1:] & blank[:-1]
+        np.cumsum(bad, out=odd[1:])
+        full = ends > begins
+        plain = np.ones(len(ends), bool)
+        b, e = begins[full], ends[full]
+        plain[full] = (odd[e] == odd[b]) & ~blank[b] & ~blank[e - 1]
+        cut = data == 32
+        line = blank & ~cut
+        cut |= line
+        cut[1:] |= line[:-1] | ((data[1:] == 44) | (data[1:] == 46)) & LETTER[data[:-1]]
+        owner = np.repeat(np.arange(len(ends)), ends - begins)
+        cut &= plain[owner]
+        cut[b] = True
+        more = [(k, np.cumsum([len(p.encode("utf-8", "surrogatepass")) for p in self.split(texts[int(k)].as_py())])[:-1]) for k in np.nonzero(~plain)[0]]
+        for k, places in more:
+            cut[begins[k] + places] = True
+        starts = np.nonzero(cut)[0]
+        return data, np.diff(starts, append=len(data)), np.searchsorted(starts, ends)
+
+    def __call__(self, texts: list[str] | pa.Array) -> list[np.ndarray]:
         """The ids of each text."""
-        split = [self.chunks(t) for t in texts]
-        if len(self.known) > CACHE_WORDS:
+        texts = texts if isinstance(texts, pa.Array) else pa.array(texts, pa.string())
+        if self.numbers.count > CACHE_WORDS:
             self.start()
-        known = self.known
-        new = list(dict.fromkeys(c for cs in split for c in cs if c not in known))
-        if new:
-            self.learn(new)
-        offsets = np.concatenate(([0], np.cumsum(self.lengths)))
-        out = []
-        for cs in split:
-            at = np.fromiter(map(known.__getitem__, cs), np.int64, len(cs))
-            n = self.lengths[at]
-            place = np.repeat(offsets[at] - (np.cumsum(n) - n), n) + np.arange(n.sum())
-            out.append(self.flat[place])
-        return out
+        data, lengths, upto = self.chunks(texts)
+        keys = hashed(data, lengths)
+        at = self.numbers(*keys)
+        while len(new := np.nonzero(at < 0)[0]):
+            new = new[np.unique(keys[0][new], return_index=True)[1]]
+            body, first = data.tobytes(), np.cumsum(lengths) - lengths
+            self.learn([body[s : s + n] for s, n in zip(first[new].tolist(), lengths[new].tolist(), strict=True)])
+            self.numbers.add(keys[0][new], keys[1][new])
+            at = self.numbers(*keys)
+        ids, n = gathered(self.flat, self.offsets, self.lengths, at)
+        return np.split(ids, np.concatenate(([0], np.cumsum(n)))[upto[:-1]]) if len(texts) else []
 
     def decode(self, ids: np.ndarray) -> bytes:
         return b"".join(map(self.tokens.__getitem__, ids.tolist()))
 
 
-#: White space next to white space, or at an end of the text.
-ALONE = regex.compile(r"\s\s|^\s|\s$").search
-_ENCODERS: dict[tuple[str, str], Encoder] = {}
+WHITE, LEAD, LETTER = np.zeros(256, bool), np.zeros(256, bool), np.zeros(256, bool)
+WHITE[[9, 10, 11, 12, 13, 32]] = True
+LETTER[65:91] = LETTER[97:123] = True
+LEAD[[28, 29, 30, 31, 0xC2, 0xE1, 0xE2, 0xE3]] = True
 
 
-def encoder(path: str, pattern: str) -> Encoder:
-    """A worker's encoder; the rank file is read where the worker runs, like the library it comes with."""
-    if (path, pattern) not in _ENCODERS:
-        _ENCODERS[path, pattern] = Encoder(read_ranks(path), pattern)
-    return _ENCODERS[path, pattern]
+def strange(data: np.ndarray) -> np.ndarray:
+    """Where white space beyond ASCII's begins, or control characters that some take for such."""
+    out = np.zeros(len(data), bool)
+    at = np.nonzero(LEAD[data])[0]
+    if len(at):
+        a = data[at]
+        b, c = (data[np.minimum(at + k, len(data) - 1)] for k in (1, 2))
+        general = (b == 0x80) & ((c <= 0x8A) | np.isin(c, (0xA8, 0xA9, 0xAF))) | (b == 0x81) & (c == 0x9F)
+        out[at] = (a < 32) | (a == 0xC2) & np.isin(b, (0x85, 0xA0)) | (a == 0xE1) & (b == 0x9A) | (a == 0xE2) & general | (a == 0xE3) & (b == 0x80)
+    return out
 
 
-def groups(texts: list[str], most: int = 4 << 20):
-    """The texts in runs of some bytes."""
-    part, size = [], 0
-    for t in texts:
-        part.append(t)
-        size += len(t)
-        if size >= most:
-            yield part
-            part, size = [], 0
-    if part:
-        yield part
+def encoder(path: str, pattern: str) -> Encoder:
+    """A worker's encoder; the rank file is read where the worker runs, like the library it comes with."""
+    return kept(f"bpe {path} {pattern}", lambda: Encoder(read_ranks(path), pattern))
 
 
 def encoded(docs: DataFrame, path: str, pattern: str) -> DataFrame:
@@ -252,7 +275,7 @@ def encoded(docs: DataFrame, path: str, pattern: str) -> DataFrame:
     @F.pandas_udf("array<int>")
     def of(texts: pd.Series) -> pd.Series:
         e, out = encoder(path, pattern), []
-        for part in groups([t or "" for t in texts]):
+        for part in runs(pa.array([t or "" for t in texts], pa.string()), 2 << 20):
             out += [x.astype(np.int32) for x in e(part)]
         return pd.Series(out, dtype=object)
 
@@ -279,7 +302,7 @@ def digests(docs: DataFrame, path: str, pattern: str, keep: tuple[str, ...] = ()
     @F.pandas_udf(kinds)
     def of(texts: pd.Series) -> pd.DataFrame:
         e, out = encoder(path, pattern), []
-        for part in groups([t or "" for t in texts]):
+        for part in runs(pa.array([t or "" for t in texts], pa.string()), 2 << 20):
             for found in e(part):
                 row = (len(found), hashlib.sha256(found.astype("<u4").tobytes()).hexdigest(), hashlib.sha256(e.decode(found)).hexdigest())
                 out.append((found.astype(np.int32), *row) if ids else row)
