@@ -21,17 +21,17 @@ from unicodedata import is_normalized
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .base import stored
+from .base import kept, stored
+from .words import Numbers, gathered, hashed, raw, runs
 
 SHARD = 1 << 21
 BLOCK = 1 << 15
 LANES = 32
 #: Words that a worker remembers before it starts anew.
-KNOWN = 900_000
+KNOWN = 700_000
 LOW = np.uint64(1 << 31)
 MAGIC = 0x52414E31
 
@@ -146,7 +146,8 @@ class Pieces(dict):
 
 
 class Tokenized:
-    """Ids of texts by the tokenizers library, which sees each distinct word of a worker once.
+    """Ids of texts by the tokenizers library, which sees each distinct word of a worker once. Words are told apart by two hashes,
+    of 64 and 35 bits and more.
 
     The tokenizer's normaliser and splitter act on words between white space separately, and to the splitter letters
     and the punctuation after them are two pieces. So the ids of a text are those of its pieces one after another. A batch
@@ -173,8 +174,8 @@ class Tokenized:
         self.start()
 
     def start(self) -> None:
-        self.known: dict[bytes, int] = {}  # word -> its number; each word is one or two pieces
-        self.first, self.second = np.zeros(0, np.int32), np.zeros(0, np.int32)
+        self.numbers = Numbers()  # of the words; each word is one or two pieces
+        self.word_lengths, self.word_ids, self.word_offsets = np.zeros(0, np.int32), np.zeros(0, np.uint32), np.zeros(0, np.int64)
         self.pieces = Pieces()
         self.pieces[""]
         self.lengths, self.offsets, self.flat = np.zeros(1, np.int64), np.zeros(1, np.int64), np.zeros(0, np.uint32)
@@ -197,11 +198,11 @@ class Tokenized:
     def learn(self, words: list[bytes]) -> None:
         cores, tails = [], []
         for w in words:
-            w = w.decode("utf-8", "replace")
-            if w.isalpha() and w.isascii():
-                cores.append(w)
+            if w.isalpha():  # of ASCII letters
+                cores.append(w.decode())
                 tails.append("")
                 continue
+            w = w.decode("utf-8", "replace")
             core = w.rstrip(self.TAIL)
             if (core.isalpha() or not core) and (w.isascii() or (is_normalized("NFC", w) and "\u03a3" not in w and "\u0130" not in w)):
                 cores.append(core.lower())
@@ -219,14 +220,15 @@ class Tokenized:
             lengths[mine], offsets[mine] = n, len(self.flat) + np.cumsum(n) - n
             self.flat = np.concatenate((self.flat, ids))
         self.lengths, self.offsets = np.concatenate((self.lengths, lengths)), np.concatenate((self.offsets, offsets))
-        self.known.update(zip(words, range(len(self.known), len(self.known) + len(words)), strict=True))
-        self.first, self.second = np.concatenate((self.first, first)), np.concatenate((self.second, second))
-
-    def words(self, texts: pa.Array) -> tuple[list[bytes], np.ndarray]:
-        """The words of all texts, and the number of those up to the end of each text."""
-        offsets = np.frombuffer(texts.buffers()[1], np.int32 if texts.type == pa.string() else np.int64)[texts.offset : texts.offset + len(texts) + 1].astype(np.int64)
-        data = np.frombuffer(texts.buffers()[2] or b"", np.uint8)[offsets[0] : offsets[-1]]
-        data, ends = self.FOLD[data], offsets[1:] - offsets[0]
+        ids, n = gathered(self.flat, self.offsets, self.lengths, np.stack((first, second), axis=1).ravel())
+        self.word_lengths = np.concatenate((self.word_lengths, n.reshape(-1, 2).sum(axis=1, dtype=np.int32)))
+        self.word_ids = np.concatenate((self.word_ids, ids))
+        self.word_offsets = np.cumsum(self.word_lengths, dtype=np.int64) - self.word_lengths
+
+    def words(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """The bytes of all texts, first byte and length of each word in them, and the number of words up to the end of each text."""
+        data, ends = raw(texts)
+        data = self.FOLD[data]
         mark = np.zeros(len(data), bool)
         if len(data) > 2:
             mark[1:-1] = ((data[1:-1] == 44) | (data[1:-1] == 46)) & self.ASCII_LETTER[data[:-2]] & (data[2:] == 32)
@@ -236,45 +238,33 @@ class Tokenized:
         place[order] = at[order] + np.arange(len(at))
         data = np.insert(data, at, np.uint8(32))
         blanks = np.nonzero(data == 32)[0]
-        return data.tobytes().split(b" "), np.searchsorted(blanks, place[len(at) - len(ends) :]) + 1
+        starts = np.concatenate(([0], blanks[:-1] + 1)) if len(blanks) else blanks
+        lengths = blanks - starts
+        some = lengths > 0
+        upto = np.concatenate(([0], np.cumsum(some)))[np.searchsorted(blanks, place[len(at) - len(ends) :]) + 1]
+        return data, starts[some], lengths[some], upto
 
     def __call__(self, texts: pa.Array, end: int) -> tuple[np.ndarray, np.ndarray]:
         """All ids, each text's followed by the end id, and the number of ids of each text; texts has no nulls."""
-        if len(self.known) > KNOWN:
+        if self.numbers.count > KNOWN:
             self.start()
-        words, upto = self.words(texts)
-        new = list(set(words).difference(self.known))
-        if new:
-            self.learn(new)
-        at = np.fromiter(map(self.known.__getitem__, words), np.int32, len(words))
-        pieces = np.stack((self.first[at], self.second[at]), axis=1).ravel()
-        keep = np.nonzero(pieces)[0]
-        ends, pieces = np.searchsorted(keep, 2 * upto), pieces[keep]
-        n = self.lengths[pieces]
-        upto = np.concatenate(([0], np.cumsum(n)))
-        place = np.arange(upto[-1]) + np.repeat(self.offsets[pieces] - upto[:-1], n)
-        ends = upto[ends]
-        return np.insert(self.flat[place], ends, np.uint32(end)), np.diff(ends, prepend=0) + 1
-
-
-_TOKENIZED: dict[str, Tokenized] = {}
+        data, starts, lengths, upto = self.words(texts)
+        keys = hashed(data[data != 32], lengths)
+        at = self.numbers(*keys)
+        while len(new := np.nonzero(at < 0)[0]):
+            new = new[np.unique(keys[0][new], return_index=True)[1]]
+            body = data.tobytes()
+            self.learn([body[s : s + n] for s, n in zip(starts[new].tolist(), lengths[new].tolist(), strict=True)])
+            self.numbers.add(keys[0][new], keys[1][new])
+            at = self.numbers(*keys)
+        ids, n = gathered(self.word_ids, self.word_offsets, self.word_lengths, at)
+        ends = np.concatenate(([0], np.cumsum(n)))[upto]
+        return np.insert(ids, ends, np.uint32(end)), np.diff(ends, prepend=0) + 1
 
 
 def tokenized(path: str) -> Tokenized:
     """A worker's tokenizer with what it has met so far."""
-    if path not in _TOKENIZED:
-        _TOKENIZED[path] = Tokenized(path)
-    return _TOKENIZED[path]
-
-
-def runs(texts: pa.Array, most: int = 4 << 20):
-    """The texts in runs of some bytes."""
-    sizes = np.cumsum(pc.binary_length(texts).to_numpy(zero_copy_only=False).astype(np.int64))
-    k = 0
-    while k < len(texts):
-        e = max(k + 1, int(np.searchsorted(sizes, (sizes[k - 1] if k else 0) + most, "right")))
-        yield texts.slice(k, e - k)
-        k = e
+    return kept(f"tokenizer {path}", lambda: Tokenized(path))
 
 
 def write(docs: DataFrame, path: str, end: int) -> DataFrame:
