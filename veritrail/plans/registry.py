@@ -237,7 +237,7 @@ def top_in_group(spark, sf_dir):
     return top.select("c_nationkey", "c_custkey", F.row_number().over(Window.partitionBy("c_nationkey").orderBy(F.desc("c_acctbal"), "c_custkey")).alias("rank"))
 
 
-@query("SELECT c_custkey, row_number() OVER (ORDER BY c_acctbal DESC, c_custkey) AS rank, round(sum(c_custkey) OVER (ORDER BY c_acctbal DESC, c_custkey ROWS UNBOUNDED PRECEDING), 2) AS upto FROM customer")
+@query("SELECT c_custkey, row_number() OVER (ORDER BY c_acctbal DESC, c_custkey) AS rank, CAST(sum(c_custkey) OVER (ORDER BY c_acctbal DESC, c_custkey ROWS UNBOUNDED PRECEDING) AS DOUBLE) AS upto FROM customer")
 def global_rank_and_sum(spark, sf_dir):
     c = read(spark, sf_dir, "customer")
     return relational.numbered(c, [F.desc("c_acctbal"), F.col("c_custkey")], "rank", F.col("c_custkey"), "upto").select("c_custkey", "rank", F.round("upto", 2).alias("upto"))
@@ -390,7 +390,7 @@ def context_selection(spark, sf_dir):
     return score.context(order_features(spark, sf_dir), date(1996, 1, 1), date(2000, 1, 1), 100, 3)
 
 
-@query(f"WITH {FEATS} SELECT account_id, snapshot_date, y AS is_mule_90d, CASE WHEN y = 1 THEN 1.0 ELSE 20.0 END AS weight FROM f WHERE y IS NOT NULL AND (y = 1 OR b < 500)")
+@query(f"WITH {FEATS} SELECT account_id, snapshot_date, y AS is_mule_90d, CAST(CASE WHEN y = 1 THEN 1.0 ELSE 20.0 END AS DOUBLE) AS weight FROM f WHERE y IS NOT NULL AND (y = 1 OR b < 500)")
 def holdout_weights(spark, sf_dir):
     return score.holdout_sample(order_features(spark, sf_dir), date(1990, 1, 1), date(2030, 1, 1), 0.05)
 
@@ -469,7 +469,7 @@ def holdout(spark: SparkSession, sf_dir: str) -> DataFrame:
 TOPS = "o AS (SELECT *, sum(weight) OVER (ORDER BY p DESC, id ROWS UNBOUNDED PRECEDING) AS upto, row_number() OVER (ORDER BY p DESC, id) AS pos, sum(weight) OVER () AS w, sum(y * weight) OVER () AS pw FROM t)"
 
 
-@query(f"WITH {TEST}, {TOPS} SELECT share, round(sum(y * weight) FILTER (WHERE upto <= share * w OR pos = 1) / max(pw), 6) AS capture, round(sum(y * weight) FILTER (WHERE upto <= share * w OR pos = 1) / sum(weight) FILTER (WHERE upto <= share * w OR pos = 1), 6) AS prec FROM o, (VALUES (0.002), (0.01), (0.05)) v(share) GROUP BY share")
+@query(f"WITH {TEST}, {TOPS} SELECT CAST(share AS DOUBLE) AS share, round(sum(y * weight) FILTER (WHERE upto <= share * w OR pos = 1) / max(pw), 6) AS capture, round(sum(y * weight) FILTER (WHERE upto <= share * w OR pos = 1) / sum(weight) FILTER (WHERE upto <= share * w OR pos = 1), 6) AS prec FROM o, (VALUES (0.002), (0.01), (0.05)) v(share) GROUP BY share")
 def capture_and_precision(spark, sf_dir):
     found = evaluate.shares(holdout(spark, sf_dir), "p", [0.002, 0.01, 0.05])
     return spark.createDataFrame([(k, v["capture"], v["precision"]) for k, v in found.items()], "share double, capture double, prec double").select("share", F.round("capture", 6).alias("capture"), F.round("prec", 6).alias("prec"))
@@ -484,7 +484,7 @@ def auc_and_average_precision(spark, sf_dir):
 
 @query(f"""WITH {TEST}, {TOPS}, b AS (SELECT *, CASE {' '.join(f"WHEN upto / w <= {c} + 1e-12 THEN '{n}'" for n, c in BANDS[:-1])} ELSE 'rest' END AS band FROM o),
 v AS (SELECT * FROM (VALUES {', '.join(f"('{n}', {c})" for n, c in BANDS)}) x(band, upto_pct))
-SELECT v.band, CAST(upto_pct AS DOUBLE) AS upto_pct, round(coalesce(sum(weight), 0), 1) AS accounts, round(coalesce(sum(y * weight), 0), 1) AS mules, round(CASE WHEN sum(weight) > 0 THEN round(coalesce(sum(y * weight), 0), 1) / round(sum(weight), 1) END, 5) AS mule_rate,
+SELECT v.band, CAST(upto_pct AS DOUBLE) AS upto_pct, round(CAST(coalesce(sum(weight), 0) AS DOUBLE), 1) AS accounts, round(CAST(coalesce(sum(y * weight), 0) AS DOUBLE), 1) AS mules, round(CASE WHEN sum(weight) > 0 THEN round(coalesce(sum(y * weight), 0), 1) / round(sum(weight), 1) END, 5) AS mule_rate,
 round(any_value(cc), 4) AS cum_capture FROM v LEFT JOIN b ON b.band = v.band JOIN (SELECT v.band AS cband, CASE WHEN max(upto_pct) >= 1 THEN 1.0 ELSE sum(y * weight) FILTER (WHERE upto <= upto_pct * w OR pos = 1) / max(pw) END AS cc FROM v CROSS JOIN o GROUP BY 1) c ON cband = v.band GROUP BY 1, 2""")
 def risk_bands(spark, sf_dir):
     return evaluate.bands(holdout(spark, sf_dir)).select("band", "upto_pct", "accounts", "mules", "mule_rate", "cum_capture")
@@ -587,7 +587,7 @@ CHECKS = """(VALUES ('manual-a', TIMESTAMP '2025-01-01 01:00:00', 'bronze', 't',
 @query(f"""WITH r AS (SELECT *, max(run_ts) OVER (PARTITION BY pipeline_run, layer) AS last_ts, min(run_ts) OVER (PARTITION BY pipeline_run) AS started FROM {CHECKS}), l AS (SELECT layer, arg_max(pipeline_run, run_ts) AS newest FROM r GROUP BY 1)
 SELECT pipeline_run, r.layer, check_name, CASE WHEN pipeline_run LIKE 'scheduled~_~_%' ESCAPE '~' THEN 'nightly' ELSE 'by hand' END AS run_type, '2025-01-01 ' || CASE WHEN pipeline_run LIKE 'scheduled%' THEN 'nightly' ELSE 'by hand' END || ' ' || strftime(started, '%H:%M') AS run_label,
 CASE WHEN check_name LIKE '%(leakage)%' THEN 'Leakage guard' WHEN expectation_type = 'row_count' THEN 'Volume' ELSE 'Rate limit' END AS category, CAST(CASE WHEN success AND unexpected_count > 0 THEN 1 ELSE 0 END AS INTEGER) AS near_miss, CASE WHEN expectation_type = 'not_null' THEN CAST(unexpected_count AS DOUBLE) ELSE CAST(observed_value AS DOUBLE) END AS actual,
-CASE expectation_type WHEN 'row_count' THEN 1.0 WHEN 'rate_at_most' THEN 0.01 ELSE 0.0 END AS expected, CAST(CASE WHEN pipeline_run = newest THEN 1 ELSE 0 END AS INTEGER) AS is_latest FROM r JOIN l ON l.layer = r.layer WHERE run_ts = last_ts""")
+CAST(CASE expectation_type WHEN 'row_count' THEN 1.0 WHEN 'rate_at_most' THEN 0.01 ELSE 0.0 END AS DOUBLE) AS expected, CAST(CASE WHEN pipeline_run = newest THEN 1 ELSE 0 END AS INTEGER) AS is_latest FROM r JOIN l ON l.layer = r.layer WHERE run_ts = last_ts""")
 def view_checks(spark, sf_dir):
     from datetime import datetime
 
