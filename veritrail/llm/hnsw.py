@@ -32,7 +32,7 @@ QUERY_ROWS = 16_384
 #: Labels whose sizes are broadcast; more are joined by shuffle.
 LABELS_BROADCAST = 50_000
 LINKS, BASE_LINKS, BUILD_BEAM = 12, 24, 48
-FIRST_BEAM, RECALL, AUDITS = 32, 0.99, 64
+FIRST_BEAM, RECALL, AUDITS = 48, 0.995, 256
 CELLS = 1 << 25  # of the matrix of what queries have visited
 
 
