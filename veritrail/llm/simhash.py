@@ -39,18 +39,25 @@ PAIRS = 1 << 21
 HAMMING = 15
 
 
-def fingerprint(text: str | None, words: int, seed: int = 42) -> int:
-    """The fingerprint as a signed 64-bit integer."""
+def shingles(text: str | None, words: int, seed: int = 42) -> np.ndarray:
+    """The hash of each run of so many words, or of all words if there are fewer."""
     found = WORD.findall((text or "").encode("utf-8", "surrogatepass").lower())
     if not found:
-        return 0
+        return np.zeros(0, "<u8")
     joined = b" ".join(found)
     ends = np.cumsum(np.fromiter(map(len, found), np.int64, len(found)) + 1) - 1
     starts = np.concatenate(([0], ends[:-1] + 1))
     last = max(1, len(found) - words + 1)
     spans = zip(starts[:last].tolist(), ends[min(words, len(found)) - 1 :].tolist(), strict=True)
     digest = xxhash.xxh64_intdigest
-    h = np.array([digest(joined[i:j], seed) for i, j in spans], dtype="<u8")
+    return np.array([digest(joined[i:j], seed) for i, j in spans], dtype="<u8")
+
+
+def fingerprint(text: str | None, words: int, seed: int = 42) -> int:
+    """The fingerprint as a signed 64-bit integer."""
+    h = shingles(text, words, seed)
+    if not len(h):
+        return 0
     ones = np.zeros(64, np.int64)
     for k in range(0, len(h), 1 << 16):
         ones += np.unpackbits(h[k : k + (1 << 16)].view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(0, dtype=np.int64)
@@ -245,6 +252,19 @@ def near_duplicates(docs: DataFrame, words: int = 5, bits: int = 4, parts: int =
     return fps.join(named, F.col("fp") == F.col("rep_fp")).select("doc_id", "fp", "component_id")
 
 
+def first_of_each(docs: DataFrame, named: DataFrame) -> DataFrame:
+    """The documents of which each component keeps one row: the smallest by (doc_id, hash of the text).
+
+    named: (doc_id, text_hash, n, component) of the rows that have an id, n being the number of equal rows, of which one
+    stays. A text under a repeated id has a component of its own. Rows without an id are kept."""
+    first = named.groupBy("component").agg(F.min(F.struct("doc_id", "text_hash", "n")).alias("row"))
+    first = cut(first.select(F.col("row.doc_id").alias("_one_id"), F.col("row.text_hash").alias("_one_hash"), F.col("row.n").alias("_one_n")))
+    rows = docs.where("doc_id is not null").join(first, (docs["doc_id"].cast("long") == first["_one_id"]) & (F.xxhash64(docs["text"]) == first["_one_hash"]))
+    single = rows.where("_one_n = 1").select(*[docs[c] for c in docs.columns])
+    again = rows.where("_one_n > 1").select(*[docs[c] for c in docs.columns]).dropDuplicates(["doc_id", "text"])
+    return single.unionByName(again).unionByName(docs.where("doc_id is null"))
+
+
 def one_of_each(docs: DataFrame, words: int = 5, bits: int = 4, parts: int = 3) -> DataFrame:
     """The documents without their near-duplicates: of each component the one with the smallest id stays.
 
