@@ -266,16 +266,19 @@ def first_of_each(docs: DataFrame, named: DataFrame) -> DataFrame:
 
 
 def one_of_each(docs: DataFrame, words: int = 5, bits: int = 4, parts: int = 3) -> DataFrame:
-    """The documents without their near-duplicates: of each component the one with the smallest id stays.
+    """The documents without their near-duplicates by bits: of each component of fingerprints the row with the smallest id stays.
 
-    Rows without an id are kept. Of rows that repeat an id, one stays."""
-    found = near_duplicates(docs.select("doc_id", "text"), words, bits, parts)
-    ids = found.where("doc_id is not null").groupBy(F.col("doc_id").alias("_one_id")).agg(F.min("component_id").alias("_one_c"), F.count("*").alias("_one_n"))
-    ids = cut(ids.where("_one_id = _one_c").select("_one_id", "_one_n"))
-    rows = docs.where("doc_id is not null").join(ids, docs["doc_id"].cast("long") == ids["_one_id"])
-    single = rows.where("_one_n = 1").select(*[docs[c] for c in docs.columns])
-    again = rows.where("_one_n > 1").select(*[docs[c] for c in docs.columns]).dropDuplicates(["doc_id"])
-    return single.unionByName(again).unionByName(docs.where("doc_id is null"))
+    Rows without an id are kept."""
+
+    @F.pandas_udf("long")
+    def of(texts: pd.Series) -> pd.Series:
+        return pd.Series([fingerprint(t, words) for t in texts], dtype="int64")
+
+    fps = stored(docs.where("doc_id is not null").select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text_hash"), of("text").alias("fp")), "fps")
+    rows = cut(fps.groupBy("doc_id", "text_hash", "fp").agg(F.count("*").alias("n")))
+    found = components(links(rows.select("fp", F.col("fp").alias("id")).distinct(), bits, parts))
+    named = rows.join(found, F.col("fp") == F.col("node"), "left").select("doc_id", "text_hash", "n", F.coalesce("component", "fp").alias("component"))
+    return first_of_each(docs, named)
 
 
 def op2_simhash(spark, sf_dir: str) -> DataFrame:
