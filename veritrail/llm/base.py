@@ -1,16 +1,17 @@
-"""What the corpus operators share: tables, shared scratch space, word caches, components."""
+"""What the corpus operators share: tables, stored steps, samples of labels, word caches, components."""
 
 from __future__ import annotations
 
 import ctypes
 import re
-import uuid
 from collections.abc import Callable
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import cut, discard, scratch
+
 #: A Python worker never gets more than this much text at once, whatever the row lengths.
 BATCH_BYTES = 4 << 20
 #: Entries that a worker's word cache may hold before it starts anew.
@@ -24,28 +25,26 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: the session's, or one under /tmp where it names none."""
-    named = spark.conf.get("spark.checkpoint.dir", None)
-    if named:
-        return named.rstrip("/")
-    if not spark.sparkContext.getCheckpointDir():
-        spark.sparkContext.setCheckpointDir(f"/tmp/checkpoints/{uuid.uuid4().hex}")
-    return spark.sparkContext.getCheckpointDir().rstrip("/")
-
-
 def stored(df: DataFrame, tag: str) -> DataFrame:
-    """Writes df as Parquet into the shared folder and reads it back: a cut in the lineage that survives executors."""
+    """Writes df as Parquet into the shared folder and reads it back: a cut in the lineage that survives executors.
+
+    What is written goes when the application ends, or by `released`."""
     spark = df.sparkSession
-    path = f"{shared_dir(spark)}/veritrail-{tag}-{uuid.uuid4().hex}"
+    path = scratch(spark, tag)
     df.write.parquet(path)
+    MADE.append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
-def cut(df: DataFrame) -> DataFrame:
-    """A reliable checkpoint in the shared folder."""
-    shared_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+#: What this application has stored and not released, the oldest first.
+MADE: list[str] = []
+
+
+def released(spark: SparkSession, since: int) -> None:
+    """Deletes what was stored from MADE[since] on, but for the last: that is read from now on instead of the others."""
+    for path in MADE[since:-1]:
+        discard(spark, path)
+    del MADE[since:-1]
 
 
 def in_fold(column: str, parts: int, fold: int):
@@ -53,13 +52,21 @@ def in_fold(column: str, parts: int, fold: int):
     return F.coalesce(F.crc32(F.col(column).cast("string")) % parts == fold, F.lit(False))
 
 
+def below(rows: int, most: int) -> int:
+    """A limit for 64-bit hashes that about twice `most` of so many rows stay under, or all where there are not that many.
+
+    The first `most` rows by hash are then among few: no task gets that many from every partition."""
+    return (1 << 63) - 1 if rows <= 2 * most else int((1 << 64) * 2 * most / rows) - (1 << 63)
+
+
 def sampled_labels(labels: DataFrame, label: str, parts: int, fold: int, rows: int) -> DataFrame:
     """At most `rows` (doc_id, y) outside the held-out fold, the first in an order by hash of the id.
 
     Rows without id or label are left out; an id that has several labels takes the largest."""
     known = labels.select(F.col("doc_id").alias("l_id"), F.col(label).cast("int").alias("y"))
     known = known.where(F.col("l_id").isNotNull() & F.col("y").isNotNull() & ~in_fold("l_id", parts, fold))
-    return known.groupBy("l_id").agg(F.max("y").alias("y")).orderBy(F.xxhash64("l_id"), "l_id").limit(rows)
+    limit = below(known.agg(F.approx_count_distinct("l_id")).first()[0], rows)
+    return known.where(F.xxhash64("l_id") <= limit).groupBy("l_id").agg(F.max("y").alias("y")).orderBy(F.xxhash64("l_id"), "l_id").limit(rows)
 
 
 class Words(dict):

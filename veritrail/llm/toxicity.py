@@ -9,7 +9,7 @@ the first in an order by hash of their ids, and of them as many as have MAX_TERM
 adaptive steps. Only the terms that keep a weight or factors are broadcast (at most one entry a bucket).
 
 Defined cases: a null or empty text has no terms and scores the bias; without two classes to learn from the score is the
-smoothed rate of label 1; null labels and ids teach nothing; repeated rows are scored each; other columns are ignored.
+smoothed rate of label 1; null labels and ids teach nothing; of several texts under one id one teaches; repeated rows are scored each; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -124,13 +124,13 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", max_rows: in
             found = [np.array(document(t, words), np.int32) for t in b.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays([b.column("doc_id").cast(pa.int64()), b.column("y").cast(pa.int32()), pa.array([len(x) for x in found], pa.int32()), pa.array([x.astype("<i4").tobytes() for x in found], pa.binary())], names=["doc_id", "y", "n", "terms"])
 
-    found = stored(rows.mapInArrow(terms, "doc_id long, y int, n int, terms binary"), "terms")
-    sizes = found.select("doc_id", "n", F.xxhash64("doc_id").alias("h")).orderBy("h", "doc_id").limit(max_rows).collect()
+    found = rows.mapInArrow(terms, "doc_id long, y int, n int, terms binary").groupBy("doc_id", "y").agg(F.min(F.struct("n", "terms")).alias("t"))
+    found = stored(found.select("doc_id", "y", "t.*", F.xxhash64("doc_id").alias("h")), "terms")
+    sizes = found.select("h", "n").orderBy("h").collect()  # a row a labelled document, max_rows at most
     upto = np.cumsum([r["n"] for r in sizes]) if sizes else np.zeros(0)
     if len(upto) and upto[-1] > max_terms:
-        last = sizes[max(0, int(np.searchsorted(upto, max_terms, "right")) - 1)]["h"]
-        found = found.where(F.xxhash64("doc_id") <= F.lit(last))
-    got = found.orderBy(F.xxhash64("doc_id"), "doc_id", "terms").limit(max_rows).collect()
+        found = found.where(F.col("h") <= F.lit(sizes[max(0, int(np.searchsorted(upto, max_terms, "right")) - 1)]["h"]))
+    got = sorted(found.collect(), key=lambda r: (r["h"], r["doc_id"]))
     return fit([np.frombuffer(r["terms"], "<i4") for r in got], np.array([r["y"] for r in got], float))
 
 
