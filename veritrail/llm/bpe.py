@@ -4,8 +4,9 @@ A text falls into chunks that its merges cannot cross; each distinct chunk of a
 new chunks of a batch are split by the pattern into pieces. Pieces that are tokens are done; the others are
 dealt into length buckets, each a matrix with one row a piece, padded at the end. In each round every row
 merges its leftmost pair of minimum rank; ranks of pairs come from an open-addressing hash table, and rows
-are compacted after each merge and leave the matrix once no pair of theirs merges. Pieces beyond LONGEST
-bytes go through a heap instead: the same merges in the same order, without a matrix row of that length.
+are compacted after each merge and leave the matrix once no pair of theirs merges. A piece beyond LONGEST bytes is a matrix of one
+row, in which a round takes all the merges that would follow one another with the same pair: its rounds are as many as the
+pairs that merge in it, not as its bytes.
 
 Defined cases: a null text is an empty one (no tokens); repeated rows come as often as they are given; a null
 doc_id stays null; other columns are ignored.
@@ -15,7 +16,6 @@ from __future__ import annotations
 
 import base64
 import hashlib
-import heapq
 
 import numpy as np
 import pandas as pd
@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from .base import CACHE_WORDS, kept
 from .words import Numbers, gathered, hashed, raw, runs
 
-LONGEST = 256
+LONGEST = 1024
 NONE = np.uint32(0xFFFFFFFF)
 
 
@@ -142,29 +142,33 @@ class Encoder:
                 cost[r, c] = self.pairs(ids[r, c], ids[r, c + 1])
         return out
 
-    def heap(self, piece: bytes) -> np.ndarray:
-        """The same merges for one long piece."""
+    def row(self, piece: bytes) -> np.ndarray:
+        """The ids of one long piece.
+
+        In a round the pair of minimum rank merges wherever it stands, from the left, until a merge makes a pair of a lower rank: that one is next."""
         ids = self.byte[np.frombuffer(piece, np.uint8)]
-        n = len(ids)
-        cost = self.pairs(ids[:-1], ids[1:])
-        ids, right, left = ids.tolist(), list(range(1, n + 1)), list(range(-1, n - 1))
-        queue = [(int(c), i, ids[i], ids[i + 1]) for i, c in enumerate(cost.tolist()) if c != NONE]
-        heapq.heapify(queue)
-        tokens, ranks = self.tokens, self.ranks
-        while queue:
-            low, i, a, b = heapq.heappop(queue)
-            j = right[i]
-            if ids[i] != a or j >= n or ids[j] != b:
-                continue
-            ids[i], ids[j] = low, -1
-            right[i] = right[j]
-            if right[i] < n:
-                left[right[i]] = i
-                if (rank := ranks.get(tokens[low] + tokens[ids[right[i]]])) is not None:
-                    heapq.heappush(queue, (rank, i, low, ids[right[i]]))
-            if left[i] >= 0 and (rank := ranks.get(tokens[ids[left[i]]] + tokens[low])) is not None:
-                heapq.heappush(queue, (rank, left[i], ids[left[i]], low))
-        return np.array([x for x in ids if x >= 0], np.uint32)
+        cost = np.append(np.where((ids[:-1] != NONE) & (ids[1:] != NONE), self.pairs(ids[:-1], ids[1:]), NONE), NONE)
+        while len(ids) > 1 and (low := cost.min()) != NONE:
+            at = np.nonzero(cost == low)[0]
+            run = np.concatenate(([True], np.diff(at) != 1))  # of a, a, a the first two merge
+            at = at[(np.arange(len(at)) - np.maximum.accumulate(np.where(run, np.arange(len(at)), 0))) % 2 == 0]
+            left, right = ids[at - 1], ids[np.minimum(at + 2, len(ids) - 1)]
+            left[1:][at[1:] - at[:-1] == 2] = low
+            new = np.full(len(at), low, np.uint32)
+            before = np.where(at > 0, self.pairs(left, new), NONE)
+            after = np.where(at + 2 < len(ids), self.pairs(new, right), NONE)
+            lower = np.nonzero(np.minimum(before, after) < low)[0]
+            if len(lower):
+                at = at[: lower[0] + 1]
+            ids[at] = low
+            stay = np.ones(len(ids), bool)
+            stay[at + 1] = False
+            ids, cost, at = ids[stay], cost[stay], at - np.arange(len(at))
+            side = np.unique(np.concatenate((at - 1, at)))
+            side = side[(side >= 0) & (side + 1 < len(ids))]
+            cost[side] = self.pairs(ids[side], ids[side + 1])
+            cost[-1] = NONE
+        return ids
 
     def pieces(self, pieces: list[bytes]) -> list[np.ndarray]:
         out: list[np.ndarray | None] = [None] * len(pieces)
@@ -173,7 +177,7 @@ class Encoder:
             if (rank := self.ranks.get(p)) is not None:
                 out[i] = np.array([rank], np.uint32)
             elif len(p) > LONGEST:
-                out[i] = self.heap(p)
+                out[i] = self.row(p)
             else:
                 buckets.setdefault((len(p) - 1).bit_length(), []).append(i)
         for level, rows in buckets.items():

@@ -8,18 +8,21 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-#: Random odd multipliers for bytes and for places in a word.
-_BYTES, _PLACES = (np.random.default_rng(20).integers(0, 1 << 63, n, np.uint64) * np.uint64(2) + np.uint64(1) for n in (256, 4096))
+#: Random odd multipliers for bytes and for places in a word, two tables of each. Every process draws its own: they never leave it, and no
+#: input can be made to collide.
+_BYTES, _PLACES, _BYTES_2, _PLACES_2 = (np.random.default_rng().integers(0, 1 << 63, n, np.uint64) * np.uint64(2) + np.uint64(1) for n in (256, 4096, 256, 4096))
 
 
 def hashed(body: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Two hashes of each word, of 64 bits and of the sums' upper halves; body: the words' bytes one after another."""
+    """Two independent hashes of 64 bits of each word; body: the words' bytes one after another."""
     if not len(lengths):
         return np.zeros(0, np.uint64), np.zeros(0, np.uint64)
     first = np.cumsum(lengths) - lengths
     place = np.arange(len(body)) - np.repeat(first, lengths)
-    terms = _BYTES[body] * (_PLACES[place & 4095] + (place >> 12).astype(np.uint64))
-    return np.add.reduceat(terms, first), np.add.reduceat(terms >> np.uint64(29), first)
+    far = (place >> 12).astype(np.uint64) if lengths.max() > 4096 else np.uint64(0)
+    place &= 4095
+    one = _BYTES[body] * (_PLACES[place] + far)
+    return np.add.reduceat(one, first), np.add.reduceat(_BYTES_2[body] * (_PLACES_2[place] + far), first)
 
 
 class Numbers:
