@@ -12,7 +12,7 @@ from veritrail.llm import bpe, tokens
 from veritrail.llm.base import table
 
 WORD_BPE, BYTE_BPE = P.path("word_bpe_49k.json"), P.path("byte_bpe_50k.tiktoken")
-ODD = ["", " ", "a", "\x0b a\x0cb", "a\x85b\xa0c d", "İstanbul ΣΑΣ ΣΑΣ. Σ", "é é ́x", "don't 'S 're I'M", "<|endoftext|>", "日本 語　x", "a\x1cb \x1c \x1d", "a  b\n\nc \n d ", "WORD, word. (x), y!., z", "é, Ñandú. ß.", "x" * 3000, "ab" * 2000, " " * 500 + "x", "12345 678", "\t\n x\r\n"]
+ODD = ["", " ", "a", "\x0b a\x0cb", "a\x85b\xa0c d", "İstanbul ΣΑΣ ΣΑΣ. Σ", "é é ́x", "don't 'S 're I'M", "<|endoftext|>", "a<|startoftext|>B.<|endoftext|><|endoftext|> é<|endoftext|>́ <|ENDOFTEXT|> <|endoftext|", "日本 語　x", "a\x1cb \x1c \x1d", "a  b\n\nc \n d ", "WORD, word. (x), y!., z", "é, Ñandú. ß.", "x" * 3000, "ab" * 2000, " " * 500 + "x", "12345 678", "\t\n x\r\n"]
 
 
 @pytest.mark.parametrize("n", [1, 31, 32, 33, tokens.BLOCK - 1, tokens.BLOCK, tokens.BLOCK + 1, 3 * tokens.BLOCK + 17])
@@ -40,7 +40,6 @@ def test_damage_is_seen():
 
 def test_word_ids_are_the_librarys():
     t = Tokenizer.from_file(WORD_BPE)
-    t.encode_special_tokens = True
     got, counts = tokens.tokenized(WORD_BPE)(pa.array(ODD), 2)
     at = 0
     for text, n in zip(ODD, counts, strict=True):
@@ -48,11 +47,18 @@ def test_word_ids_are_the_librarys():
         at += n
 
 
+@settings(max_examples=100, deadline=None)
+@given(st.lists(st.lists(st.sampled_from(["<|endoftext|>", "<|startoftext|>", "<|EndOfText|>", "a", "B", " ", "é", "́", "'s", ".", "\n"]), max_size=12).map("".join), max_size=6))
+def test_special_tokens_are_the_librarys(texts):
+    t = Tokenizer.from_file(WORD_BPE)
+    got, counts = tokens.tokenized(WORD_BPE)(pa.array(texts, pa.string()), 2)
+    assert got.tolist() == [i for x in texts for i in [*t.encode(x, add_special_tokens=False).ids, 2]] and len(counts) == len(texts)
+
+
 @settings(max_examples=60, deadline=None)
 @given(st.lists(st.text(alphabet="abEé \n.,!'1sß\x0b́日", max_size=40), min_size=1, max_size=5))
 def test_word_ids_of_any_text(texts):
     t = Tokenizer.from_file(WORD_BPE)
-    t.encode_special_tokens = True
     got, counts = tokens.tokenized(WORD_BPE)(pa.array(texts, pa.string()), 2)
     assert got.tolist() == [i for x in texts for i in [*t.encode(x, add_special_tokens=False).ids, 2]]
 
@@ -67,7 +73,9 @@ def test_numbers_grow():
     assert t(one, two).tolist() == list(range(5000)) and (t(one, two + np.uint64(1)) == -1).all()
 
 
-def test_query_on_odd_rows(spark, odd):
+@pytest.mark.parametrize("range_bytes", [16 << 20, 300])
+def test_query_on_odd_rows(spark, odd, monkeypatch, range_bytes):
+    monkeypatch.setattr(tokens, "RANGE_BYTES", range_bytes)
     t = Tokenizer.from_file(WORD_BPE)
     docs = sorted(table(spark, odd[0], "documents").select("doc_id", "text").collect(), key=lambda r: (r["doc_id"] is not None, r["doc_id"] or 0, r["text"] or ""))
     rows = sorted((tuple(r) for r in tokens.op3_token_ids(spark, odd[0]).collect()), key=lambda r: r[1])
@@ -116,6 +124,27 @@ def test_pairs_of_ids():
     assert p(a, b).tolist() == [256, 258, 257, 257, int(bpe.NONE)]
 
 
+@settings(max_examples=150, deadline=None)
+@given(st.text(alphabet="abethins", min_size=1025, max_size=3000))
+def test_long_pieces_are_the_librarys(text):
+    assert bpe.encoder(BYTE_BPE, P.PATTERN).row(text.encode()).tolist() == _reference().encode_ordinary(text)
+
+
+@settings(max_examples=400, deadline=None)
+@given(st.data())
+def test_a_row_merges_like_the_matrix(data):
+    """With any ranks, also such as make pairs of a lower rank than what they are made from."""
+    tokens_, ranks = [b"a", b"b", b"c"], data.draw(st.permutations(range(3, 15)))
+    for _ in ranks:
+        tokens_.append(data.draw(st.sampled_from(tokens_)) + data.draw(st.sampled_from(tokens_)))
+    table_ = {t: i for i, t in enumerate(tokens_[:3])}
+    for t, r in zip(tokens_[3:], ranks, strict=True):
+        table_.setdefault(t, r)
+    e = bpe.Encoder(table_, r".+")
+    piece = data.draw(st.text(alphabet="abc", min_size=1, max_size=60)).encode()
+    assert e.row(piece).tolist() == e.matrix([piece])[0].tolist()
+
+
 def test_byte_query_on_odd_rows(spark, odd):
     import hashlib
 

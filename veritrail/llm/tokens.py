@@ -8,19 +8,25 @@ decoded and verified by itself, and all blocks of a shard are decoded side by si
 
 A shard closes at a document boundary once it holds SHARD ids: what a task keeps is one shard.
 
+Tasks take ranges of (doc_id, hash of the text) of about RANGE_BYTES of text, so that neither they nor an id that many rows share grow
+with the input.
+
 Defined cases: a null text is an empty one and yields the end id alone; null doc_ids come first; rows that repeat
-an id follow each other in the order of their text's hash; other columns are ignored.
+an id follow each other in the order of their text's hash; strings of special tokens in a text become those tokens, as the
+library does it unless told otherwise; other columns are ignored.
 """
 
 from __future__ import annotations
 
 import os
+import re
 import zlib
 from itertools import chain, islice
 from unicodedata import is_normalized
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -30,6 +36,8 @@ from .words import Numbers, gathered, hashed, raw, runs
 SHARD = 1 << 21
 BLOCK = 1 << 15
 LANES = 32
+#: Bytes of text that a task takes, and the most tasks there are; beyond their product ranges are wider.
+RANGE_BYTES, MOST_RANGES = 32 << 20, 100_000
 #: Words that a worker remembers before it starts anew.
 KNOWN = 700_000
 LOW = np.uint64(1 << 31)
@@ -146,14 +154,14 @@ class Pieces(dict):
 
 
 class Tokenized:
-    """Ids of texts by the tokenizers library, which sees each distinct word of a worker once. Words are told apart by two hashes,
-    of 64 and 35 bits and more.
+    """Ids of texts by the tokenizers library, which sees each distinct word of a worker once. Words are told apart by two
+    independent hashes of 64 bits.
 
     The tokenizer's normaliser and splitter act on words between white space separately, and to the splitter letters
     and the punctuation after them are two pieces. So the ids of a text are those of its pieces one after another. A batch
     is lower-cased in ASCII and cut at blanks, and before a stop or comma between an ASCII letter and a blank, as one array of bytes.
     New pieces of letters or of punctuation go to the library in one line, apart by blanks, and its word ends part their ids again;
-    what is neither goes to it one by one."""
+    what is neither goes to it one by one. A text that holds strings of special tokens falls into what stands between them, as in the library."""
 
     TAIL = ".,;:!?%&#$*|"
     FOLD = np.arange(256, dtype=np.uint8)
@@ -167,7 +175,12 @@ class Tokenized:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        special = {t.content: i for i, t in self.tokenizer.get_added_tokens_decoder().items()}
+        if any(t.lstrip or t.rstrip or t.single_word or t.normalized for t in self.tokenizer.get_added_tokens_decoder().values()):
+            raise ValueError(f"{path}: added tokens that take in what is around them are not supported")
+        self.special, either = special, "|".join(map(re.escape, sorted(special, key=len, reverse=True)))
+        self.parts = re.compile(f"({either})") if special else None
+        self.tokenizer.encode_special_tokens = True  # texts are cut at special tokens before; what only looks like one in lower case is none
         vocabulary = self.tokenizer.get_vocab()
         self.closes = np.zeros(max(vocabulary.values()) + 1, bool)
         self.closes[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
@@ -244,8 +257,8 @@ class Tokenized:
         upto = np.concatenate(([0], np.cumsum(some)))[np.searchsorted(blanks, place[len(at) - len(ends) :]) + 1]
         return data, starts[some], lengths[some], upto
 
-    def __call__(self, texts: pa.Array, end: int) -> tuple[np.ndarray, np.ndarray]:
-        """All ids, each text's followed by the end id, and the number of ids of each text; texts has no nulls."""
+    def plain(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """All ids, and the number of ids up to the end of each text, of texts without special tokens."""
         if self.numbers.count > KNOWN:
             self.start()
         data, starts, lengths, upto = self.words(texts)
@@ -258,7 +271,23 @@ class Tokenized:
             self.numbers.add(keys[0][new], keys[1][new])
             at = self.numbers(*keys)
         ids, n = gathered(self.word_ids, self.word_offsets, self.word_lengths, at)
-        ends = np.concatenate(([0], np.cumsum(n)))[upto]
+        return ids, np.concatenate(([0], np.cumsum(n)))[upto]
+
+    def __call__(self, texts: pa.Array, end: int) -> tuple[np.ndarray, np.ndarray]:
+        """All ids, each text's followed by the end id, and the number of ids of each text; texts has no nulls."""
+        has = np.zeros(len(texts), bool)
+        for token in self.special:
+            has |= pc.match_substring(texts, token).to_numpy(zero_copy_only=False)
+        if not has.any():
+            ids, ends = self.plain(texts)
+        else:
+            # every odd part of a text is a special token, with one id
+            parts = [self.parts.split(t) if h else [t] for t, h in zip(texts.to_pylist(), has.tolist(), strict=True)]
+            ids, upto = self.plain(pa.array([p for ps in parts for p in ps[::2]], pa.string()))
+            after = np.fromiter((i + 1 < len(ps) for ps in parts for i in range(0, len(ps), 2)), bool, len(upto))
+            ids = np.insert(ids, upto[after], np.fromiter((self.special[p] for ps in parts for p in ps[1::2]), np.uint32))
+            last = np.cumsum([len(ps) // 2 + 1 for ps in parts]) - 1
+            ends = (upto + np.cumsum(after))[last]
         return np.insert(ids, ends, np.uint32(end)), np.diff(ends, prepend=0) + 1
 
 
@@ -269,14 +298,13 @@ def tokenized(path: str) -> Tokenized:
 
 def write(docs: DataFrame, path: str, end: int) -> DataFrame:
     """Tokenizes the texts and writes shards (part, seq, n_ids, shard) in ascending doc_id order; returns what was written."""
-    spark = docs.sparkSession
-    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
-    bounds = rows.approxQuantile("doc_id", [i / n for i in range(1, n)], 1 / (4 * n)) if n > 1 else []
-    bounds = sorted({int(b) for b in bounds})
-    part = F.coalesce(F.size(F.filter(F.array(*map(F.lit, bounds)).cast("array<bigint>"), lambda b: b <= F.col("doc_id"))), F.lit(0)) if bounds else F.lit(0)
-    rows = rows.select("doc_id", "text", part.cast("int").alias("part")).repartitionById(len(bounds) + 1, F.col("part"))
-    rows = rows.sortWithinPartitions(F.asc_nulls_first("doc_id"), F.xxhash64("text"))
+    size = rows.agg(F.sum(F.octet_length("text") + 8)).first()[0] or 0
+    ranges = min(MOST_RANGES, -(-size // RANGE_BYTES) or 1)
+    # rows that are equal in both are parted by where they are read: any order of theirs gives the same bytes
+    order = [F.asc_nulls_first("doc_id"), F.xxhash64("text"), F.monotonically_increasing_id()]
+    rows = rows.select("doc_id", "text", order[1].alias("h"), order[2].alias("read"))
+    rows = rows.repartitionByRange(ranges, order[0], F.col("h"), F.col("read")).sortWithinPartitions(order[0], "h").select("doc_id", "text", F.spark_partition_id().alias("part"))
 
     def shards(batches):
         tok = tokenized(path)
