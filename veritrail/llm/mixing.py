@@ -5,36 +5,40 @@ sequence of slots, each filled by one block. A source's quota of slots covers it
 its blocks in the order of a pseudorandom permutation of their indices, as often as the target asks, and the last slot takes only
 the words that are still missing. Output shards of SHARD_SLOTS slots draw how many slots each source has there: multinomial
 draws given the quotas, so that all shards together meet the quotas exactly. The draws come from a binary tree of
-splits with a seed for each node, so that any shard finds its own counts, and the counts before it, by itself. Slots join the
-documents' blocks by (source, index).
+splits with a seed for each node (`draws.py`, the same exact law at every size), so that any shard finds its own counts, and the
+counts before it, by itself. Slots join the documents' blocks by (source, index).
 
 Targets: sources by code point, null last, weigh 1, 2, 3, repeating, and share the sum of all sizes; a target stops at
 MOST times its source's size, the excess being shared by weight again until none is above. As a block fills at most MOST slots of a full
 pass each, no document gives more than MOST times its words.
 
+Rows that are equal in all columns are one entry with a number of copies, which follow one another: a group of any size is one row
+until its places are known.
+
 Defined cases: a null or wordless text has size 0 and gives nothing; null doc_ids are documents like others; rows that repeat come one
-after another, and each is counted; other columns are ignored (and kept by `mixed`). More than MAX_SOURCES sources are refused.
+after another, and each is counted; other columns are ignored but for the order of rows that share id and size (and kept by `mixed`).
+More than MAX_SOURCES sources are refused.
 """
 
 from __future__ import annotations
 
 import re
+from math import isqrt
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .base import SPACE, stored
+from .draws import multivariate
 
 BLOCK = 256
 SHARD_SLOTS = 4096
-BUCKETS = 4096
 MOST = 3
 MAX_SOURCES = 100_000
 SEED = 20_240_101
-EXACT = 900_000_000
 
 
 def targets(sizes: list[int], weights: list[float] | None = None, most: int = MOST) -> list[float]:
@@ -83,8 +87,8 @@ class Permutation:
 class Plan:
     """What each source gives: sizes, targets and slots."""
 
-    def __init__(self, sources: list[str | None], sizes: list[int], weights: list[float] | None = None):
-        self.sources, self.sizes, self.targets = sources, sizes, targets(sizes, weights)
+    def __init__(self, sources: list[str | None], sizes: list[int], weights: list[float] | None = None, entries: int = 0):
+        self.sources, self.sizes, self.targets, self.entries = sources, sizes, targets(sizes, weights), entries
         self.blocks = [-(-s // BLOCK) for s in sizes]
         self.quota, self.trim = [], []
         for k, (size, blocks) in enumerate(zip(sizes, self.blocks, strict=True)):
@@ -105,18 +109,6 @@ class Plan:
         self.slots = sum(self.quota)
         self.shards = -(-self.slots // SHARD_SLOTS)
 
-    def split(self, quota: np.ndarray, n: int, rng: np.random.Generator) -> np.ndarray:
-        """How many of n slots each source has, if all orders of the quotas are alike."""
-        if quota.sum() < EXACT:
-            return rng.multivariate_hypergeometric(quota, n, method="marginals")
-        out, left, need = np.zeros_like(quota), int(quota.sum()), n
-        for k, q in enumerate(quota.tolist()):  # the normal law, beyond what the generator takes
-            share = need / left if left else 0.0
-            sd = np.sqrt(max(0.0, q * share * (1 - share) * (left - q) / max(1, left - 1)))
-            out[k] = min(max(round(q * share + sd * rng.standard_normal()), need - (left - q), 0), q, need)
-            left, need = left - q, need - int(out[k])
-        return out
-
     def counts(self, first: int, last: int):
         """(shard, slots of each source before it, slots of each source in it) for shards first to last."""
 
@@ -127,7 +119,7 @@ class Plan:
                 yield lo, before, quota
                 return
             mid = (lo + hi) // 2
-            left = self.split(quota, (mid - lo) * SHARD_SLOTS, np.random.default_rng([SEED, lo, hi]))
+            left = multivariate(quota, (mid - lo) * SHARD_SLOTS, np.random.default_rng([SEED, lo, hi]))
             yield from walk(lo, mid, before, left)
             yield from walk(mid, hi, before + left, quota - left)
 
@@ -136,18 +128,28 @@ class Plan:
             yield from walk(0, self.shards, np.zeros_like(quota), quota)
 
 
+ENTRY = ("doc_id", "source", "size", "h")
+
+
+def keyed(docs: DataFrame) -> list[Column]:
+    """What tells a row from others: id, source, size, and a hash of all columns."""
+    size = F.coalesce(F.regexp_count(F.col("text"), F.lit(SPACE)), F.lit(0)).cast("long")
+    whole = [F.col(f"`{f.name}`") if "map" not in f.dataType.simpleString() and "variant" not in f.dataType.simpleString() else F.to_json(F.struct(f"`{f.name}`")) for f in docs.schema.fields]
+    return [c.alias(n) for c, n in zip((F.col("doc_id").cast("long"), F.col("source").cast("string"), size, F.xxhash64(*whole)), ENTRY, strict=True)]
+
+
 def sized(docs: DataFrame) -> DataFrame:
-    """(doc_id, source, size)."""
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("source"), F.coalesce(F.regexp_count("text", F.lit(SPACE)), F.lit(0)).cast("long").alias("size"))
+    """(doc_id, source, size, h, copies): an entry for each distinct row."""
+    return docs.select(*keyed(docs)).groupBy(*ENTRY).agg(F.count("*").alias("copies"))
 
 
 def plan_of(rows: DataFrame, weights: list[float] | None = None) -> Plan:
     """rows: as from sized. A row a source comes to the driver."""
-    found = rows.groupBy("source").agg(F.sum("size").alias("n")).limit(MAX_SOURCES + 1).collect()
+    found = rows.groupBy("source").agg(F.sum(F.col("size") * F.col("copies")).alias("n"), F.count("*").alias("entries")).limit(MAX_SOURCES + 1).collect()
     if len(found) > MAX_SOURCES:
         raise ValueError(f"more than {MAX_SOURCES} sources")
     found.sort(key=lambda r: (r["source"] is None, r["source"] or ""))
-    return Plan([r["source"] for r in found], [r["n"] for r in found], weights)
+    return Plan([r["source"] for r in found], [r["n"] for r in found], weights, sum(r["entries"] for r in found))
 
 
 def slots(spark, plan: Plan) -> DataFrame:
@@ -158,8 +160,8 @@ def slots(spark, plan: Plan) -> DataFrame:
         p = shared.value
         perms = {}
         for b in batches:
-            for shard in b.column("id").to_pylist():
-                for _, before, count in p.counts(shard, shard + 1):
+            if b.num_rows:  # the shards of a task follow one another
+                for shard, before, count in p.counts(b.column("id")[0].as_py(), b.column("id")[b.num_rows - 1].as_py() + 1):
                     ks = np.repeat(np.arange(len(count)), count)
                     parts, words = [], []
                     for k in np.nonzero(count)[0].tolist():
@@ -177,24 +179,31 @@ def slots(spark, plan: Plan) -> DataFrame:
 
 
 def numbered(rows: DataFrame, plan: Plan) -> DataFrame:
-    """rows with the source's number k and the place of their first word in the source's stream.
+    """Entries with the source's number k and size, and the place of their first word in the source's stream.
 
     Places are sums over hash buckets, then within them: no source is ordered in one task."""
     spark = rows.sparkSession
-    names = spark.createDataFrame([(s, k) for k, s in enumerate(plan.sources)] or [(None, 0)], "k_source string, k int")
+    names = spark.createDataFrame(list(zip(plan.sources, range(len(plan.sources)), plan.sizes, strict=True)) or [(None, 0, 0)], "k_source string, k int, k_size long")
     rows = rows.join(F.broadcast(names), F.col("source").eqNullSafe(F.col("k_source"))).drop("k_source")
-    rows = rows.withColumn("bucket", F.pmod(F.xxhash64("doc_id", "size"), F.lit(BUCKETS)).cast("int"))
-    totals = rows.groupBy("k", "bucket").agg(F.sum("size").alias("n"))
+    buckets = 1 + 4 * isqrt(plan.entries)  # neither they nor their rows grow faster than the root of the entries
+    rows = rows.withColumn("bucket", F.pmod(F.xxhash64("doc_id", "size", "h"), F.lit(buckets)).cast("int")).withColumn("all", F.col("size") * F.col("copies"))
+    totals = rows.groupBy("k", "bucket").agg(F.sum("all").alias("n"))
     ahead = Window.partitionBy("k").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     totals = totals.select(F.col("k").alias("t_k"), F.col("bucket").alias("t_bucket"), F.coalesce(F.sum("n").over(ahead), F.lit(0)).alias("base"))
-    inside = Window.partitionBy("k", "bucket").orderBy("doc_id", "size").rowsBetween(Window.unboundedPreceding, -1)
-    rows = rows.withColumn("inner", F.coalesce(F.sum("size").over(inside), F.lit(0)))
+    inside = Window.partitionBy("k", "bucket").orderBy("doc_id", "size", "h").rowsBetween(Window.unboundedPreceding, -1)
+    rows = rows.withColumn("inner", F.coalesce(F.sum("all").over(inside), F.lit(0)))
     rows = rows.join(totals, (F.col("k") == F.col("t_k")) & (F.col("bucket") == F.col("t_bucket")))
-    return rows.withColumn("start", F.col("base") + F.col("inner")).drop("bucket", "inner", "base", "t_k", "t_bucket")
+    return rows.withColumn("first", F.col("base") + F.col("inner")).drop("bucket", "inner", "base", "all", "t_k", "t_bucket")
+
+
+def each(entries: DataFrame) -> DataFrame:
+    """A row for each copy of an entry, with its own place `start`."""
+    copies = F.explode(F.sequence(F.lit(0).cast("long"), F.col("copies") - 1))
+    return entries.withColumn("copy", copies).withColumn("start", F.col("first") + F.col("copy") * F.col("size")).drop("copy")
 
 
 def pieces(rows: DataFrame, mix: DataFrame) -> DataFrame:
-    """(k, start, size, doc_id, lo, hi, times, part): for each document and block the words lo to hi, taken `times` times, and once more up to `part`."""
+    """(k, first, start, lo, hi, times, part): for each document and block the words lo to hi, taken `times` times, and once more up to `part`."""
     spans = rows.where("size > 0").withColumn("block", F.explode(F.sequence(F.expr(f"start div {BLOCK}"), F.expr(f"(start + size - 1) div {BLOCK}"))))
     spans = spans.withColumn("lo", F.greatest(F.lit(0), F.col("block") * BLOCK - F.col("start"))).withColumn("hi", F.least(F.col("size"), (F.col("block") + 1) * BLOCK - F.col("start")))
     # the trimmed slot is the one whose words are fewer than the block's
@@ -206,29 +215,26 @@ def pieces(rows: DataFrame, mix: DataFrame) -> DataFrame:
     trimmed = F.col("least") < F.least(F.lit(BLOCK), F.col("k_size") - F.col("block") * BLOCK)
     times = F.when(trimmed, F.col("n") - 1).otherwise(F.col("n"))
     part = F.when(trimmed, F.greatest(F.col("lo"), F.least(F.col("hi"), end + F.col("least")))).otherwise(F.col("lo"))
-    return out.select("k", "start", "size", "doc_id", "lo", "hi", times.alias("times"), part.alias("part"))
+    return out.select("k", "first", "start", "lo", "hi", times.alias("times"), part.alias("part"))
 
 
 def prepared(docs: DataFrame, weights: list[float] | None = None) -> tuple[Plan, DataFrame, DataFrame]:
-    """The plan, the placed rows (doc_id, source, size, k, start, k_size) and the slots."""
+    """The plan, the entries with their places (doc_id, source, size, h, copies, k, first, k_size) and the slots."""
     rows = stored(sized(docs), "sizes")
     plan = plan_of(rows, weights)
-    spark = docs.sparkSession
-    known = spark.createDataFrame([(k, s) for k, s in enumerate(plan.sizes)] or [(0, 0)], "s_k int, k_size long")
-    placed = numbered(rows, plan).join(F.broadcast(known), F.col("k") == F.col("s_k")).drop("s_k")
-    return plan, placed, slots(spark, plan)
+    return plan, numbered(rows, plan), slots(docs.sparkSession, plan)
 
 
 def taken(docs: DataFrame, weights: list[float] | None = None) -> DataFrame:
     """(doc_id, size, source_size, target, taken) of every row."""
-    plan, placed, mix = prepared(docs, weights)
-    spark = docs.sparkSession
-    aims = F.broadcast(spark.createDataFrame([(k, float(t)) for k, t in enumerate(plan.targets)] or [(0, 0.0)], "a_k int, target double"))
-    got = pieces(placed, mix).withColumn("w", (F.col("hi") - F.col("lo")) * F.col("times") + F.col("part") - F.col("lo"))
+    plan, placed, mix = prepared(docs.select("doc_id", "source", "text"), weights)
+    aims = F.broadcast(docs.sparkSession.createDataFrame([(k, float(t)) for k, t in enumerate(plan.targets)] or [(0, 0.0)], "a_k int, target double"))
+    rows = each(placed)
+    got = pieces(rows, mix).withColumn("w", (F.col("hi") - F.col("lo")) * F.col("times") + F.col("part") - F.col("lo"))
     got = got.groupBy(F.col("k").alias("g_k"), F.col("start").alias("g_start")).agg(F.sum("w").alias("w"))
-    some = placed.where("size > 0").join(got, (F.col("k") == F.col("g_k")) & (F.col("start") == F.col("g_start")), "left")
-    rows = some.select("doc_id", "size", "k", "k_size", F.coalesce("w", F.lit(0)).alias("taken")).unionByName(placed.where("size = 0").select("doc_id", "size", "k", "k_size", F.lit(0).cast("long").alias("taken")))
-    return rows.join(aims, F.col("k") == F.col("a_k")).select("doc_id", "size", F.col("k_size").alias("source_size"), "target", "taken")
+    some = rows.where("size > 0").join(got, (F.col("k") == F.col("g_k")) & (F.col("start") == F.col("g_start")), "left")
+    out = some.select("doc_id", "size", "k", "k_size", F.coalesce("w", F.lit(0)).alias("taken")).unionByName(rows.where("size = 0").select("doc_id", "size", "k", "k_size", F.lit(0).cast("long").alias("taken")))
+    return out.join(aims, F.col("k") == F.col("a_k")).select("doc_id", "size", F.col("k_size").alias("source_size"), "target", "taken")
 
 
 def mixed(docs: DataFrame, weights: list[float] | None = None) -> DataFrame:
@@ -237,15 +243,21 @@ def mixed(docs: DataFrame, weights: list[float] | None = None) -> DataFrame:
     A row in which all words are taken has the text as it was; else its runs of taken words stand in lines of their own, and n_chars,
     where there is such a column, is theirs. Columns are those of docs."""
     _, placed, mix = prepared(docs, weights)
-    same = Window.partitionBy("doc_id", "source", "size").orderBy("start")
-    placed = placed.withColumn("rn", F.row_number().over(same))
-    got = pieces(placed, mix).groupBy("k", "start").agg(F.collect_list(F.struct("lo", "hi", "times", "part")).alias("spans"))
-    got = placed.where("size > 0").select("doc_id", "source", "size", "rn", "k", "start").join(got, ["k", "start"])
-    got = got.select(F.col("doc_id").alias("g_id"), F.col("source").alias("g_source"), F.col("size").alias("g_size"), F.col("rn").alias("g_rn"), F.col("spans").alias("g_spans"))
+    placed = placed.where("size > 0")
+    got = pieces(each(placed), mix).groupBy("k", "first", "start").agg(F.collect_list(F.struct("lo", "hi", "times", "part")).alias("g_spans"))
     names = docs.columns
-    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in names]).alias("row"), *[c.alias(f"d_{i}") for i, c in enumerate((F.col("doc_id").cast("long"), F.col("source").cast("string"), F.coalesce(F.regexp_count("text", F.lit(SPACE)), F.lit(0)).cast("long")))])
-    rows = rows.withColumn("d_rn", F.row_number().over(Window.partitionBy("d_0", "d_1", "d_2").orderBy(F.xxhash64("row.text"))))
-    both = rows.join(got, F.col("d_0").eqNullSafe(F.col("g_id")) & F.col("d_1").eqNullSafe(F.col("g_source")) & (F.col("d_2") == F.col("g_size")) & (F.col("d_rn") == F.col("g_rn")))
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in names]).alias("row"), *[c.alias(f"d_{n}") for c, n in zip(keyed(docs), ENTRY, strict=True)])
+
+    def of(entries: DataFrame) -> DataFrame:
+        """The rows of these entries, with the places of their sources' streams."""
+        same = F.lit(True)
+        for n in ENTRY:
+            same = same & F.col(f"d_{n}").eqNullSafe(F.col(n))
+        return rows.join(entries.select(*ENTRY, F.col("k").alias("p_k"), F.col("first").alias("p_first")), same).select("row", "p_k", "p_first")
+
+    # of rows that are equal one stands for all: each copy has its own spans
+    one = of(placed.where("copies = 1")).unionByName(of(placed.where("copies > 1")).dropDuplicates(["p_k", "p_first"]))
+    both = one.join(got, (F.col("p_k") == F.col("k")) & (F.col("p_first") == F.col("first")))
     word = re.compile(SPACE)
 
     @F.pandas_udf("array<string>")
