@@ -2,34 +2,37 @@
 
 All of it is DataFrame code. The labelled URLs are those that a rule decides (block is 1), or any rows (url, y) that a caller
 gives. Features: lengths, depth, share of digits, entropy of the characters, numbers of parameters, hyphens and host
-labels, and suffix statistics: the smoothed rate of label 1 by host suffix, of the last label and of the last two. Each feature is cut at
-quantiles of the sample; a level of a tree takes one aggregate of gradients and curvatures by (node, feature, bin),
-of which MAX_NODES x features x BINS rows at most come to the driver. The trees become one column expression.
+labels, and suffix statistics: the smoothed rate of label 1 by host suffix, of the last label and of the last two. A URL that is learned from
+gets the rates of the other folds of the sample. Each feature is cut at quantiles of the sample; the counts by (bins, label), at
+most MAX_ROWS, come to the driver, which grows the trees from them. The trees become one column expression.
 
-The sample: at most MAX_ROWS labelled URLs, the first in an order by hash of the URL. Suffixes are hashed to SUFFIX_BUCKETS buckets, so
-that their statistics have a fixed size.
+The sample: at most MAX_ROWS distinct labelled URLs, the first in an order by hash of the URL. Suffixes are hashed to SUFFIX_BUCKETS
+buckets, so that their statistics have a fixed size.
 
 Defined cases: a null URL, and one without `://`, has an empty host and path, no rule, and the trees' verdict; of rules of equal
-length the first in code point order decides; without two classes to learn from every URL scores the smoothed rate; repeated rows are
-judged each; other columns, of whatever name, are ignored.
+length the first in code point order decides; a URL with several labels teaches the largest; without two classes to learn from every
+URL scores the smoothed rate; repeated rows are judged each; other columns, of whatever name, are ignored.
 """
 
 from __future__ import annotations
 
 import math
 
+import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .base import stored
+from .base import below, stored
 
 ALLOW, BLOCK = "allow", "block"
 MAX_ROWS = 20_000
 SUFFIX_BUCKETS = 512
+#: Parts of the sample whose suffix rates come from the other parts.
+FOLDS = 4
 BINS = 16
 TREES, DEPTH, RATE, LEAST_WEIGHT = 12, 3, 0.3, 5.0
-#: Rules that become one expression; more are joined by host suffix.
-RULES_INLINE = 500
+#: Rules that become one expression; more are joined by host suffix, and broadcast up to so many (some 200 bytes each).
+RULES_INLINE, RULES_BROADCAST = 500, 200_000
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 FEATURES = ("length", "host_length", "path_length", "depth", "labels", "digits", "entropy", "parameters", "hyphens", "suffix", "suffix2")
 
@@ -63,6 +66,8 @@ def ruled(urls: DataFrame, rules: list[tuple[str, str]]) -> DataFrame:
     table = urls.sparkSession.createDataFrame(parts, "r_host string, r_path string, r_rule string, r_decision string")
     labels = F.split("host", r"\.")
     suffixes = F.transform(F.sequence(F.lit(1), F.size(labels)), lambda i: F.array_join(F.slice(labels, i, F.size(labels)), "."))
+    if len(parts) <= RULES_BROADCAST:
+        table = F.broadcast(table)  # or the planner may take the pages' side, which grows
     # only hosts and paths meet the rules; what was found for them comes back to their rows
     pairs = urls.select("host", "path").distinct().select(F.col("host").alias("p_host"), F.col("path").alias("p_path"), F.explode(suffixes).alias("s"))
     met = pairs.join(table, (F.col("s") == F.col("r_host")) & F.col("p_path").startswith(F.col("r_path")))
@@ -99,20 +104,25 @@ def lexical() -> dict[str, Column]:
     }
 
 
+def numbers(values) -> Column:
+    return F.expr("array(" + ", ".join(f"{float(v)!r}D" for v in values) + ")")
+
+
 class Trees:
     """Boosted trees as a column expression over columns url, host and path."""
 
-    def __init__(self, prior: float, rates: dict[str, dict[int, float]] | None = None):
+    def __init__(self, prior: float, rates: dict[str, np.ndarray] | None = None):
         self.prior, self.rates = prior, rates or {}
         self.cuts: dict[str, list[float]] = {}
         self.trees: list[tuple] = []
 
-    def features(self) -> dict[str, Column]:
-        out = lexical()
+    def features(self, rates: dict[str, np.ndarray] | None = None, fold: Column | None = None) -> dict[str, Column]:
+        """All features; rates: by bucket, or by bucket and fold."""
+        out, rates = lexical(), rates if rates is not None else self.rates
         for name, labels in (("suffix", 1), ("suffix2", 2)):
-            known = self.rates.get(name, {})
-            rate = F.element_at(F.map_from_arrays(F.array(*[F.lit(b) for b in known]), F.array(*[F.lit(r) for r in known.values()])), suffix_bucket(F.col("host"), labels)) if known else F.lit(None)
-            out[name] = F.coalesce(rate.cast("double"), F.lit(self.prior))
+            bucket = suffix_bucket(F.col("host"), labels)
+            place = bucket if fold is None else bucket * FOLDS + fold
+            out[name] = F.element_at(numbers(rates[name].ravel()), place + 1) if name in rates else F.lit(self.prior)
         return out
 
     def node_value(self, node: tuple) -> Column:
@@ -130,70 +140,62 @@ class Trees:
 
 def fit(labelled: DataFrame, max_rows: int = MAX_ROWS) -> Trees:
     """Trees for rows (url, host, path, y)."""
-    sample = labelled.select("url", "host", "path", F.col("y").cast("double").alias("y")).orderBy(F.xxhash64("url"), "url", "y").limit(max_rows)
-    sample = stored(sample, "urls")
-    totals = sample.agg(F.count("*").alias("n"), F.sum("y").alias("s")).first()
-    n, ones = totals["n"], totals["s"] or 0.0
+    rows = labelled.select(F.coalesce("url", F.lit("")).alias("url"), "host", "path", F.col("y").cast("double").alias("y"))
+    limit = below(rows.agg(F.approx_count_distinct("url")).first()[0], max_rows)
+    sample = rows.where(F.xxhash64("url") <= limit).groupBy("url", "host", "path").agg(F.max("y").alias("y"))
+    sample = stored(sample.orderBy(F.xxhash64("url"), "url").limit(max_rows).withColumn("fold", F.pmod(F.xxhash64("url", F.lit(1)), F.lit(FOLDS)).cast("int")), "urls")
+    suffixes = F.array(*[F.struct(F.lit(name).alias("name"), suffix_bucket(F.col("host"), labels).alias("b")) for name, labels in (("suffix", 1), ("suffix2", 2))])
+    found = sample.select("fold", "y", F.explode(suffixes).alias("s")).groupBy("s.name", "s.b", "fold").agg(F.count("*").alias("n"), F.sum("y").alias("ones")).collect()
+    counts = {name: np.zeros((2, SUFFIX_BUCKETS, FOLDS)) for name in ("suffix", "suffix2")}
+    for r in found:
+        counts[r["name"]][:, r["b"], r["fold"]] = r["n"], r["ones"]
+    n, ones = counts["suffix"].sum((1, 2)).tolist()
     model = Trees((ones + 1) / (n + 2))
-    if n < 2 or ones in (0.0, float(n)):
+    if n < 2 or ones in (0.0, n):
         return model
-    for name, labels in (("suffix", 1), ("suffix2", 2)):
-        rows = sample.groupBy(suffix_bucket(F.col("host"), labels).alias("b")).agg(F.count("*").alias("n"), F.sum("y").alias("s")).collect()
-        model.rates[name] = {r["b"]: (r["s"] + 4 * model.prior) / (r["n"] + 4) for r in sorted(rows, key=lambda r: r["b"])}
-    sample = sample.select("y", *[c.alias(f"f_{k}") for k, c in model.features().items()])
+    others = {}
+    for name, c in counts.items():
+        total = c.sum(2, keepdims=True)
+        model.rates[name] = ((total[1] + 4 * model.prior) / (total[0] + 4))[:, 0]
+        others[name] = ((total - c)[1] + 4 * model.prior) / ((total - c)[0] + 4)
+    sample = stored(sample.select("y", *[c.alias(f"f_{k}") for k, c in model.features(others, F.col("fold")).items()]), "features")
     quantiles = sample.approxQuantile([f"f_{k}" for k in FEATURES], [i / BINS for i in range(1, BINS)], 1 / (4 * BINS))
     model.cuts = {k: sorted(set(q)) for k, q in zip(FEATURES, quantiles, strict=True)}
-    # rows with the same label and the same bins are one row with a weight
-    kept = [k for k in FEATURES if model.cuts[k]]
-    lowest = {k: F.coalesce(*[F.when(F.col(f"f_{k}") <= c, F.lit(c)) for c in model.cuts[k]], F.lit(float("inf"))) for k in kept}
-    sample = stored(sample.select("y", *[c.alias(f"f_{k}") for k, c in lowest.items()]).groupBy("y", *[f"f_{k}" for k in kept]).agg(F.count("*").cast("double").alias("w")), "bins")
-    for _ in range(TREES):
-        model.trees.append(grow(sample, model, kept))
+    bins = {k: F.coalesce(*[F.when(F.col(f"f_{k}") <= c, F.lit(i)) for i, c in enumerate(model.cuts[k])], F.lit(len(model.cuts[k]))) for k in FEATURES if model.cuts[k]}
+    rows = sample.groupBy("y", *[c.alias(k) for k, c in bins.items()]).agg(F.count("*").alias("w")).collect()  # max_rows at most
+    rows = np.array(sorted(map(tuple, rows)), float)
+    model.trees = boosted(rows[:, 1:-1].astype(int), rows[:, 0], rows[:, -1], model.prior, [model.cuts[k] for k in bins], list(bins))
     return model
 
 
-def grow(sample: DataFrame, model: Trees, kept: list[str]) -> tuple:
-    """One tree on the gradients of the trees before."""
-    p = 1 / (1 + F.exp(-model.margin()))
-    rows = sample.withColumn("p", p).select("*", (F.col("w") * (F.col("p") - F.col("y"))).alias("g"), (F.col("w") * F.col("p") * (1 - F.col("p"))).alias("h"))
-    paths: list[tuple[Column, tuple]] = [(F.lit(True), ())]  # conditions of the open leaves, and the turns that lead to them
-    splits: dict[tuple, tuple[str, float]] = {}
-    leaves: dict[tuple, float] = {}
-    for level in range(DEPTH + 1):
-        node = F.coalesce(*[F.when(c, F.lit(i)) for i, (c, _) in enumerate(paths)], F.lit(-1))
-        bins = F.explode(F.array(*[F.struct(F.lit(k).alias("k"), F.col(f"f_{k}").alias("at")) for k in kept]))
-        found = rows.select(node.alias("node"), "g", "h", bins.alias("b")).where("node >= 0").groupBy("node", "b.k", "b.at").agg(F.sum("g").alias("g"), F.sum("h").alias("h")).collect()
-        following = []
-        for i, (condition, turns) in enumerate(paths):
-            mine = [r for r in found if r["node"] == i]
-            one = [r for r in mine if r["k"] == kept[0]]
-            g, h = sum(r["g"] for r in one), sum(r["h"] for r in one)
-            best = None
-            for k in kept if level < DEPTH else ():
-                left_g = left_h = 0.0
-                for r in sorted((r for r in mine if r["k"] == k), key=lambda r: r["at"])[:-1]:
-                    left_g, left_h = left_g + r["g"], left_h + r["h"]
-                    right_g, right_h = g - left_g, h - left_h
-                    if min(left_h, right_h) >= LEAST_WEIGHT / 4:
-                        gain = left_g**2 / (left_h + 1) + right_g**2 / (right_h + 1) - g**2 / (h + 1)
-                        if gain > 1e-6 and (best is None or gain > best[0] + 1e-9):
-                            best = (gain, k, r["at"])
-            if best is None:
-                leaves[turns] = -RATE * g / (h + 1)
-                continue
-            splits[turns] = best[1:]
-            below = F.col(f"f_{best[1]}") <= best[2]
-            following += [(condition & below, (*turns, 0)), (condition & ~below, (*turns, 1))]
-        paths = following
-        if not paths:
-            break
-
-    def built(turns: tuple) -> tuple:
-        if turns in splits:
-            return (*splits[turns], built((*turns, 0)), built((*turns, 1)))
-        return (leaves[turns],)
-
-    return built(())
+def boosted(bins: np.ndarray, y: np.ndarray, w: np.ndarray, prior: float, cuts: list[list[float]], names: list[str]) -> list[tuple]:
+    """Trees for rows of bins (row, feature) with label y and weight w, each on the gradients that the trees before leave.
+
+    A split is at the first feature and cut of the largest gain; a node is (value,) or (feature, cut, node up to the cut, node above)."""
+    margin, trees, wide = np.full(len(y), math.log(prior / (1 - prior))), [], max(map(len, cuts), default=0) + 1
+    for _ in range(TREES):
+        p = 1 / (1 + np.exp(-margin))
+        g, h = w * (p - y), w * p * (1 - p)
+
+        def grow(rows: np.ndarray, depth: int) -> tuple:
+            sum_g, sum_h, best = g[rows].sum(), h[rows].sum(), (1e-6, 0, 0)
+            for f in range(len(cuts)) if depth < DEPTH else ():
+                left_g, left_h = (np.cumsum(np.bincount(bins[rows, f], x[rows], wide))[: len(cuts[f])] for x in (g, h))
+                right_g, right_h = sum_g - left_g, sum_h - left_h
+                gain = left_g**2 / (left_h + 1) + right_g**2 / (right_h + 1) - sum_g**2 / (sum_h + 1)
+                gain[np.minimum(left_h, right_h) < LEAST_WEIGHT / 4] = 0
+                for i in range(len(gain)):
+                    if gain[i] > best[0] + 1e-9:
+                        best = (gain[i], f, i)
+            if best[0] <= 1e-6:
+                value = float(-RATE * sum_g / (sum_h + 1))
+                margin[rows] += value
+                return (value,)
+            below = bins[rows, best[1]] <= best[2]
+            return (names[best[1]], cuts[best[1]][best[2]], grow(rows[below], depth + 1), grow(rows[~below], depth + 1))
+
+        trees.append(grow(np.arange(len(y)), 0))
+    return trees
 
 
 def judged(pages: DataFrame, rules: list[tuple[str, str]], labelled: DataFrame | None = None) -> DataFrame:
