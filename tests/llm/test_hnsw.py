@@ -63,7 +63,6 @@ def test_no_cap_on_partners():
 @pytest.mark.parametrize("shard_rows", [20_000, 60])
 def test_query_equals_all_pairs(spark, monkeypatch, tmp_path, shard_rows):
     monkeypatch.setattr(hnsw, "SHARD_ROWS", shard_rows)
-    monkeypatch.setattr(hnsw, "QUERY_ROWS", 2 * shard_rows)
     x = planted(200, 16, 60, 5)
     rows = [(i, v.tolist(), i % 2) for i, v in enumerate(x)] + [(900 + i, x[3].tolist(), 1) for i in range(5)]
     spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int").write.parquet(f"{tmp_path}/embeddings.parquet")
@@ -72,6 +71,37 @@ def test_query_equals_all_pairs(spark, monkeypatch, tmp_path, shard_rows):
     assert all(r["kept"] == (r["vec_id"] == r["component_id"]) for r in got)
 
 
+def shard(x, first):
+    x = hnsw.unit(x.astype(float))
+    g = hnsw.Graph(x.astype(np.float32))
+    return (g, x, np.arange(first, first + len(x)), np.ones(len(x), np.int64)), hnsw.audit(g, 0.93)[0]
+
+
+def test_links_have_two_ends():
+    """Clusters whose members are about as far apart as links may be: both ends of a link count it, and next to none is lost."""
+    rng = np.random.default_rng(8)
+    c = rng.normal(size=(30, 48))
+    c /= np.linalg.norm(c, axis=1, keepdims=True)
+    x = c[rng.integers(0, 30, 3000)] + 0.27 / np.sqrt(48) * rng.normal(size=(3000, 48))
+    (a, beam_a), (b, beam_b) = shard(x[:1600], 0), shard(x[1600:], 1600)
+    near = hnsw.unit(x) @ hnsw.unit(x).T >= 0.93
+    np.fill_diagonal(near, False)
+    assert 20_000 < near.sum() < 700_000
+    ab, ba = hnsw.meet(a, b, (beam_a, beam_b), 0.93), hnsw.meet(b, a, (beam_b, beam_a), 0.93)
+    assert (ab[0] == ba[1]).all() and (ab[1] == ba[0]).all() and ab[0].sum() == ab[1].sum()
+    own = hnsw.meet(a, a, (beam_a, beam_a), 0.93)[0]
+    assert (ab[0] <= near[:1600, 1600:].sum(1)).all() and (own <= near[:1600, :1600].sum(1)).all()
+    assert ab[0].sum() + own.sum() >= 0.99999 * near[:1600].sum()
+
+
+def test_large_ids_stay_whole(spark, tmp_path):
+    big = (1 << 62) + 1
+    rows = [(big, [1.0, 0.0], 1), (big + 2, [1.0, 0.001], 1), (big + 4, [0.0, 1.0], 1)]
+    spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int").write.parquet(f"{tmp_path}/embeddings.parquet")
+    got = {r["vec_id"]: (r["n_links"], r["component_id"], r["kept"]) for r in hnsw.op4_hnsw(spark, str(tmp_path)).collect()}
+    assert got == {big: (1, big, True), big + 2: (1, big, False), big + 4: (0, big + 4, True)}
+
+
 def test_odd_rows(spark, odd):
     got = {}
     for r in hnsw.op4_hnsw(spark, odd[0]).collect():

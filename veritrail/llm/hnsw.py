@@ -1,13 +1,14 @@
 """Embedding near-duplicates by hierarchical navigable small-world graphs.
 
 Vectors meet only within a label (and a dimension). Equal vectors are one entry with a multiplicity. A label's entries are dealt by hash
-into shards of at most about SHARD_ROWS; each shard gets a graph, built from batches of entries, and an audit: probes at
+into shards of at most about SHARD_ROWS entries and SHARD_BYTES; each shard gets a graph, built from batches of entries, and an audit: probes at
 just the threshold's cosine from known entries, and exact searches for some entries, both to be found again. The beam is doubled until
 RECALL of them are; a beam as wide as the shard that still misses gives way to a scan. Graphs are stored in the shared folder. Then
-every entry queries every shard of its label, in blocks; a query whose beam holds nothing but neighbours within the threshold goes on with
-a wider one, so that there is no cap on partners. Hits are verified by their cosine in double precision.
+every entry queries every shard of its label. A query whose beam holds nothing but neighbours within the threshold goes on with a wider one,
+and by a scan beyond an eighth of the shard, so that there is no cap on partners. Hits are verified by their cosine in double precision.
 
-What a task emits are numbers of links, and a spanning forest of the links instead of all of them; components are their unions.
+A task takes two shards and searches both ways: what either end finds is a link of both, so that a link is lost only if both ends miss it,
+and both count it. It emits numbers of links, and a spanning forest of the links instead of all of them; components are their unions.
 
 Defined cases: null labels, and vectors that are null, empty, zero, or hold null or non-finite components, link with nothing; equal
 rows link with each other; of rows with a null vec_id only those link that equal a row with one;
@@ -27,8 +28,8 @@ from pyspark.sql import functions as F
 from .base import components, cut, stored
 from .simhash import forest
 
-SHARD_ROWS = 20_000
-QUERY_ROWS = 16_384
+#: Entries of a shard at most, about, and bytes of their vectors in double precision.
+SHARD_ROWS, SHARD_BYTES = 8192, 16 << 20
 #: Labels whose sizes are broadcast; more are joined by shuffle.
 LABELS_BROADCAST = 50_000
 LINKS, BASE_LINKS, BUILD_BEAM = 12, 24, 48
@@ -207,7 +208,7 @@ class Graph:
                 i, j = np.nonzero((sims >= least) & ~more[:, None])
                 yield rows[i], ids[i, j]
                 rows, start, width = rows[more], ids[more], 2 * width
-                if width >= n and len(rows):
+                if 8 * width >= n and len(rows):
                     for i, j in self.within(q[rows], least, 0):
                         yield rows[i], j
                     break
@@ -252,17 +253,61 @@ def entries(vectors: DataFrame) -> DataFrame:
 
 
 def shard_graphs(rows: DataFrame, threshold: float) -> DataFrame:
-    """(label, dim, shard, beam, recall, graph) for rows (label, dim, shard, id, n, v)."""
+    """(label, dim, shard, shards, beam, recall, graph) for rows (label, dim, shard, shards, id, n, v)."""
 
     def build(frame: pd.DataFrame) -> pd.DataFrame:
         frame = frame.sort_values("id")
         x = unit(np.stack(frame["v"].to_numpy()).astype(float))
         graph = Graph(x.astype(np.float32))
         beam, recall = audit(graph, threshold)
+        graph.x = None  # the entries' vectors are there in double precision
         body = pickle.dumps((graph, x, frame["id"].to_numpy(np.int64), frame["n"].to_numpy(np.int64)), protocol=5)
-        return pd.DataFrame({"label": frame["label"].iloc[:1], "dim": frame["dim"].iloc[:1], "shard": frame["shard"].iloc[:1], "beam": [beam], "recall": [recall], "graph": [body]})
-
-    return rows.groupBy("label", "dim", "shard").applyInPandas(build, "label long, dim int, shard int, beam int, recall double, graph binary")
+        return frame[["label", "dim", "shard", "shards"]].iloc[:1].assign(beam=beam, recall=recall, graph=[body])
+
+    return rows.groupBy("label", "dim", "shard").applyInPandas(build, "label long, dim int, shard int, shards int, beam int, recall double, graph binary")
+
+
+def opened(body: bytes) -> tuple[Graph, np.ndarray, np.ndarray, np.ndarray]:
+    graph, x, ids, n = pickle.loads(body)
+    graph.x = x.astype(np.float32)
+    return graph, x, ids, n
+
+
+def meet(a: tuple, b: tuple, beams: tuple[int, int], threshold: float) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """The numbers of links of a's entries in b and of b's in a, and a forest of the links. a and b may be the same shard."""
+    same = a[2] is b[2]
+    hits = np.zeros((len(a[2]), len(b[2])), bool)
+    for one, other, beam, to in ((a, b, beams[1], hits), (b, a, beams[0], hits.T)):
+        for i, j in one_way(one, other, beam, threshold):
+            to[i, j] = True
+        if same:
+            hits |= hits.T
+            np.fill_diagonal(hits, False)
+            break
+    mine, theirs = np.zeros(len(hits), np.int64), np.zeros(hits.shape[1], np.int64)
+    pairs, size = [(a[2][:0], a[2][:0])], 0
+    step = max(1, (1 << 21) // max(1, hits.shape[1]))
+    for k in range(0, len(hits), step):
+        i, j = np.nonzero(hits[k : k + step])
+        if len(i):
+            i += k
+            mine += np.bincount(i, b[3][j], len(mine)).astype(np.int64)
+            theirs += np.bincount(j, a[3][i], len(theirs)).astype(np.int64)
+            pairs.append(forest(a[2][i], b[2][j]))
+            size += len(pairs[-1][0])
+            if size > 4 * (len(mine) + len(theirs)):
+                pairs = [forest(*(np.concatenate(p) for p in zip(*pairs, strict=True)))]
+                size = len(pairs[0][0])
+    return mine, theirs, *(np.concatenate(p) for p in zip(*pairs, strict=True))
+
+
+def one_way(one: tuple, other: tuple, beam: int, threshold: float):
+    """Pairs (i, j) of an entry of one and an entry of the other that its own query finds there, and that are as close as it takes."""
+    for i, j in other[0].within(one[0].x, threshold - 1e-4, beam):
+        for k in range(0, len(i), 1 << 16):
+            p, q = i[k : k + (1 << 16)], j[k : k + (1 << 16)]
+            exact = np.einsum("kd,kd->k", one[1][p], other[1][q]) >= threshold
+            yield p[exact], q[exact]
 
 
 def linked(vectors: DataFrame, threshold: float) -> tuple[DataFrame, DataFrame, DataFrame]:
@@ -270,40 +315,27 @@ def linked(vectors: DataFrame, threshold: float) -> tuple[DataFrame, DataFrame,
     own = cut(entries(vectors.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("label").cast("long").alias("label"), "embedding")))
     rows = own.where("id is not null").withColumn("dim", F.size("v"))
     sizes = rows.groupBy("label", "dim").count()
-    sizes = cut(sizes.select(F.col("label").alias("s_label"), F.col("dim").alias("s_dim"), F.ceil(F.col("count") / SHARD_ROWS).cast("int").alias("shards"), F.ceil(F.col("count") / QUERY_ROWS).cast("int").alias("blocks")))
+    most = F.least(F.lit(SHARD_ROWS), F.greatest(F.lit(64), F.floor(F.lit(SHARD_BYTES) / (8 * F.col("dim")))))
+    sizes = cut(sizes.select(F.col("label").alias("s_label"), F.col("dim").alias("s_dim"), F.ceil(F.col("count") / most).cast("int").alias("shards")))
     if sizes.count() <= LABELS_BROADCAST:
         sizes = F.broadcast(sizes)
-    rows = rows.join(sizes, (F.col("label") == F.col("s_label")) & (F.col("dim") == F.col("s_dim"))).drop("s_label", "s_dim")
-    members = rows.withColumn("shard", F.pmod(F.xxhash64("id"), "shards").cast("int"))
-    graphs = stored(shard_graphs(members.select("label", "dim", "shard", "id", "n", "v"), threshold), "graphs")
-    left = graphs.join(sizes, (F.col("label") == F.col("s_label")) & (F.col("dim") == F.col("s_dim"))).select("label", "dim", "shard", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), "beam", "graph")
-    right = rows.select("label", "dim", F.explode(F.sequence(F.lit(0), F.col("shards") - 1)).alias("shard"), F.pmod(F.xxhash64("id", F.lit(3)), "blocks").cast("int").alias("block"), "id", "v")
-
-    def query(index: pd.DataFrame, frame: pd.DataFrame) -> pd.DataFrame:
-        found = [pd.DataFrame({"a": pd.Series([], dtype="int64"), "b": pd.Series([], dtype="int64"), "links": pd.Series([], dtype="int64")})]
-        if len(index) and len(frame):
-            graph, x, ids, n = pickle.loads(index["graph"].iloc[0])
-            q = unit(np.stack(frame["v"].to_numpy()).astype(float))
-            mine = frame["id"].to_numpy(np.int64)
-            links, pairs, size = np.zeros(len(q), np.int64), [], 0
-            for i, j in graph.within(q.astype(np.float32), threshold - 1e-4, int(index["beam"].iloc[0])):
-                exact = (mine[i] != ids[j]) & (np.einsum("kd,kd->k", q[i], x[j]) >= threshold)
-                i, j = i[exact], j[exact]
-                np.add.at(links, i, n[j])
-                pairs.append(forest(mine[i], ids[j]) if len(i) else (mine[:0], mine[:0]))
-                size += len(pairs[-1][0])
-                if size > 4 * len(q):
-                    pairs = [forest(*(np.concatenate(p) for p in zip(*pairs, strict=True)))]
-                    size = len(pairs[0][0])
-            some = links > 0
-            found.append(pd.DataFrame({"a": mine[some], "b": mine[some], "links": links[some]}))
-            if pairs:
-                a, b = (np.concatenate(p) for p in zip(*pairs, strict=True))
-                found.append(pd.DataFrame({"a": a, "b": b, "links": 0}))
-        return pd.concat(found)
-
-    keys = ("label", "dim", "shard", "block")
-    out = stored(left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInPandas(query, "a long, b long, links long"), "links")
+    members = rows.join(sizes, (F.col("label") == F.col("s_label")) & (F.col("dim") == F.col("s_dim"))).withColumn("shard", F.pmod(F.xxhash64("id"), "shards").cast("int"))
+    graphs = stored(shard_graphs(members.select("label", "dim", "shard", "shards", "id", "n", "v"), threshold), "graphs")
+    # each pair of shards of a label meets once, a shard with itself too
+    sides = graphs.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("shards") - 1)))
+    sides = sides.select("label", "dim", F.least("shard", "other").alias("low"), F.greatest("shard", "other").alias("high"), "shard", "beam", "graph")
+
+    def query(frame: pd.DataFrame) -> pd.DataFrame:
+        frame = frame.sort_values("shard")
+        shards = [opened(g) for g in frame["graph"]]
+        beams = frame["beam"].tolist()
+        a, b = shards[0], shards[-1]
+        mine, theirs, p, q = meet(a, b, (beams[0], beams[-1]), threshold)
+        ends = [(a, mine), (b, theirs)][: len(shards)]
+        ids, links = (np.concatenate(x) for x in zip(*((e[2][n > 0], n[n > 0]) for e, n in ends), strict=True))
+        return pd.DataFrame({"a": np.concatenate((ids, p)), "b": np.concatenate((ids, q)), "links": np.concatenate((links, np.zeros(len(p), np.int64)))})
+
+    out = stored(sides.groupBy("label", "dim", "low", "high").applyInPandas(query, "a long, b long, links long"), "links")
     return own, out.where("links > 0").groupBy(F.col("a").alias("l_id")).agg(F.sum("links").alias("links")), out.where("links = 0").select("a", "b")
 
 
