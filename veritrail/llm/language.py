@@ -99,7 +99,8 @@ class Filter:
         return bits[:, : len(self.languages)]
 
 
-def train(docs: DataFrame) -> Filter:
+def learned(docs: DataFrame) -> dict[str, np.ndarray]:
+    """The n-grams that each language contains."""
     known = docs.select(F.col("doc_id").alias("k_id"), F.col("lang").cast("string").alias("k_lang"))
     known = known.where(F.col("k_id").isNotNull() & F.col("k_lang").isNotNull() & ~in_fold("k_id", PARTS, HELD_OUT))
     languages = [r["k_lang"] for r in known.select("k_lang").distinct().limit(MAX_LANGUAGES + 1).collect()]
@@ -121,15 +122,16 @@ def train(docs: DataFrame) -> Filter:
                     counts = np.bincount(at, times[of], len(keys)).astype(np.int64)
                     yield pa.RecordBatch.from_arrays([pa.array([lang] * len(keys), pa.string()), pa.array(keys.view(np.int64)), pa.array(counts)], names=["lang", "gram", "n"])
 
-    counts = rows.mapInArrow(count, "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
-    counts = cut(counts)
-    floors = {r["lang"]: r["n"] / FLOOR for r in counts.groupBy("lang").agg(F.sum("n").alias("n")).collect()}
-    languages = sorted(floors)
-    found = {}
-    for lang in languages:
-        got = counts.where((F.col("lang") == lang) & (F.col("n") >= F.lit(floors[lang]))).select("gram").toPandas()
-        found[lang] = got["gram"].to_numpy(np.int64).view(np.uint64)
-    return Filter(languages, found)
+    counts = cut(rows.mapInArrow(count, "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n")))
+    floors = counts.groupBy(F.col("lang").alias("f_lang")).agg((F.sum("n") / FLOOR).alias("floor"))
+    # FLOOR n-grams of each language at most
+    got = counts.join(F.broadcast(floors), F.col("lang") == F.col("f_lang")).where("n >= floor").groupBy("lang").agg(F.collect_list("gram").alias("grams")).toArrow()
+    return {lang: np.array(grams, np.int64).view(np.uint64) for lang, grams in zip(got["lang"].to_pylist(), (g.values.to_numpy() for g in got["grams"]), strict=True)}
+
+
+def train(docs: DataFrame) -> Filter:
+    found = learned(docs)
+    return Filter(sorted(found), found)
 
 
 class Counts:
