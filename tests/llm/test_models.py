@@ -61,6 +61,9 @@ def test_labels_of_the_fold_teach_nothing(spark):
 def test_other_columns_are_no_inputs(spark):
     docs, labels = table(spark, SF, "documents"), table(spark, SF, "labels")
     other = docs.withColumns({"lang": F.lit("xx"), "source": F.lit("yy")})
+    fold = in_fold("doc_id", language.PARTS, language.HELD_OUT)
+    scrambled = docs.withColumns({"lang": F.when(fold, F.lit("xx")).otherwise(F.col("lang")), "source": F.lit("yy")})
+    assert docs.select(language.predicted(docs, language.train(docs)).alias("p")).collect() == scrambled.select(language.predicted(scrambled, language.train(scrambled)).alias("p")).collect()
     for module in (toxicity, quality):
         assert docs.select(module.scored(docs, module.train(docs, labels)).alias("s")).collect() == other.select(module.scored(other, module.train(other, labels)).alias("s")).collect()
 
@@ -112,3 +115,71 @@ def test_sample_is_bounded_and_repeats(spark):
     labels = table(spark, SF, "labels")
     a = sampled_labels(labels, "toxic", 3, 1, 50).collect()
     assert len(a) == 50 and a == sampled_labels(labels.repartition(7), "toxic", 3, 1, 50).collect()
+
+
+def test_neighbours_vote_exactly():
+    """Scores against a plain sort by (-cosine, place in the sample), with ties of all sorts."""
+    rng = np.random.default_rng(4)
+    distinct = quality.unit(rng.normal(size=(40, 8)))
+    for vectors in (distinct[rng.integers(0, 40, 500)], np.repeat(distinct[:1], 1000, axis=0), distinct[:7]):
+        y = (rng.random(len(vectors)) < 0.5).astype(np.float32)
+        if len(vectors) == 1000:
+            y[:15], y[15:] = 1, 0
+        model = {"prior": 0.5, "vectors": vectors, "y": y}
+        docs = np.concatenate((quality.unit(rng.normal(size=(60, 8))), distinct[:10], np.zeros((1, 8))))
+        got = quality.vote(model, docs)
+        for x, score in zip(docs, got, strict=True):
+            cosine = [sum(int(a) * int(b) for a, b in zip(x, v, strict=True)) for v in vectors]
+            best = sorted(range(len(vectors)), key=lambda j: (-cosine[j], j))[: quality.NEIGHBOURS]
+            weight = [min(1, max(0, cosine[j] / quality.SCALE**2)) ** quality.POWER for j in best]
+            want = sum(w * float(y[j]) for w, j in zip(weight, best, strict=True)) / sum(weight) if sum(weight) > 1e-9 else 0.5
+            assert abs(score - want) < 1e-9
+    assert got[-1] == 0.5
+
+
+def test_scores_do_not_depend_on_the_block(spark):
+    docs = table(spark, SF, "documents")
+    model = quality.train(docs, table(spark, SF, "labels"))
+    words = quality.Words(quality.terms)
+    texts = [r["text"] or "" for r in docs.select("text").limit(300).collect()]
+
+    def scores(part):
+        row, term, count = quality.matrix(part, words)
+        return quality.vote(model, quality.unit(quality.times(row, term, quality.weighted(row, term, count, len(part), model["idf"]), model["projection"], len(part))))
+
+    assert np.array_equal(scores(texts), np.concatenate([scores([t]) for t in texts]))
+
+
+def test_machine_scores_by_all_pairs(spark):
+    """Scores of the query's column against the sum over all pairs of terms."""
+    docs = table(spark, SF, "documents")
+    model = toxicity.train(docs, table(spark, SF, "labels"))
+    place = {int(t): i for i, t in enumerate(model["terms"])}
+    words = toxicity.Words(toxicity.buckets)
+    for r in docs.select("text", toxicity.scored(docs, model).alias("s")).limit(60).collect():
+        at = [place[b] for b in toxicity.document(r["text"], words) if b in place]
+        z = model["bias"] + sum(model["w"][i] for i in at) + sum(float(model["v"][i] @ model["v"][j]) for k, i in enumerate(at) for j in at[:k])
+        assert abs(r["s"] - 1 / (1 + np.exp(-np.clip(z, -30, 30)))) < 1e-9
+
+
+def test_language_by_sets(spark):
+    """The filter's predictions against plain sets of n-grams of the same languages, which have no false positives."""
+    docs = table(spark, SF, "documents")
+    found = language.learned(docs)
+    model = language.Filter(sorted(found), found)
+    texts = [r["text"] for r in docs.select("text").limit(200).collect()]
+    counts = language.Counts(model)(texts)
+    sets = {k: found[lang] for k, lang in enumerate(model.languages)}
+    for t, c in zip(texts, counts, strict=True):
+        chunks = t.split()
+        exact = np.zeros(len(sets), np.int64)
+        n = 0
+        for hashes, _ in language.grams(chunks):
+            n += len(hashes)
+            exact += [np.isin(hashes, sets[k]).sum() for k in sets]
+        assert n == c[0] and (c[1:] >= exact).all()
+        back = (c[1:] - n * model.false) / (1 - model.false)
+        assert np.abs(back - exact).max() <= 0.02 * n + 3
+        top = np.sort(exact)[::-1]
+        if n and top[0] - top[1] > 0.05 * n + 6:
+            assert back.argmax() == exact.argmax()

@@ -4,14 +4,15 @@ A document's terms are its words and the shapes of its chunks between blanks (ca
 number of chunks that repeat the one before and of lines that repeat an earlier one. Weighted by log counts and inverse document
 frequency they are projected onto the leading right singular vectors of the labelled sample's term matrix. Each
 document's vector is compared with every labelled vector, in blocks; the NEIGHBOURS of largest cosine vote, weighted by
-a power of the cosine.
+a power of the cosine. Components of unit vectors are whole multiples of 1 / SCALE, so that cosines are sums of integers: exact, and
+the same for equal texts whatever stands beside them in a block.
 
 The sample: at most MAX_ROWS labelled documents outside the held-out fold, the first in an order by hash of their ids.
 Broadcast are the projection (TERMS x DIMS) and the labelled vectors (MAX_ROWS x DIMS), both of fixed size.
 
 Defined cases: a text without terms, a null one too, gets the smoothed rate of label 1, and so does every text if there are no labels;
-of labelled rows with equal cosine the first in the sample's order count; null labels and ids teach nothing; repeated rows are
-scored each; other columns are ignored.
+of labelled rows with equal cosine the first in the sample's order count; null labels and ids teach nothing; of several texts under one id
+one teaches; repeated rows are scored each; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -27,13 +28,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .base import LETTERS, Words, in_fold, kept, sampled_labels, stored
+from .base import LETTERS, Words, in_fold, kept, sampled_labels
 
 MAX_ROWS = 4096
 WORD_BITS, SHAPE_BITS = 14, 11
 SHAPES = 1 << WORD_BITS
 TERMS = SHAPES + (1 << SHAPE_BITS) + 2
 DIMS = 48
+SCALE = 1 << 18
 NEIGHBOURS = 15
 POWER = 4
 WORD_SHARE = 0.35
@@ -82,15 +84,19 @@ def weighted(row: np.ndarray, term: np.ndarray, count: np.ndarray, n: int, idf:
 def times(row: np.ndarray, col: np.ndarray, value: np.ndarray, dense: np.ndarray, n: int) -> np.ndarray:
     """The sparse matrix, sorted by row, times a dense one."""
     out = np.zeros((n, dense.shape[1]))
-    for k in range(0, len(row), 100_000):
-        r = row[k : k + 100_000]
-        first = np.concatenate(([0], np.nonzero(np.diff(r))[0] + 1))
-        out[r[first]] += np.add.reduceat(dense[col[k : k + 100_000]] * value[k : k + 100_000, None], first, axis=0)
+    starts = np.concatenate(([0], np.nonzero(np.diff(row))[0] + 1, [len(row)])) if len(row) else np.zeros(1, np.int64)
+    i = 0
+    while i < len(starts) - 1:  # whole rows of the matrix at a time: their sums do not depend on the rows beside them
+        j = max(i + 1, int(np.searchsorted(starts, starts[i] + 100_000, "right")) - 1)
+        a, b = starts[i], starts[j]
+        out[row[starts[i:j]]] = np.add.reduceat(dense[col[a:b]] * value[a:b, None], starts[i:j] - a, axis=0)
+        i = j
     return out
 
 
 def unit(x: np.ndarray) -> np.ndarray:
-    return x / np.maximum(np.sqrt((x**2).sum(1, keepdims=True)), 1e-12)
+    """Rows of length one in multiples of 1 / SCALE, as whole numbers."""
+    return np.rint(x / np.maximum(np.sqrt((x**2).sum(1, keepdims=True)), 1e-12) * SCALE)
 
 
 def fit(rows: list[tuple[np.ndarray, np.ndarray]], y: np.ndarray, seed: int = 7) -> dict:
@@ -98,7 +104,7 @@ def fit(rows: list[tuple[np.ndarray, np.ndarray]], y: np.ndarray, seed: int = 7)
     n = len(y)
     prior = float((y.sum() + 1) / (n + 2))
     if not n or not sum(len(t) for t, _ in rows):
-        return {"prior": prior, "idf": np.zeros(TERMS, np.float32), "projection": np.zeros((TERMS, 1), np.float32), "vectors": np.zeros((0, 1), np.float32), "y": np.zeros(0, np.float32)}
+        return {"prior": prior, "idf": np.zeros(TERMS, np.float32), "projection": np.zeros((TERMS, 1), np.float32), "vectors": np.zeros((0, 1)), "y": np.zeros(0, np.float32)}
     row = np.repeat(np.arange(n), [len(t) for t, _ in rows])
     term, count = np.concatenate([t for t, _ in rows]).astype(np.int64), np.concatenate([c for _, c in rows]).astype(float)
     df = np.bincount(term, minlength=TERMS)
@@ -115,7 +121,7 @@ def fit(rows: list[tuple[np.ndarray, np.ndarray]], y: np.ndarray, seed: int = 7)
     basis, _, _ = np.linalg.svd(q, full_matrices=False)
     projection = basis[:, :dims]
     vectors = unit(times(row, term, value, projection, n))
-    return {"prior": prior, "idf": idf.astype(np.float32), "projection": projection.astype(np.float32), "vectors": vectors.astype(np.float32), "y": y.astype(np.float32)}
+    return {"prior": prior, "idf": idf.astype(np.float32), "projection": projection.astype(np.float32), "vectors": vectors, "y": y.astype(np.float32)}
 
 
 def train(docs: DataFrame, labels: DataFrame, label: str = "quality", max_rows: int = MAX_ROWS) -> dict:
@@ -131,19 +137,23 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "quality", max_rows:
             parts = [pa.array([np.asarray(x, kind).tobytes() for x in np.split(v, cuts)][: len(texts)], pa.binary()) for v, kind in ((term, "<i4"), (count, "<f4"))]
             yield pa.RecordBatch.from_arrays([b.column("doc_id").cast(pa.int64()), b.column("y").cast(pa.int32()), *parts], names=["doc_id", "y", "terms", "counts"])
 
-    found = stored(rows.mapInArrow(counted, "doc_id long, y int, terms binary, counts binary"), "lsa")
-    got = found.orderBy(F.xxhash64("doc_id"), "doc_id", "terms", "counts").limit(max_rows).collect()
+    found = rows.mapInArrow(counted, "doc_id long, y int, terms binary, counts binary").groupBy("doc_id", "y").agg(F.min(F.struct("terms", "counts")).alias("t"))
+    got = sorted(found.select("doc_id", "y", "t.*", F.xxhash64("doc_id").alias("h")).collect(), key=lambda r: (r["h"], r["doc_id"]))  # one row an id, max_rows at most
     return fit([(np.frombuffer(r["terms"], "<i4"), np.frombuffer(r["counts"], "<f4")) for r in got], np.array([r["y"] for r in got], float))
 
 
 def vote(model: dict, vectors: np.ndarray) -> np.ndarray:
-    """Scores of unit vectors; a zero vector gets the prior."""
-    if not len(model["y"]):
+    """Scores of vectors as `unit` makes them; a zero vector gets the prior."""
+    n = len(model["y"])
+    if not n:
         return np.full(len(vectors), model["prior"])
-    cosine = vectors.astype(np.float32) @ model["vectors"].T
-    k = min(NEIGHBOURS, cosine.shape[1])
-    near = np.argpartition(-cosine, k - 1, axis=1)[:, :k] if k < cosine.shape[1] else np.tile(np.arange(k), (len(cosine), 1))
-    weight = np.clip(np.take_along_axis(cosine, near, axis=1), 0, 1).astype(float) ** POWER
+    # one number for cosine and place in the sample: among equal cosines the first in the sample is the largest
+    rank = (vectors @ model["vectors"].T) * n + np.arange(n)[::-1]
+    k = min(NEIGHBOURS, n)
+    near = np.argpartition(-rank, k - 1, axis=1)[:, :k] if k < n else np.tile(np.arange(k), (len(rank), 1))
+    near = np.take_along_axis(near, np.argsort(-np.take_along_axis(rank, near, axis=1), axis=1), axis=1)
+    cosine = (np.take_along_axis(rank, near, axis=1) - (n - 1 - near)) / n / SCALE**2
+    weight = np.clip(cosine, 0, 1) ** POWER
     total = weight.sum(1)
     return np.where(total > 1e-9, (weight * model["y"][near]).sum(1) / np.maximum(total, 1e-9), model["prior"])
 
