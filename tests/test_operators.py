@@ -67,17 +67,37 @@ def test_what_follows_a_credit(spark):
     rows = [("c", "A", t, "CR", 100.0, "p")] + [(f"d{i}", "A", t + timedelta(seconds=x), "DR", 10.0, "q") for i, x in enumerate((0, 1, 86_400, 86_401))]
     got = behaviour.followed(txns(spark, rows), "txn_id").where("txn_id = 'c'").first()
     assert got["out_24h"] == 20.0 and got["next_debit"] == got["t"]  # the debit of the same second comes next by id, but does not count as outflow
-    week = behaviour.pass_through(behaviour.week_features(behaviour.followed(txns(spark, rows), "txn_id"), CAL)).collect()
+    week = behaviour.measures(behaviour.followed(txns(spark, rows), "txn_id"), CAL).withColumn("share", behaviour.pass_through()).collect()
     by = {r["snapshot_date"]: r for r in week}
-    assert by[date(2025, 5, 30)]["in_7d"] is None and by[date(2025, 5, 30)]["pass_through_ratio_7d"] == 0
-    assert by[date(2025, 6, 1)]["pass_through_ratio_7d"] == 0.2 and by[date(2025, 6, 1)]["distinct_senders_7d"] == 1
+    assert by[date(2025, 5, 30)]["watched_in"] is None and by[date(2025, 5, 30)]["share"] == 0 and by[date(2025, 6, 1)]["share"] == 0.2
+    met = {r["snapshot_date"]: (r["senders"], r["receivers"]) for r in behaviour.counterparties(txns(spark, rows), CAL).collect()}
+    assert met[date(2025, 6, 1)] == (1, 1)
+
+
+def test_slices_of_time_do_not_show(spark):
+    """What follows a transaction against all pairs, over many slices, with gaps, ties and an account that never pays."""
+    import random
+
+    rnd, start = random.Random(2), datetime(2025, 1, 1)
+    from datetime import timedelta
+
+    at = sorted(rnd.randrange(0, 90 * 86_400, 977) if rnd.random() < 0.5 else 604_800 * rnd.randrange(12) + rnd.choice((-86_400, -1, 0, 1, 86_399, 86_400)) for _ in range(300))
+    rows = [(f"{i:04d}", rnd.choice("AB"), start + timedelta(seconds=86_400 + x), rnd.choice(("CR", "DR")), float(rnd.randrange(1, 50)), "p") for i, x in enumerate(at)]
+    rows += [(f"n{i}", "N", start + timedelta(days=9 * i), "CR", 1.0, "p") for i in range(5)] + [("null", "A", None, "CR", 1.0, "p")]
+    got = {r["txn_id"]: (r["next_debit"], r["out_24h"]) for r in behaviour.followed(txns(spark, rows), "txn_id").collect()}
+    second = {r[0]: int((r[2] - datetime(1970, 1, 1)).total_seconds()) for r in rows if r[2]}
+    for r in rows[:-1]:
+        mine = [o for o in rows[:-1] if o[1] == r[1] and o[3] == "DR"]
+        after = [second[o[0]] for o in mine if (second[o[0]], o[0]) > (second[r[0]], r[0])]
+        assert got[r[0]] == (min(after, default=None), sum(o[4] for o in mine if 0 < second[o[0]] - second[r[0]] <= 86_400)), r
+    assert len(got) == len(rows)
 
 
 def test_hold_is_censored(spark):
-    got = behaviour.month_features(behaviour.followed(txns(spark, [("c", "A", datetime(2025, 5, 30, 12), "CR", 1000.0, "p")]), "txn_id"), CAL).collect()
-    hold = {r["snapshot_date"]: r["median_hold_hours_30d"] for r in got}
+    got = behaviour.measures(behaviour.followed(txns(spark, [("c", "A", datetime(2025, 5, 30, 12), "CR", 1000.0, "p")]), "txn_id"), CAL).collect()
+    hold = {r["snapshot_date"]: r["median_hold"] for r in got}
     assert hold[date(2025, 5, 30)] == pytest.approx(12, abs=0.001) and hold[date(2025, 6, 1)] == pytest.approx(60, abs=0.001)
-    assert got[0]["round_credits_30d"] == 1
+    assert got[0]["n_round"] == 1
 
 
 def test_hubs(spark):

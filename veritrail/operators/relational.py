@@ -13,24 +13,14 @@ from ..session import cut
 def latest(df: DataFrame, keys: Sequence[str], by: str = "ingested_at", ties: Sequence[str] | None = None) -> DataFrame:
     """One row a key: the one with the largest `by`, nulls last; ties go to the smallest of all other columns in their order.
 
-    An aggregate, not a window: the largest row of each key is found before the shuffle, so a hot key costs no task more
-    than a row from each."""
-    rest = [c for c in df.columns if c not in keys]
-    order = [c for c in (ties if ties is not None else rest) if c != by and not df.schema[c].dataType.typeName().startswith("map")]
-    best = F.min_by(F.struct(*[F.col(c) for c in rest]), F.struct((-_ordinal(df, by)).alias("by"), *[F.col(c) for c in order]))
-    return df.groupBy(*keys).agg(best.alias("best")).select(*[F.col(c) if c in keys else F.col(f"best.{c}").alias(c) for c in df.columns])
-
-
-def _ordinal(df: DataFrame, by: str) -> Column:
-    """A number in the order of a time, date or number; nulls come out as the lowest."""
-    kind = df.schema[by].dataType.typeName()
-    if kind.startswith("timestamp"):
-        value = F.unix_micros(F.col(by).cast("timestamp"))
-    elif kind == "date":
-        value = F.unix_date(F.col(by)).cast("long")
-    else:
-        value = F.col(by)
-    return F.coalesce(value, F.lit(-(1 << 62)).cast("long") if kind.startswith("timestamp") or kind == "date" else F.lit(float("-inf")))
+    The rank limit is applied to each task's rows before the shuffle too, so that a hot key costs no task more than a row from each.
+    Rows are carried once; there is one exchange. Maps count as their entries in order."""
+
+    def comparable(c: str) -> Column:
+        return F.array_sort(F.map_entries(c)) if df.schema[c].dataType.typeName() == "map" else F.col(c)
+
+    order = [comparable(c) for c in (ties if ties is not None else df.columns) if c != by and c not in keys]
+    return top_in_group(df, keys, [F.desc_nulls_last(by), *order], 1)
 
 
 def resolved(facts: DataFrame, routes: Sequence[tuple[str, Column, DataFrame | None, Sequence[str]]], tag: str = "resolved_via") -> DataFrame:
@@ -65,11 +55,13 @@ def numbered(df: DataFrame, order: Sequence[Column], name: str = "rank", weight:
     return out.drop("_w", "_part", "_p", "_k", "_c", "_n0", "_s0")
 
 
-def unordered_pairs(df: DataFrame, on: Sequence[str], member: str) -> DataFrame:
-    """(on, a, b) for members a < b of a group. Groups must be bounded before, as by hub suppression."""
-    left = df.select(*on, F.col(member).alias("a"))
-    right = df.select(*on, F.col(member).alias("b"))
-    return left.join(right, list(on)).where("a < b")
+def unordered_pairs(df: DataFrame, on: Sequence[str], member: str, *carry: str) -> DataFrame:
+    """(on, a, b) for members a < b of a group, with columns a_<c> and b_<c> for each c carried. Groups must be bounded before, as by hub suppression."""
+
+    def side(name: str) -> DataFrame:
+        return df.select(*on, F.col(member).alias(name), *[F.col(c).alias(f"{name}_{c}") for c in carry])
+
+    return side("a").join(side("b"), list(on)).where("a < b")
 
 
 def top_in_group(df: DataFrame, keys: Sequence[str], order: Sequence[Column], k: int) -> DataFrame:

@@ -39,9 +39,9 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 EVENTS = Calendar(as_of=date(2024, 1, 30), first=date(2024, 1, 5))
-ORDERS = Calendar(as_of=date(2001, 8, 1), first=date(1995, 1, 6), step=91)
+ORDERS = Calendar(as_of=date(2001, 8, 1), first=date(1995, 1, 6))
 CAL = "cal AS (SELECT CAST(d AS DATE) AS snapshot_date FROM generate_series(TIMESTAMP '2024-01-05', TIMESTAMP '2024-01-30', INTERVAL 7 DAY) g(d) UNION SELECT DATE '2024-01-30')"
-OCAL = "cal AS (SELECT CAST(d AS DATE) AS snapshot_date FROM generate_series(TIMESTAMP '1995-01-06', TIMESTAMP '2001-08-01', INTERVAL 91 DAY) g(d) UNION SELECT DATE '2001-08-01')"
+OCAL = "cal AS (SELECT CAST(d AS DATE) AS snapshot_date FROM generate_series(TIMESTAMP '1995-01-06', TIMESTAMP '2001-08-01', INTERVAL 7 DAY) g(d) UNION SELECT DATE '2001-08-01')"
 ACT = """act AS (SELECT event_id, user_id AS account_id, ts AS txn_ts, CAST(ts AS DATE) AS txn_date, CASE WHEN event_type IN ('purchase', 'signup') THEN 'CR' ELSE 'DR' END AS direction,
   value AS amount, json_extract_string(props, '$.k') AS counterparty_vpa, CAST(floor(epoch(ts)) AS BIGINT) AS t FROM events)"""
 MOVES = """moves AS (SELECT *, min(CASE WHEN direction = 'DR' THEN t END) OVER (PARTITION BY account_id ORDER BY t, event_id ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING) AS next_debit,
@@ -66,10 +66,8 @@ mo AS (SELECT account_id, snapshot_date, quantile_disc(CASE WHEN direction = 'CR
 SELECT mo.account_id, mo.snapshot_date, round(CASE WHEN i > 0 THEN o / i ELSE 0 END, 3) AS pass_through_ratio_7d, round(coalesce(h, 720.0), 1) AS median_hold_hours_30d
 FROM mo LEFT JOIN wk ON wk.account_id = mo.account_id AND wk.snapshot_date = mo.snapshot_date""")
 def pass_through_and_hold(spark, sf_dir):
-    moves = behaviour.followed(activity(spark, sf_dir), "event_id")
-    month, week = behaviour.month_features(moves, EVENTS), behaviour.pass_through(behaviour.week_features(moves, EVENTS))
-    rows = month.join(week, ["account_id", "snapshot_date"], "left")
-    return rows.select("account_id", "snapshot_date", F.coalesce("pass_through_ratio_7d", F.lit(0.0)).alias("pass_through_ratio_7d"), F.round(F.coalesce("median_hold_hours_30d", F.lit(720.0)), 1).alias("median_hold_hours_30d"))
+    rows = behaviour.measures(behaviour.followed(activity(spark, sf_dir), "event_id"), EVENTS)
+    return rows.select("account_id", "snapshot_date", behaviour.pass_through().alias("pass_through_ratio_7d"), F.round(F.coalesce("median_hold", F.lit(720.0)), 1).alias("median_hold_hours_30d"))
 
 
 @query(f"WITH {ACT}, {MOVES} SELECT event_id, direction, next_debit, round(out_24h, 4) AS out_24h FROM moves")
@@ -81,15 +79,15 @@ def next_debit_and_outflow(spark, sf_dir):
 count(*) FILTER (WHERE hour(txn_ts) IN (23, 0, 1, 2, 3, 4)) AS night_30d, count(*) FILTER (WHERE direction = 'CR') AS n_credits_30d
 FROM act JOIN cal ON txn_date <= snapshot_date AND txn_date > snapshot_date - 30 GROUP BY 1, 2""")
 def month_activity(spark, sf_dir):
-    m = behaviour.month_features(behaviour.followed(activity(spark, sf_dir), "event_id"), EVENTS)
-    return m.select("account_id", "snapshot_date", "txns_30d", F.round("credits_30d", 4).alias("credits_30d"), "night_30d", "n_credits_30d")
+    m = behaviour.measures(behaviour.followed(activity(spark, sf_dir), "event_id"), EVENTS)
+    return m.select("account_id", "snapshot_date", F.col("n_moves").alias("txns_30d"), F.round("credit_sum", 4).alias("credits_30d"), F.col("n_at_night").alias("night_30d"), F.col("n_credits").alias("n_credits_30d"))
 
 
 @query(f"""WITH {CAL}, {ACT} SELECT account_id, snapshot_date, count(DISTINCT CASE WHEN direction = 'CR' THEN counterparty_vpa END) AS distinct_senders_7d, count(DISTINCT CASE WHEN direction = 'DR' THEN counterparty_vpa END) AS distinct_receivers_7d
-FROM act JOIN cal ON txn_date <= snapshot_date AND txn_date > snapshot_date - 7 GROUP BY 1, 2""")
+FROM act JOIN cal ON txn_date <= snapshot_date AND txn_date > snapshot_date - 7 WHERE counterparty_vpa IS NOT NULL GROUP BY 1, 2""")
 def distinct_counterparties(spark, sf_dir):
-    w = behaviour.week_features(behaviour.followed(activity(spark, sf_dir), "event_id"), EVENTS)
-    return w.select("account_id", "snapshot_date", "distinct_senders_7d", "distinct_receivers_7d")
+    w = behaviour.counterparties(activity(spark, sf_dir), EVENTS)
+    return w.select("account_id", "snapshot_date", F.col("senders").alias("distinct_senders_7d"), F.col("receivers").alias("distinct_receivers_7d"))
 
 
 @query("SELECT o_orderkey, hour(o_orderdate + INTERVAL (o_orderkey % 24) HOUR) IN (23, 0, 1, 2, 3, 4) AS night, floor(o_totalprice) % 5 = 0 AS round_amount FROM orders")
@@ -294,11 +292,11 @@ def dated_edges(spark, sf_dir):
 
 
 @query(f"""WITH {CAL}, {ACT}, touched AS (SELECT DISTINCT account_id AS cif, counterparty_vpa || '@' || txn_date AS counterparty_vpa, txn_date FROM act WHERE counterparty_vpa IS NOT NULL), usable AS (SELECT counterparty_vpa FROM touched GROUP BY 1 HAVING count(DISTINCT cif) BETWEEN 2 AND 25),
-t AS (SELECT DISTINCT snapshot_date, counterparty_vpa, cif FROM touched JOIN cal ON txn_date <= snapshot_date AND txn_date > snapshot_date - 14 WHERE counterparty_vpa IN (SELECT counterparty_vpa FROM usable))
+t AS (SELECT DISTINCT snapshot_date, counterparty_vpa, cif FROM touched JOIN cal ON txn_date <= snapshot_date AND txn_date > snapshot_date - 90 WHERE counterparty_vpa IN (SELECT counterparty_vpa FROM usable))
 SELECT a.snapshot_date, a.cif AS src, b.cif AS dst, count(*) AS weight FROM t a JOIN t b ON a.snapshot_date = b.snapshot_date AND a.counterparty_vpa = b.counterparty_vpa AND a.cif < b.cif GROUP BY 1, 2, 3 HAVING count(*) >= 2""")
 def shared_counterparties(spark, sf_dir):
     t = activity(spark, sf_dir).select(F.col("account_id").alias("cif"), F.concat("counterparty_vpa", F.lit("@"), F.col("txn_date").cast("string")).alias("counterparty_vpa"), "txn_date", F.lit(None).cast("string").alias("counterparty_account_id"))
-    return graph.counterparty_edges(t, EVENTS, days=14).drop("link_type")
+    return graph.counterparty_edges(t, EVENTS).drop("link_type")
 
 
 @query(f"""WITH {OCAL}, p AS (SELECT DISTINCT least(o_custkey, s) AS src, greatest(o_custkey, s) AS dst, d FROM (SELECT o_custkey, l_suppkey AS s, CAST(o_orderdate AS DATE) AS d FROM orders JOIN lineitem ON l_orderkey = o_orderkey) WHERE o_custkey <> s)
@@ -483,11 +481,12 @@ def auc_and_average_precision(spark, sf_dir):
 
 
 @query(f"""WITH {TEST}, {TOPS}, b AS (SELECT *, CASE {' '.join(f"WHEN upto / w <= {c} + 1e-12 THEN '{n}'" for n, c in BANDS[:-1])} ELSE 'rest' END AS band FROM o),
-v AS (SELECT * FROM (VALUES {', '.join(f"('{n}', {c})" for n, c in BANDS)}) x(band, upto_pct))
+v AS (SELECT * FROM (VALUES {', '.join(f"('{n}', {c})" for n, c in BANDS)}) x(band, upto_pct)), r AS (SELECT *, sum(weight) OVER (ORDER BY rules DESC, id ROWS UNBOUNDED PRECEDING) AS r_upto, row_number() OVER (ORDER BY rules DESC, id) AS r_pos FROM o)
 SELECT v.band, CAST(upto_pct AS DOUBLE) AS upto_pct, round(CAST(coalesce(sum(weight), 0) AS DOUBLE), 1) AS accounts, round(CAST(coalesce(sum(y * weight), 0) AS DOUBLE), 1) AS mules, round(CASE WHEN sum(weight) > 0 THEN round(coalesce(sum(y * weight), 0), 1) / round(sum(weight), 1) END, 5) AS mule_rate,
-round(any_value(cc), 4) AS cum_capture FROM v LEFT JOIN b ON b.band = v.band JOIN (SELECT v.band AS cband, CASE WHEN max(upto_pct) >= 1 THEN 1.0 ELSE sum(y * weight) FILTER (WHERE upto <= upto_pct * w OR pos = 1) / max(pw) END AS cc FROM v CROSS JOIN o GROUP BY 1) c ON cband = v.band GROUP BY 1, 2""")
+round(sum(p * weight) / sum(weight), 5) AS mean_p_mule, round(any_value(cc), 4) AS cum_capture, round(any_value(rc), 4) AS rules_cum_capture FROM v LEFT JOIN b ON b.band = v.band JOIN (SELECT v.band AS cband, CASE WHEN max(upto_pct) >= 1 THEN 1.0 ELSE sum(y * weight) FILTER (WHERE upto <= upto_pct * w OR pos = 1) / max(pw) END AS cc,
+CASE WHEN max(upto_pct) >= 1 THEN 1.0 ELSE sum(y * weight) FILTER (WHERE r_upto <= upto_pct * w OR r_pos = 1) / max(pw) END AS rc FROM v CROSS JOIN r GROUP BY 1) c ON cband = v.band GROUP BY 1, 2""")
 def risk_bands(spark, sf_dir):
-    return evaluate.bands(holdout(spark, sf_dir)).select("band", "upto_pct", "accounts", "mules", "mule_rate", "cum_capture")
+    return evaluate.bands(holdout(spark, sf_dir))
 
 
 SCORED = f"""{BOOK}, sc AS (SELECT CAST(c_custkey % 50 AS VARCHAR) AS ring_id, CAST(2 + c_custkey % 50 % 5 AS INTEGER) AS ring_size, CASE WHEN c_custkey % 97 = 0 THEN 'T1_FREEZE_REVIEW' WHEN c_custkey % 31 = 0 THEN 'T3_WATCHLIST' ELSE 'NONE' END AS tier, (c_custkey % 1000) / 1000.0 AS p, hops_to_known_mule,
@@ -535,10 +534,10 @@ def quality_rates(spark, sf_dir):
     return findings(spark, [*quality.rate_with_warning("orders", "unknown customers", n, quality.orphans(o, "o_custkey", c)), quality.equal("orders", "orders = distinct orders of lines", n, lines), *quality.volume("orders", n, 14000.0)])
 
 
-@query(r"SELECT doc_id, coalesce(regexp_matches(upper(text), '(^|[^A-Z0-9])[A-Z]{5}[0-9]{4}[A-Z]([^A-Z0-9]|$)'), false) OR coalesce(regexp_matches(upper(source), '(^|[^A-Z0-9])[A-Z]{5}[0-9]{4}[A-Z]([^A-Z0-9]|$)'), false) AS hit FROM documents")
+@query(r"SELECT doc_id, coalesce(regexp_matches(upper(text), '(^|[^A-Z0-9])[A-Z]{5}[0-9]{4}[A-Z]([^A-Z0-9]|$)'), false) OR coalesce(regexp_matches(upper(source), '(^|[^A-Z0-9])[A-Z]{5}[0-9]{4}[A-Z]([^A-Z0-9]|$)'), false) OR coalesce(regexp_matches(upper(lang), '(^|[^A-Z0-9])[A-Z]{5}[0-9]{4}[A-Z]([^A-Z0-9]|$)'), false) AS hit FROM documents")
 def pan_scan(spark, sf_dir):
     d = read(spark, sf_dir, "documents")
-    return d.select("doc_id", quality.no_pan(d, "no PAN", ("lang",)).bad.alias("hit"))
+    return d.select("doc_id", quality.no_pan(d, "no PAN").bad.alias("hit"))
 
 
 # ---------------------------------------------------------------- reports
