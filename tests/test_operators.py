@@ -154,6 +154,32 @@ def test_store(spark, tmp_path):
     assert st.read("t").count() == 3 and [r["operation"] for r in st.history("t").collect()] == ["append", "replace_partition", "replace"]
 
 
+def test_store_writes_what_changes(spark, tmp_path):
+    st = Store(spark, str(tmp_path))
+    rows = [(i, date(2025, 1 + i % 3, 5), float(i)) for i in range(30)]
+    st.write("t", spark.createDataFrame(rows, "k int, d date, v double"), by_month="d")
+    st.append("t", spark.createDataFrame([(100, date(2025, 2, 6), 1.0), (101, date(2025, 7, 6), 2.0)], "k int, d date, v double"))
+    assert st.history("t").first()["written"] == 2 and st.read("t").count() == 32
+    after = [(k, d, v + (k == 4)) for k, d, v in rows if k != 7] + [(200, date(2025, 2, 8), 0.0)]  # 4 and 7 are of February, as 200
+    st.merge("t", spark.createDataFrame(after, "k int, d date, v double"), ["k"])
+    last = st.history("t").first()
+    assert (last["added"], last["updated"], last["deleted"], last["rows"]) == (1, 1, 3, 30) and last["written"] == 10
+    assert sorted((r["k"], r["d"], r["v"]) for r in st.read("t").collect()) == sorted(after)
+    assert st.read("t", 2).count() == 32 and st.read("t", 1).count() == 30
+    moved = [(k, date(2025, 9, 9) if k == 0 else d, v) for k, d, v in after]
+    st.merge("t", spark.createDataFrame(moved, "k int, d date, v double"), ["k"])
+    assert sorted((r["k"], r["d"], r["v"]) for r in st.read("t").collect()) == sorted(moved) and st.history("t").first()["written"] == 10
+    plan = st.read("t", where=F.col("d_month") == F.lit(date(2025, 9, 1)))
+    assert plan.count() == 1 and len(plan.inputFiles()) >= 1
+    st.merge("t", spark.createDataFrame(moved, "k int, d date, v double"), ["k"])
+    assert st.history("t").first()["written"] == 0 and st.read("t").count() == 30
+    st.refresh("t")
+    day = spark.createDataFrame([(1, date(2025, 1, 1)), (2, date(2025, 1, 2)), (3, None)], "a int, run_date date")
+    st.replace_where("r", day, "run_date", date(2025, 1, 1))
+    st.replace_where("r", day.where("a = 2").withColumns({"a": F.lit(9), "more": F.lit("x")}), "run_date", date(2025, 1, 2))
+    assert st.history("r").first()["written"] == 1 and {(r["a"], r["more"]) for r in st.read("r").collect()} == {(1, None), (9, "x"), (3, None)}
+
+
 def test_script():
     assert script("-- a\nSELECT 1;\n-- b\nSELECT\n  2;\n\n") == ["SELECT 1", "SELECT\n  2"]
 

@@ -81,7 +81,8 @@ def past_alerts(t: Tables) -> DataFrame:
 
 
 def decision_log(t: Tables, k: int = 50) -> DataFrame:
-    return t["investigator_decisions"].select("decided_at", "account_id", "cif", "decision", "action", "maker", "checker", "notes").orderBy(F.desc("decided_at")).limit(k)
+    shown = ["decided_at", "account_id", "cif", "decision", "action", "maker", "checker", "notes"]
+    return t["investigator_decisions"].orderBy(F.desc("decided_at"), "decision_id").limit(k).select(*shown)
 
 
 def context_then(store, version: int, first, last, k: int = 2000) -> DataFrame:

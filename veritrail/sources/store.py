@@ -1,96 +1,159 @@
 """A versioned store on Parquet: commits, reads by version and by time, history, upserts with change counts, replace by partition.
 
-<root>/<table>/v=<n>/ holds a version's files, <root>/<table>/_log/ a row for each commit. A commit writes its files first and
-its log row last, so that readers see whole versions. One writer at a time: concurrent commits are not supported. Paths
-go through Spark's own readers and writers, so that the root may be on any file system."""
+<root>/<table>/_commit=<n>/ holds the files that commit n wrote, by partition where the table has a partition column;
+<root>/<table>/_log/ has a row for each commit, which lists the directories that its version consists of. So a commit writes what it
+changes and names the rest. It writes its files first and its log row last, so that readers see whole versions. One
+writer at a time: concurrent commits are not supported. Paths go through Spark's own readers and writers, so that the root
+may be on any file system."""
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
 from datetime import datetime, timezone
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from ..functions.scalars import differs
+from ..session import cut, path_of
 
 LOG = "version bigint, committed_at timestamp, operation string, rows bigint, added bigint, updated bigint, deleted bigint, partition_column string"
+PARTS = "written bigint, month_of string, schema string, parts array<string>"
 
 
 class Store:
     def __init__(self, spark: SparkSession, root: str):
         self.spark, self.root = spark, root.rstrip("/")
 
-    def _there(self, path: str) -> bool:
-        jvm = self.spark.sparkContext._jvm
-        p = jvm.org.apache.hadoop.fs.Path(path)
-        return p.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+    def _log(self, table: str) -> str:
+        return f"{self.root}/{table}/_log"
 
     def exists(self, table: str) -> bool:
-        return self._there(f"{self.root}/{table}/_log")
+        path, fs = path_of(self.spark, self._log(table))
+        return fs.exists(path)
 
-    def history(self, table: str) -> DataFrame:
-        """A row for each commit, the last first."""
+    def refresh(self, table: str) -> None:
+        """Makes the session forget what it knows of the table's files."""
+        self.spark.catalog.refreshByPath(f"{self.root}/{table}")
+
+    def _commits(self, table: str) -> DataFrame:
         if not self.exists(table):
-            return self.spark.createDataFrame([], LOG)
-        return self.spark.read.schema(LOG).parquet(f"{self.root}/{table}/_log").orderBy(F.desc("version"))
+            return self.spark.createDataFrame([], f"{LOG}, {PARTS}")
+        return self.spark.read.schema(f"{LOG}, {PARTS}").parquet(self._log(table))
+
+    def history(self, table: str) -> DataFrame:
+        """A row for each commit, the last first; `written` is the number of rows that it wrote."""
+        return self._commits(table).drop("month_of", "schema", "parts").orderBy(F.desc("version"))
 
     def version(self, table: str, at: datetime | None = None) -> int | None:
         """The last version, or the last one committed by a time (in UTC)."""
-        rows = self.history(table)
+        rows = self._commits(table)
         if at is not None:
             rows = rows.where(F.col("committed_at") <= F.lit(at))
         return rows.agg(F.max("version")).first()[0]
 
-    def read(self, table: str, version: int | None = None, at: datetime | None = None) -> DataFrame:
-        """A version of the table: the last, a named one, or that of a time. Fails where there is none."""
-        found = version if version is not None else self.version(table, at)
-        if found is None or not self._there(f"{self.root}/{table}/v={found}"):
-            raise FileNotFoundError(f"{table}: no such version ({found})")
-        return self.spark.read.parquet(f"{self.root}/{table}/v={found}")
+    def _commit(self, table: str, version: int | None):
+        found = self._commits(table).where(F.col("version") == F.lit(version)).first() if version is not None else None
+        if found is None:
+            raise FileNotFoundError(f"{table}: no such version ({version})")
+        return found
+
+    def _rows(self, table: str, commit, parts: Sequence[str]) -> DataFrame:
+        """The rows of some of the directories of a version."""
+        schema = StructType.fromJson(json.loads(commit["schema"]))
+        if not parts:
+            return self.spark.createDataFrame([], schema)
+        base = f"{self.root}/{table}"
+        return self.spark.read.schema(schema).option("basePath", base).parquet(*[f"{base}/{p}" for p in parts]).select(*[f"`{c}`" for c in schema.names])
+
+    def read(self, table: str, version: int | None = None, at: datetime | None = None, where: Column | None = None) -> DataFrame:
+        """A version of the table: the last, a named one, or that of a time. Fails where there is none.
+
+        where: a condition; one on the partition column leaves out the directories that do not meet it."""
+        commit = self._commit(table, version if version is not None else self.version(table, at))
+        rows = self._rows(table, commit, commit["parts"])
+        return rows.where(where) if where is not None else rows
 
     def read_or_empty(self, table: str, schema: str) -> DataFrame:
         return self.read(table) if self.exists(table) else self.spark.createDataFrame([], schema)
 
-    def write(self, table: str, df: DataFrame, by_month: str | None = None, by: str | None = None, operation: str = "replace", counts: tuple[int, int, int] | None = None) -> int:
-        """Commits df as the next version. by_month: a date column by whose month files are parted; by: a column itself."""
+    def _put(self, table: str, df: DataFrame, operation: str, partition: str | None, month_of: str | None, keep: Sequence[str] = (), before=None, counts: tuple[int, int, int] | None = None) -> int:
+        """Commits the rows of df and the directories of the version before that are kept."""
         n = (self.version(table) or 0) + 1
-        path = f"{self.root}/{table}/v={n}"
-        if by_month:
-            df = df.withColumn(f"{by_month}_month", F.trunc(by_month, "MM"))
-        part = f"{by_month}_month" if by_month else by
-        writer = df.write.mode("overwrite")
-        (writer.partitionBy(part) if part else writer).parquet(path)
-        rows = self.spark.read.parquet(path).count()
-        added, updated, deleted = counts or (rows, 0, 0)
-        log = [(n, datetime.now(timezone.utc).replace(tzinfo=None), operation, rows, added, updated, deleted, part)]
-        self.spark.createDataFrame(log, LOG).coalesce(1).write.mode("append").parquet(f"{self.root}/{table}/_log")
+        if month_of:
+            df = df.withColumn(partition, F.trunc(month_of, "MM"))
+        own = f"_commit={n}"
+        path = f"{self.root}/{table}/{own}"
+        writer = df.write.mode("overwrite").option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "false")
+        (writer.partitionBy(partition) if partition else writer).parquet(path)
+        p, fs = path_of(self.spark, path)
+        made = [f"{own}/{s.getPath().getName()}" for s in fs.listStatus(p) if s.isDirectory()] if partition else [own]
+        schema = StructType([*df.schema.fields, *([f for f in StructType.fromJson(json.loads(before["schema"])).fields if f.name not in df.columns] if before is not None else [])])
+        written = self.spark.read.schema(df.schema).parquet(path).count() if made else 0
+        rows = written + (self._rows(table, before, keep).count() if keep and before is not None else 0)
+        added, updated, deleted = counts or (written, 0, 0)
+        row = (n, datetime.now(timezone.utc).replace(tzinfo=None), operation, rows, added, updated, deleted, partition, written, month_of, schema.json(), [*keep, *made])
+        self.spark.createDataFrame([row], f"{LOG}, {PARTS}").coalesce(1).write.mode("append").parquet(self._log(table))
         return n
 
+    def write(self, table: str, df: DataFrame, by_month: str | None = None, by: str | None = None, operation: str = "replace") -> int:
+        """Commits df as the next version. by_month: a date column by whose month files are parted; by: a column itself."""
+        return self._put(table, df, operation, f"{by_month}_month" if by_month else by, by_month)
+
     def append(self, table: str, df: DataFrame) -> int:
-        before = self.read(table) if self.exists(table) else None
-        return self.write(table, df if before is None else before.unionByName(df), operation="append", counts=(df.count(), 0, 0))
+        """Commits the rows besides those that are there; the table is made where there is none. Writes the new rows alone."""
+        if not self.exists(table):
+            return self.write(table, df, operation="append")
+        before = self._commit(table, self.version(table))
+        return self._put(table, df, "append", before["partition_column"], before["month_of"], before["parts"], before)
 
     def replace_where(self, table: str, df: DataFrame, column: str, value) -> int:
-        """Commits a version in which the rows with column = value are those of df."""
-        kept = self.read(table).where(~F.col(column).eqNullSafe(F.lit(value))) if self.exists(table) else None
-        return self.write(table, df if kept is None else kept.unionByName(df, allowMissingColumns=True), by=column, operation="replace_partition")
+        """Commits a version in which the rows with column = value are those of df. Writes them alone, once the table is parted by the column."""
+        if not self.exists(table):
+            return self.write(table, df, by=column, operation="replace_partition")
+        before = self._commit(table, self.version(table))
+        if before["partition_column"] == column and before["month_of"] is None:
+            mine = "__HIVE_DEFAULT_PARTITION__" if value is None else str(value)
+            kept = [p for p in before["parts"] if p.partition("/")[2] != f"{column}={mine}"]
+            return self._put(table, df, "replace_partition", column, None, kept, before)
+        others = self._rows(table, before, before["parts"]).where(~F.col(column).eqNullSafe(F.lit(value)))
+        return self._put(table, others.unionByName(df, allowMissingColumns=True), "replace_partition", column, None)
 
     def merge(self, table: str, source: DataFrame, keys: Sequence[str], compare: Sequence[str] | None = None, by_month: str | None = None) -> int:
-        """Upserts source and deletes what it lacks; rows that only differ elsewhere than in `compare` stay as they were."""
+        """Upserts source and deletes what it lacks; rows that only differ elsewhere than in `compare` stay as they were.
+
+        Both sides are read once, and what changed is kept; then the directories that hold a changed row are written anew."""
         if not self.exists(table):
             return self.write(table, source, by_month=by_month, operation="bootstrap")
-        target = self.read(table)
-        target = target.select(*[c for c in source.columns if c in target.columns])
-        changes = merged(target, source, keys, compare)
-        path_counts = {r["action"]: r["n"] for r in changes.groupBy("action").agg(F.count("*").alias("n")).collect()}
-        result = changes.where("action <> 'deleted'").drop("action")
-        counts = tuple(path_counts.get(a, 0) for a in ("inserted", "updated", "deleted"))
-        return self.write(table, result, by_month=by_month, operation="merge", counts=counts)
-
-
-def merged(target: DataFrame, source: DataFrame, keys: Sequence[str], compare: Sequence[str] | None = None) -> DataFrame:
-    """A row for each key of either side with its action: inserted, updated, deleted, kept. Nulls equal nulls."""
+        before = self._commit(table, self.version(table))
+        partition, month_of, keys = before["partition_column"], before["month_of"], list(keys)
+        target = self._rows(table, before, before["parts"])
+        if month_of:
+            source = source.drop(partition).withColumn(partition, F.trunc(month_of, "MM"))
+        where = [partition] if partition else []
+        changes = merged(target.select(*[c for c in source.columns if c in target.columns]), source, keys, compare, old=where).where("action <> 'kept'")
+        changes = cut(changes)
+        found = changes.groupBy("action", *[c for w in where for c in (w, f"was_{w}")]).agg(F.count("*").alias("n")).collect()  # a row a partition and action
+        counts = tuple(sum(r["n"] for r in found if r["action"] == a) for a in ("inserted", "updated", "deleted"))
+        if partition:
+            touched = {("__HIVE_DEFAULT_PARTITION__" if r[c] is None else str(r[c])) for r in found for c, in_ in ((partition, ("inserted", "updated", "deleted")), (f"was_{partition}", ("updated",))) if r["action"] in in_}
+            old = [p for p in before["parts"] if p.partition("/")[2].partition("=")[2] in touched]
+        else:
+            old = list(before["parts"]) if found else []
+        gone = changes.where("action <> 'inserted'").select(*[F.col(k).alias(f"g_{k}") for k in keys])
+        same = F.lit(True)
+        for k in keys:
+            same = same & F.col(k).eqNullSafe(F.col(f"g_{k}"))
+        rows = self._rows(table, before, old).join(gone, same, "left_anti").unionByName(changes.where("action <> 'deleted'").drop("action", *[f"was_{w}" for w in where]), allowMissingColumns=True)
+        return self._put(table, rows, "merge", partition, month_of, [p for p in before["parts"] if p not in set(old)], before, counts)
+
+
+def merged(target: DataFrame, source: DataFrame, keys: Sequence[str], compare: Sequence[str] | None = None, old: Sequence[str] = ()) -> DataFrame:
+    """A row for each key of either side with its action: inserted, updated, deleted, kept. Nulls equal nulls.
+
+    old: columns of which the target's value comes along, as was_<name>."""
     keys, columns = list(keys), source.columns
     compare = list(compare) if compare is not None else [c for c in columns if c not in keys]
     t = target.select(*[F.col(k).alias(f"t_{k}") for k in keys], F.struct(*columns).alias("t"))
@@ -104,7 +167,7 @@ def merged(target: DataFrame, source: DataFrame, keys: Sequence[str], compare: S
         changed = changed | differs(F.col(f"t.{c}"), F.col(f"s.{c}"))
     action = F.when(F.col("t").isNull(), "inserted").when(F.col("s").isNull(), "deleted").when(changed, "updated").otherwise("kept")
     row = F.when(action.isin("inserted", "updated"), F.col("s")).otherwise(F.col("t"))
-    return both.select(action.alias("action"), row.alias("r")).select("action", "r.*")
+    return both.select(action.alias("action"), row.alias("r"), *[F.col(f"t.{c}").alias(f"was_{c}") for c in old]).select("action", "r.*", *[f"was_{c}" for c in old])
 
 
 def script(text: str) -> list[str]:
