@@ -28,12 +28,12 @@ TABLES: dict[str, tuple[str, str | None, dict[str, str]]] = {
         "reason_codes": "CASE c_custkey % 4 WHEN 0 THEN 'PASS_THROUGH,RING' WHEN 1 THEN 'NEAR_KNOWN_MULE' WHEN 2 THEN '' ELSE 'MIN_KYC,PASS_THROUGH,NEW_ACCOUNT' END", "reasons": "'why ' || c_name",
     }),
     "mule_rings": ("supplier region", None, {
-        "run_date": DAY, "ring_id": "'R' || CAST(s_suppkey AS STRING)", "ring_size": "CAST(2 + s_nationkey % 7 AS INT)", "accounts_scored": "CAST(3 + s_nationkey % 7 AS INT)", "accounts_alerted": "CAST(s_nationkey % 3 AS INT)",
+        "run_date": DAY, "run_id": "'run-' || CAST(r_regionkey AS STRING)", "ring_id": "'R' || CAST(s_suppkey AS STRING)", "ring_size": "CAST(2 + s_nationkey % 7 AS INT)", "accounts_scored": "CAST(3 + s_nationkey % 7 AS INT)", "accounts_alerted": "CAST(s_nationkey % 3 AS INT)",
         "top_tier": "CASE WHEN s_acctbal > 8000 THEN 'T1_FREEZE_REVIEW' ELSE 'T3_WATCHLIST' END", "max_p_mule_adj": "(s_acctbal + 1000) / 11000", "sum_p_mule_adj": "(s_acctbal + 1000 + r_regionkey) / 128",
         "min_hops_to_known_mule": "CAST(1 + s_suppkey % 3 AS INT)", "top_reason_codes": "'RING'",
     }),
     "mule_model_run": ("region", None, {
-        "run_date": DAY, "run_id": "'run-' || CAST(r_regionkey AS STRING)", "run_ts": f"CAST({DAY} AS TIMESTAMP)", "model_family": "'stub'", "model_id": "'stub'", "device": "'spark'", "scored_accounts": "CAST(1000 * (r_regionkey + 1) AS INT)",
+        "run_date": DAY, "run_id": "'run-' || CAST(r_regionkey AS STRING)", "run_ts": f"CAST({DAY} AS TIMESTAMP)", "snapshot_date": DAY, "model_family": "'stub'", "model_id": "'stub'", "device": "'spark'", "scored_accounts": "CAST(1000 * (r_regionkey + 1) AS INT)",
         "alerts_t1": "CAST(3 + r_regionkey AS INT)", "alerts_t2": "CAST(9 + r_regionkey AS INT)", "alerts_t3": "CAST(20 + r_regionkey AS INT)", "context_rows": "CAST(80 + r_regionkey AS INT)", "context_from": "DATE '2023-06-01'", "context_to": "DATE '2023-10-01'",
         "book_mule_rate": "(r_regionkey + 1) / 4096", "holdout_auc": "(90 + r_regionkey) / 128", "holdout_pr_auc": "(30 + r_regionkey) / 128", "capture_top1": "(50 + r_regionkey) / 128", "capture_top5": "(70 + r_regionkey) / 128",
         "precision_top02": "(20 + r_regionkey) / 128", "precision_top1": "(10 + r_regionkey) / 128", "rules_capture_top1": "(40 + r_regionkey) / 128", "rules_precision_top1": "(8 + r_regionkey) / 128", "lift_over_rules": "(150 + r_regionkey) / 128",

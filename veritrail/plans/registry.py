@@ -15,7 +15,7 @@ from ..contract import BANDS, POLICY
 from ..functions import scalars as s
 from ..operators import behaviour, evaluate, features, graph, quality, relational, score
 from ..operators.timeline import Calendar, expand_since, expand_within
-from ..session import shared_dir
+from ..session import scratch
 from . import reports
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -350,11 +350,9 @@ def merge_upsert(spark, sf_dir):
 
 @query("SELECT 'now' AS version, count(*) AS rows_, count(o_orderstatus) AS labelled FROM orders UNION ALL SELECT 'first', count(*), count(CASE WHEN o_orderpriority <> '1-URGENT' THEN o_orderstatus END) FROM orders WHERE o_orderstatus = 'F'")
 def version_travel(spark, sf_dir):
-    import uuid
-
     from ..sources.store import Store
 
-    store = Store(spark, f"{shared_dir(spark)}/store-{uuid.uuid4().hex}")
+    store = Store(spark, scratch(spark, "store"))
     o = read(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus", "o_orderpriority")
     store.write("orders", o.where("o_orderstatus = 'F'").withColumn("o_orderstatus", F.when(F.col("o_orderpriority") != "1-URGENT", F.col("o_orderstatus"))))
     store.merge("orders", o, ["o_orderkey"])
@@ -426,7 +424,19 @@ def reason_codes(spark, sf_dir):
     return score.with_reasons(book(spark, sf_dir)).select("c_custkey", "reason_codes")
 
 
-@query()
+#: The texts as SQL: what is not a whole number is shown with one digit, rounded as its nearest double.
+TEXT_SQL = {
+    "NEAR_KNOWN_MULE": "hops_to_known_mule || ' hop(s) from a reported / frozen mule'", "COMPLAINANT_CREDITS": "credits_from_complainants_30d || ' credit(s) from 1930 / NCRP complainants in 30d'",
+    "PASS_THROUGH": "'forwards ' || CAST(round_even(100 * pass_through_ratio_7d, 0) AS INTEGER) || '% of credits within 24h'", "FAST_HOLD": "'median ' || printf('%.1f', CAST(median_hold_hours_30d AS DOUBLE)) || 'h from credit to next debit'",
+    "RING": "'in a linked ring of ' || ring_size || ' customers'", "SHARED_DEVICE": "'device shared by ' || accounts_on_same_device || ' accounts'", "SHARED_MOBILE": "'mobile shared by ' || cifs_sharing_mobile || ' customers'",
+    "DEVICE_OR_MOBILE_CHANGE": "(new_device_logins_30d + vpa_or_mobile_changes_30d) || ' new device / mobile / VPA change(s) in 30d'", "INFLOW_VS_INCOME": "'30d credits ' || printf('%.1f', CAST(inflow_to_declared_income_30d AS DOUBLE)) || 'x declared monthly income'",
+    "MANY_SENDERS": "distinct_senders_7d || ' distinct senders in 7d'", "DORMANT_REACTIVATED": "'dormant account reactivated in last 90d'", "NEW_ACCOUNT": "'account ' || account_age_days || ' days old'", "MIN_KYC": "'minimum-KYC (OTP) account'",
+    "NIGHT_ACTIVITY": "CAST(round_even(100 * night_txn_share_30d, 0) AS INTEGER) || '% of transactions 23:00-05:00'",
+}
+TEXTS = "list_slice(list_filter([" + ", ".join(f"CASE WHEN {c} THEN {TEXT_SQL[k]} END" for k, c in RULE_SQL) + "], lambda x: x IS NOT NULL), 1, 4)"
+
+
+@query(f"WITH {BOOK} SELECT c_custkey, array_to_string({TEXTS}, '; ') AS reasons FROM book")
 def reason_texts(spark, sf_dir):
     return score.with_reasons(book(spark, sf_dir)).select("c_custkey", "reasons")
 
