@@ -65,8 +65,11 @@ def test_daily_run_and_endpoint(built, spark):
     tables |= {n: bronze[n] for n in ("branch_map", "product_map")}
     for name, make in reports.REPORTS.items():
         if name != "decision_log":
-            assert make(tables).collect() is not None, name
+            rows, again = make(tables), make({k: v.repartition(3) for k, v in tables.items()})
+            assert rows.columns and sorted(map(str, rows.collect())) == sorted(map(str, again.collect())), name
     assert reports.v_dq(tables).where("is_latest = 1").count() > 100
+    published = store.read("dq_results").where("layer = 'publish'").collect()
+    assert len(published) == 8 and all(r["success"] for r in published)
     reports.register(tables)
     for v in reports.kpis():
         built_rows, sql_rows = v.frame(spark.table(v.view)).collect(), spark.sql(v.sql()).collect()
@@ -81,6 +84,20 @@ def test_failed_gate_withholds(built):
     assert not out.published and store.version("mule_alerts") == before and out.gate[0].startswith("FAIL")
 
 
+def test_backfill_and_families(built):
+    store, _, _ = built
+    dates = [date(2025, 10, 3), date(2025, 10, 10)]
+    out = daily.backfill(store, reversed(dates), policy=SMALL, with_holdout=False)
+    assert [o.run["run_date"] for o in out] == dates and all(o.run["triggered_by"] == "backfill" and o.published for o in out)
+    runs = {r["run_date"]: r["scored_accounts"] for r in store.read("mule_model_run").collect()}
+    assert all(runs[d] == o.run["scored_accounts"] == store.read("mule_features", where=F.col("snapshot_date") == F.lit(d)).count() for d, o in zip(dates, out, strict=True))
+    assert {r["run_date"] for r in store.read("mule_alerts").select("run_date").distinct().collect()} >= set(dates)
+    with pytest.raises(ValueError, match="no scorer"):
+        daily.run(store, family="nope", policy=SMALL)
+    with pytest.raises(ValueError, match="no rows"):
+        daily.run(store, run_date=date(2025, 10, 4), policy=SMALL, with_holdout=False)
+
+
 def test_bad_extract_stops(built, spark):
     from veritrail.operators import quality as q
 

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from ..contract import FEATURE_COLUMNS, FEATURES, LABEL, NO_TIER, POLICY
 from ..functions.scalars import prior_corrected
 from ..operators import evaluate as ev
+from ..operators import quality
 from ..operators import score as sc
 from ..session import cut
 
@@ -47,7 +48,7 @@ def run(store, run_date: date | None = None, family: str = "stub", policy: dict
     """Scores the book of a day with what was known then, and publishes its alerts if the gate holds.
 
     All reads are of one version of the feature table, which the run row names. A failed gate withholds alerts and rings; run
-    row and holdout are written anyway."""
+    row and holdout are written anyway. What was published is checked against the run row, and the findings are recorded."""
     began, policy = time.monotonic(), policy or POLICY
     spark: SparkSession = store.spark
     version = store.version("mule_features")
@@ -110,6 +111,8 @@ def run(store, run_date: date | None = None, family: str = "stub", policy: dict
         if publish:
             store.replace_where("mule_alerts", alerts, "run_date", run_date)
             store.replace_where("mule_rings", rings, "run_date", run_date)
+        published = {t: store.read(t) for t in ("mule_model_run", "mule_alerts", "mule_rings", "mule_holdout") if store.exists(t)}
+        store.append("dq_results", quality.recorded(spark, quality.publish_suite(published | {"mule_features": book_all}, run_date), "publish", run_date))
     if on_done:
         on_done(row)
     return Outcome(row, alerts, rings, bands, publish, lines)
