@@ -38,6 +38,8 @@ BLOCK = 256
 SHARD_SLOTS = 4096
 MOST = 3
 MAX_SOURCES = 100_000
+#: Entries with copies: up to so many are broadcast (some 60 bytes each), more are joined by shuffle.
+REPEATED_BROADCAST = 100_000
 SEED = 20_240_101
 
 
@@ -87,8 +89,8 @@ class Permutation:
 class Plan:
     """What each source gives: sizes, targets and slots."""
 
-    def __init__(self, sources: list[str | None], sizes: list[int], weights: list[float] | None = None, entries: int = 0):
-        self.sources, self.sizes, self.targets, self.entries = sources, sizes, targets(sizes, weights), entries
+    def __init__(self, sources: list[str | None], sizes: list[int], weights: list[float] | None = None, entries: int = 0, repeated: int = 0):
+        self.sources, self.sizes, self.targets, self.entries, self.repeated = sources, sizes, targets(sizes, weights), entries, repeated
         self.blocks = [-(-s // BLOCK) for s in sizes]
         self.quota, self.trim = [], []
         for k, (size, blocks) in enumerate(zip(sizes, self.blocks, strict=True)):
@@ -145,11 +147,11 @@ def sized(docs: DataFrame) -> DataFrame:
 
 def plan_of(rows: DataFrame, weights: list[float] | None = None) -> Plan:
     """rows: as from sized. A row a source comes to the driver."""
-    found = rows.groupBy("source").agg(F.sum(F.col("size") * F.col("copies")).alias("n"), F.count("*").alias("entries")).limit(MAX_SOURCES + 1).collect()
+    found = rows.groupBy("source").agg(F.sum(F.col("size") * F.col("copies")).alias("n"), F.count("*").alias("entries"), F.count_if((F.col("copies") > 1) & (F.col("size") > 0)).alias("repeated")).limit(MAX_SOURCES + 1).collect()
     if len(found) > MAX_SOURCES:
         raise ValueError(f"more than {MAX_SOURCES} sources")
     found.sort(key=lambda r: (r["source"] is None, r["source"] or ""))
-    return Plan([r["source"] for r in found], [r["n"] for r in found], weights, sum(r["entries"] for r in found))
+    return Plan([r["source"] for r in found], [r["n"] for r in found], weights, sum(r["entries"] for r in found), sum(r["repeated"] for r in found))
 
 
 def slots(spark, plan: Plan) -> DataFrame:
@@ -242,7 +244,7 @@ def mixed(docs: DataFrame, weights: list[float] | None = None) -> DataFrame:
 
     A row in which all words are taken has the text as it was; else its runs of taken words stand in lines of their own, and n_chars,
     where there is such a column, is theirs. Columns are those of docs."""
-    _, placed, mix = prepared(docs, weights)
+    plan, placed, mix = prepared(docs, weights)
     placed = placed.where("size > 0")
     got = pieces(each(placed), mix).groupBy("k", "first", "start").agg(F.collect_list(F.struct("lo", "hi", "times", "part")).alias("g_spans"))
     names = docs.columns
@@ -255,8 +257,10 @@ def mixed(docs: DataFrame, weights: list[float] | None = None) -> DataFrame:
             same = same & F.col(f"d_{n}").eqNullSafe(F.col(n))
         return rows.join(entries.select(*ENTRY, F.col("k").alias("p_k"), F.col("first").alias("p_first")), same).select("row", "p_k", "p_first")
 
-    # of rows that are equal one stands for all: each copy has its own spans
-    one = of(placed.where("copies = 1")).unionByName(of(placed.where("copies > 1")).dropDuplicates(["p_k", "p_first"]))
+    one = of(placed.where("copies = 1"))
+    if plan.repeated:  # of rows that are equal one stands for all: each copy has its own spans
+        again = placed.where("copies > 1")
+        one = one.unionByName(of(F.broadcast(again) if plan.repeated <= REPEATED_BROADCAST else again).dropDuplicates(["p_k", "p_first"]))
     both = one.join(got, (F.col("p_k") == F.col("k")) & (F.col("p_first") == F.col("first")))
     word = re.compile(SPACE)
 
