@@ -27,6 +27,16 @@ def test_calendar_and_windows(spark):
     assert got == {(d, x) for d in days if d for x in CAL.dates() if x >= d}
 
 
+def test_accounts_by_snapshot(spark):
+    days = [date(2025, 4, 1), date(2025, 5, 2), date(2025, 5, 3), date(2025, 5, 30), date(2025, 5, 31), date(2025, 6, 1), date(2025, 6, 2), None]
+    rows = [(c, d) for c, ds in (("a", days), ("b", [days[2], days[2]]), ("c", [days[6]]), ("d", [days[4]])) for d in ds]
+    df = spark.createDataFrame(rows, "cif string, open_date date")
+    for cal in (CAL, Calendar(date(2025, 5, 30), date(2025, 5, 2)), Calendar(date(2025, 4, 20), date(2025, 5, 2))):
+        got = {(r["cif"], r["snapshot_date"]): r["own_accounts"] for r in features.own_accounts(df, cal).collect()}
+        want = {(c, x): sum(1 for k, d in rows if k == c and d and d <= x) for c in "abcd" for x in cal.dates()}
+        assert got == {k: n for k, n in want.items() if n}
+
+
 def test_mobile_forms(spark):
     rows = [("+91-98765 43210", "9876543210"), ("09876543210", "9876543210"), ("987654321", None), (None, None), ("", None)]
     got = spark.createDataFrame(rows, "m string, want string").select(s.mobile(F.col("m")).alias("got"), "want", s.masked(s.mobile(F.col("m"))).alias("x")).collect()

@@ -51,6 +51,18 @@ class Calendar:
         """The snapshots d with day in (d - days, d]; an empty array where day is null."""
         return F.when(day.isNotNull(), self._array(day, F.date_add(day, days - 1)))
 
+    def first_on(self, day: Column) -> Column:
+        """The first snapshot on or after day; null where there is none."""
+        if self.last_step is None:
+            return F.when(day <= F.lit(self.as_of), F.lit(self.as_of))
+        first = F.lit(self.first)
+        start = F.date_add(first, (F.ceil(F.greatest(F.datediff(day, first), F.lit(0)) / self.step) * self.step).cast("int"))
+        return F.when(day <= F.lit(self.as_of), F.when(start <= F.lit(self.last_step), start).otherwise(F.lit(self.as_of)))
+
+    def spanning(self, first: Column, last: Column) -> Column:
+        """The snapshots from first to last."""
+        return F.when(first.isNotNull() & last.isNotNull(), self._array(first, last))
+
     def since(self, day: Column) -> Column:
         """The snapshots on or after day."""
         return F.when(day.isNotNull(), self._array(day, F.lit(self.as_of)))
