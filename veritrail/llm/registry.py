@@ -11,8 +11,10 @@ from .hnsw import op4_hnsw
 from .language import op9_language
 from .media import op5_gif_media
 from .mixing import op6_mixing
+from .packing import op11_packing
 from .quality import op10_quality
 from .simhash import op2_simhash
+from .spelling import op12_spelling
 from .tokens import op3_token_ids
 from .toxicity import op8_toxicity
 from .urls import op1_urls
@@ -28,6 +30,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_toxicity": op8_toxicity,
     "op9_language": op9_language,
     "op10_quality": op10_quality,
+    "op11_packing": op11_packing,
+    "op12_spelling": op12_spelling,
 }
 
 #: All pairs of a label and the closure of the links: for tables of some thousand vectors.
