@@ -11,6 +11,7 @@ from .hnsw import op4_hnsw
 from .language import op9_language
 from .media import op5_gif_media
 from .mixing import op6_mixing
+from .negatives import op13_hard_negatives
 from .packing import op11_packing
 from .quality import op10_quality
 from .simhash import op2_simhash
@@ -32,6 +33,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_quality": op10_quality,
     "op11_packing": op11_packing,
     "op12_spelling": op12_spelling,
+    "op13_hard_negatives": op13_hard_negatives,
 }
 
 #: All pairs of a label and the closure of the links: for tables of some thousand vectors.
@@ -41,4 +43,14 @@ links AS (SELECT a.vec_id AS a, b.vec_id AS b FROM sound a JOIN sound b ON a.lab
 reach AS (SELECT a, b FROM links UNION SELECT r.a, l.b FROM reach r JOIN links l ON l.a = r.b), least AS (SELECT a, least(a, min(b)) AS c FROM reach GROUP BY a), counts AS (SELECT a, count(*) AS n FROM links GROUP BY a)
 SELECT vec_id, coalesce(counts.n, 0) AS n_links, coalesce(c, vec_id) AS component_id, vec_id = coalesce(c, vec_id) AS kept FROM embeddings LEFT JOIN counts ON counts.a = vec_id LEFT JOIN least ON least.a = vec_id"""
 
-ORACLE: dict[str, str] = {"op4_hnsw": HNSW_SQL}
+#: All rows for each anchor.
+NEGATIVES_SQL = """WITH sound AS (SELECT DISTINCT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label, list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS q
+FROM embeddings WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0),
+rows_ AS (SELECT *, row_number() OVER () AS place FROM sound),
+scored AS (SELECT a.vec_id AS anchor_id, a.place AS a_place, b.vec_id AS id, b.place AS place, a.label = b.label AS same, CAST(list_dot_product(a.q, b.q) AS BIGINT) AS score FROM rows_ a JOIN rows_ b ON len(a.q) = len(b.q) AND a.place <> b.place WHERE a.vec_id % 100 = 0),
+positives AS (SELECT * FROM scored WHERE same QUALIFY row_number() OVER (PARTITION BY a_place ORDER BY score DESC, id, place) <= 5)
+SELECT p.anchor_id, p.id AS positive_id, row_number() OVER (PARTITION BY p.a_place, p.place ORDER BY n.score DESC, n.id, n.place) AS rank, n.id AS negative_id, p.score AS positive_score, n.score AS negative_score
+FROM positives p JOIN scored n ON p.a_place = n.a_place AND NOT n.same AND 100 * n.score BETWEEN 30 * p.score AND 90 * p.score
+QUALIFY row_number() OVER (PARTITION BY p.a_place, p.place ORDER BY n.score DESC, n.id, n.place) <= 10"""
+
+ORACLE: dict[str, str] = {"op4_hnsw": HNSW_SQL, "op13_hard_negatives": NEGATIVES_SQL}
