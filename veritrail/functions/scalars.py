@@ -56,6 +56,11 @@ def day_end(day: Column) -> Column:
     return F.unix_seconds(F.date_add(day, 1).cast("timestamp")) - 1
 
 
+def exact_sum(column: str | Column, digits: int, shown: int) -> Column:
+    """The sum of numbers of so many digits after the point, rounded to fewer: the same in whatever order they are added."""
+    return F.round(F.sum((F.col(column) if isinstance(column, str) else column).cast(f"decimal(28,{digits})")), shown).cast("double")
+
+
 def ratio(top: Column, bottom: Column) -> Column:
     """top / bottom; 0 where bottom is not positive or null."""
     return F.when(bottom > 0, top / bottom).otherwise(F.lit(0.0))

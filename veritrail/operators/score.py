@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..contract import ALERT_INFO, FEATURES, LABEL, NO_TIER, POLICY
-from ..functions.scalars import BUCKETS, bucket
+from ..functions.scalars import BUCKETS, bucket, exact_sum
 from .relational import numbered, top_in_group
 
 # ---------------------------------------------------------------- samples
@@ -223,12 +223,14 @@ def top_codes(rows: DataFrame, keys: Sequence[str], column: str, k: int = 3) ->
 
 
 def ring_rollup(scored: DataFrame) -> DataFrame:
-    """Rings of two customers or more with an alert: size, counts, best tier, risk, nearest known account, frequent reasons."""
+    """Rings of two customers or more with an alert: size, counts, best tier, risk, nearest known account, frequent reasons.
+
+    Probabilities have six digits, so their sum is exact and a ring's rank does not depend on the order of addition."""
     rows = scored.where("ring_size >= 2").withColumn("alerted", (F.col("tier") != NO_TIER).cast("int"))
     alerted = rows.groupBy("ring_id").agg(
         F.max("ring_size").alias("ring_size"), F.count("*").cast("int").alias("accounts_scored"), F.sum("alerted").cast("int").alias("accounts_alerted"),
         F.min(F.when(F.col("alerted") == 1, F.col("tier"))).alias("top_tier"), F.max("p_mule_adj").alias("max_p_mule_adj"),
-        F.round(F.sum("p_mule_adj"), 5).alias("sum_p_mule_adj"), F.min("hops_to_known_mule").alias("min_hops_to_known_mule"),
+        exact_sum("p_mule_adj", 6, 5).alias("sum_p_mule_adj"), F.min("hops_to_known_mule").alias("min_hops_to_known_mule"),
     ).where("accounts_alerted > 0")
     codes = top_codes(rows.where("reason_codes is not null"), ["ring_id"], "reason_codes").withColumnRenamed("top", "top_reason_codes")
     return alerted.join(codes, "ring_id", "left").withColumn("top_reason_codes", F.coalesce("top_reason_codes", F.lit("")))

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..contract import FEATURE_COLUMNS, FEATURES, LABEL, POLICY
+from ..functions.scalars import exact_sum
 from ..operators import evaluate, graph, quality, score
 from ..session import scratch
 from ..sources import export, simulate
@@ -60,14 +61,14 @@ def store_history(spark, sf_dir):
     return committed(spark, sf_dir).history("orders").select("version", "operation", F.col("rows").alias("rows_"), "added", "updated", "deleted")
 
 
-@query("""SELECT 'then' AS version, count(*) AS n, round(sum(o_totalprice), 1) AS worth FROM orders WHERE o_orderpriority <> '5-LOW' UNION ALL SELECT 'by number', count(*), round(sum(o_totalprice), 1) FROM orders
-UNION ALL SELECT 'now', count(*), round(sum(CASE WHEN o_orderdate < DATE '1995-06-01' THEN o_totalprice + 1 ELSE o_totalprice END), 1) FROM orders WHERE o_totalprice < 400000
-UNION ALL SELECT 'a month', count(*), round(sum(o_totalprice), 1) FROM orders WHERE o_totalprice < 400000 AND o_orderdate >= DATE '1998-03-01' AND o_orderdate < DATE '1998-04-01'""")
+@query("""SELECT 'then' AS version, count(*) AS n, CAST(round(sum(CAST(o_totalprice AS DECIMAL(18,2))), 1) AS DOUBLE) AS worth FROM orders WHERE o_orderpriority <> '5-LOW' UNION ALL SELECT 'by number', count(*), CAST(round(sum(CAST(o_totalprice AS DECIMAL(18,2))), 1) AS DOUBLE) FROM orders
+UNION ALL SELECT 'now', count(*), CAST(round(sum(CAST(CASE WHEN o_orderdate < DATE '1995-06-01' THEN o_totalprice + 1 ELSE o_totalprice END AS DECIMAL(18,2))), 1) AS DOUBLE) FROM orders WHERE o_totalprice < 400000
+UNION ALL SELECT 'a month', count(*), CAST(round(sum(CAST(o_totalprice AS DECIMAL(18,2))), 1) AS DOUBLE) FROM orders WHERE o_totalprice < 400000 AND o_orderdate >= DATE '1998-03-01' AND o_orderdate < DATE '1998-04-01'""")
 def store_travel(spark, sf_dir):
     st = committed(spark, sf_dir)
     then = st.history("orders").where("version = 1").first()["committed_at"]
     reads = {"then": st.read("orders", at=then), "by number": st.read("orders", 2), "now": st.read("orders"), "a month": st.read("orders", where=F.col("day_month") == F.lit(date(1998, 3, 1)))}
-    lines = [df.agg(F.lit(name).alias("version"), F.count("*").alias("n"), F.round(F.sum("o_totalprice"), 1).alias("worth")) for name, df in reads.items()]
+    lines = [df.agg(F.lit(name).alias("version"), F.count("*").alias("n"), exact_sum("o_totalprice", 2, 1).alias("worth")) for name, df in reads.items()]
     return lines[0].unionByName(lines[1]).unionByName(lines[2]).unionByName(lines[3])
 
 
@@ -309,7 +310,7 @@ def daily_alerts(spark, sf_dir):
 
 
 @query(f"""WITH {run_sql('2024-06-21')}, a AS (SELECT ring_id, max(ring_size) AS ring_size, CAST(count(*) AS INTEGER) AS accounts_scored, CAST(count(*) FILTER (WHERE tier <> 'NONE') AS INTEGER) AS accounts_alerted, min(CASE WHEN tier <> 'NONE' THEN tier END) AS top_tier, max(p_mule_adj) AS max_p_mule_adj,
-round(sum(p_mule_adj), 5) AS sum_p_mule_adj FROM book WHERE ring_size >= 2 GROUP BY 1) SELECT * FROM a WHERE accounts_alerted > 0""")
+CAST(round(sum(CAST(p_mule_adj AS DECIMAL(18,6))), 5) AS DOUBLE) AS sum_p_mule_adj FROM book WHERE ring_size >= 2 GROUP BY 1) SELECT * FROM a WHERE accounts_alerted > 0""")
 def daily_rings(spark, sf_dir):
     st, _ = scored_day(spark, sf_dir, with_holdout=False)
     return st.read("mule_rings").select("ring_id", "ring_size", "accounts_scored", "accounts_alerted", "top_tier", "max_p_mule_adj", "sum_p_mule_adj")

@@ -191,7 +191,7 @@ def visual(spec: reports.Visual, sql: str):
 
 
 KPI_SQL = {
-    "Alerts": "SELECT count(*) AS alerts, count(CASE WHEN tier = 'T1_FREEZE_REVIEW' THEN 1 END) AS t1_freeze, count(DISTINCT CASE WHEN in_ring = 1 THEN ring_id END) AS rings_touched, round(sum(p_mule_adj), 1) AS expected_mules, CAST(sum(near_known_mule) AS BIGINT) AS near_known_mule FROM v_alerts WHERE is_latest = 1",
+    "Alerts": "SELECT count(*) AS alerts, count(CASE WHEN tier = 'T1_FREEZE_REVIEW' THEN 1 END) AS t1_freeze, count(DISTINCT CASE WHEN in_ring = 1 THEN ring_id END) AS rings_touched, cast(round(sum(cast(p_mule_adj as decimal(18,6))), 1) as double) AS expected_mules, CAST(sum(near_known_mule) AS BIGINT) AS near_known_mule FROM v_alerts WHERE is_latest = 1",
     "Reasons": "SELECT reason_code, count(*) AS alerts FROM v_alert_reasons WHERE is_latest = 1 GROUP BY 1 ORDER BY 2 DESC, 1",
     "Rings": "SELECT count(*) AS rings, count(CASE WHEN accounts_alerted > 0 THEN 1 END) AS rings_alerted, max(CASE WHEN accounts_alerted > 0 THEN ring_size END) AS largest_alerted FROM v_rings WHERE is_latest = 1",
     "Rate by hops": "SELECT hops_band, CAST(sum(labelled) AS BIGINT) AS labelled, CAST(sum(mules) AS BIGINT) AS mules, round(100 * sum(mules) / sum(labelled), 3) AS mule_rate_pct FROM v_book_weekly GROUP BY 1",

@@ -349,7 +349,7 @@ def kpis() -> list[Visual]:
     """The headline numbers."""
     now = ("is_latest = 1",)
     return [
-        Visual("Alerts", "v_alerts", {"alerts": "count(*)", "t1_freeze": f"count_if(tier = '{T1}')", "rings_touched": "count(distinct case when in_ring = 1 then ring_id end)", "expected_mules": "round(sum(p_mule_adj), 1)", "near_known_mule": "sum(near_known_mule)"}, filters=now),
+        Visual("Alerts", "v_alerts", {"alerts": "count(*)", "t1_freeze": f"count_if(tier = '{T1}')", "rings_touched": "count(distinct case when in_ring = 1 then ring_id end)", "expected_mules": "cast(round(sum(cast(p_mule_adj as decimal(18,6))), 1) as double)", "near_known_mule": "sum(near_known_mule)"}, filters=now),
         Visual("Reasons", "v_alert_reasons", {"alerts": "count(*)"}, {"reason_code": "reason_code"}, now, ("-alerts", "reason_code")),
         Visual("Rings", "v_rings", {"rings": "count(*)", "rings_alerted": "count_if(accounts_alerted > 0)", "largest_alerted": "max(case when accounts_alerted > 0 then ring_size end)"}, filters=now),
         Visual("Rate by hops", "v_book_weekly", {"labelled": "sum(labelled)", "mules": "sum(mules)", "mule_rate_pct": "round(try_divide(100 * sum(mules), sum(labelled)), 3)"}, {"hops_band": "hops_band"}, order=("hops_band",)),
