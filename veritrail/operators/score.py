@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable, Sequence
+from collections.abc import Iterable, Sequence
 from datetime import date, timedelta
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..contract import ALERT_INFO, FEATURES, LABEL, NO_TIER, POLICY
+from ..contract import ALERT_INFO, LABEL, NO_TIER, POLICY
 from ..functions.scalars import BUCKETS, bucket, exact_sum
 from .relational import numbered, top_in_group
 
@@ -59,57 +59,6 @@ def labelled_rate(features: DataFrame, first: date, last: date) -> float | None:
     return between(features, first, last).agg(F.avg(LABEL)).first()[0]
 
 
-# ---------------------------------------------------------------- scorers
-
-#: A scorer is fitted on a context and returns a function that adds a column p to rows with the features.
-Scorer = Callable[[DataFrame], Callable[[DataFrame], DataFrame]]
-
-
-def logistic(context_rows: DataFrame, c: float = 0.5) -> Callable[[DataFrame], DataFrame]:
-    """Standardised features and logistic regression; c as in a sum of losses, so that the penalty is 1 / (c n)."""
-    from pyspark.ml import Pipeline
-    from pyspark.ml.classification import LogisticRegression
-    from pyspark.ml.feature import StandardScaler, VectorAssembler
-    from pyspark.ml.functions import vector_to_array
-
-    n = context_rows.count()
-    parts = [VectorAssembler(inputCols=FEATURES, outputCol="_raw", handleInvalid="keep"), StandardScaler(inputCol="_raw", outputCol="_x", withMean=True, withStd=True)]
-    model = Pipeline(stages=[*parts, LogisticRegression(featuresCol="_x", labelCol=LABEL, regParam=1 / (c * max(n, 1)), elasticNetParam=0.0, standardization=False, maxIter=1000, probabilityCol="_p")]).fit(context_rows.withColumn(LABEL, F.col(LABEL).cast("double")))
-
-    def score(rows: DataFrame) -> DataFrame:
-        kept = rows.columns
-        return model.transform(rows).select(*kept, vector_to_array("_p")[1].alias("p"))
-
-    return score
-
-
-def batched(predict: Callable) -> Scorer:
-    """A scorer from a function (context as pandas) -> (features as pandas -> probabilities). The context is bounded by policy; rows come in batches."""
-
-    def fit(context_rows: DataFrame) -> Callable[[DataFrame], DataFrame]:
-        model = predict(context_rows.select(*FEATURES, LABEL).toPandas())
-
-        def score(rows: DataFrame) -> DataFrame:
-            def run(frames):
-                for frame in frames:
-                    yield frame.assign(p=model(frame[FEATURES]))
-
-            return rows.mapInPandas(run, ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields), "p double"]))
-
-        return score
-
-    return fit
-
-
-SCORERS: dict[str, Scorer] = {"stub": logistic}
-
-
-def scorer(family: str) -> Scorer:
-    if family not in SCORERS:
-        raise ValueError(f"no scorer {family!r}; there are {', '.join(sorted(SCORERS))}")
-    return SCORERS[family]
-
-
 # ---------------------------------------------------------------- rules and reasons
 
 # Reason codes in reading order, with their texts as Spark format strings and the numbers these show.

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..contract import FEATURE_COLUMNS, FEATURES, LABEL, POLICY
 from ..functions.scalars import exact_sum
-from ..operators import evaluate, graph, quality, score
+from ..operators import evaluate, graph, quality, score, scorers
 from ..session import scratch
 from ..sources import export, simulate
 from ..sources.store import Store, run_script
@@ -159,7 +159,7 @@ def by_hops(context):
 FROM f LEFT JOIN r ON h = hops_to_known_mule WHERE snapshot_date = DATE '2024-06-21'""")
 def batched_scores(spark, sf_dir):
     b = book(spark, sf_dir)
-    fit = score.batched(by_hops)
+    fit = scorers.batched(by_hops)
     rows = fit(b.where(F.col("snapshot_date") == F.lit(date(2024, 2, 2))))(b.where(F.col("snapshot_date") == F.lit(AS_OF)))
     return rows.select("account_id", F.round("p", 9).alias("p"))
 

@@ -18,6 +18,7 @@ from ..functions.scalars import prior_corrected
 from ..operators import evaluate as ev
 from ..operators import quality
 from ..operators import score as sc
+from ..operators import scorers
 from ..session import cut
 
 RUN = (
@@ -44,7 +45,7 @@ def in_order(run_id_date: date) -> str:
     return f"{run_id_date:%Y%m%d}-{uuid.uuid4().hex[:8]}"
 
 
-def run(store, run_date: date | None = None, family: str = "stub", policy: dict | None = None, scorer: sc.Scorer | None = None, triggered_by: str = "manual", publish_on_fail: bool = False, with_holdout: bool = True, write: bool = True, on_done: Callable[[dict], None] | None = None) -> Outcome:
+def run(store, run_date: date | None = None, family: str = "stub", policy: dict | None = None, scorer: scorers.Scorer | None = None, triggered_by: str = "manual", publish_on_fail: bool = False, with_holdout: bool = True, write: bool = True, on_done: Callable[[dict], None] | None = None) -> Outcome:
     """Scores the book of a day with what was known then, and publishes its alerts if the gate holds.
 
     All reads are of one version of the feature table, which the run row names. A failed gate withholds alerts and rings; run
@@ -58,11 +59,13 @@ def run(store, run_date: date | None = None, family: str = "stub", policy: dict
     dates = [d for d in sc.labelled_dates(book_all) if d <= known_to]
     if not dates:
         raise ValueError(f"no labelled snapshot up to {known_to}")
-    fit, ctx, run_id = scorer or sc.scorer(family), policy["context"], in_order(run_date)
+    on = scorers.device(spark)
+    family = family if scorer else scorers.resolved(family, on)
+    fit, ctx, run_id = scorer or scorers.FAMILIES[family].fit, policy["context"], in_order(run_date)
 
     def sample(last: date) -> tuple[DataFrame, date]:
         first = last - timedelta(weeks=ctx["lookback_weeks"])
-        return cut(sc.context(book_all, first, last, ctx["max_mules"], ctx["negatives_per_mule"])), first
+        return cut(sc.context(book_all, first, last, scorers.max_positives(ctx, family, on), ctx["negatives_per_mule"])), first
 
     summary: dict = {}
     bands, passed, lines = None, True, ["holdout skipped"]
@@ -97,7 +100,7 @@ def run(store, run_date: date | None = None, family: str = "stub", policy: dict
     tiers, publish = sc.cutoffs(ranked), passed or publish_on_fail
     codes = [t["code"] for t in policy["tiers"]][:3]
     row = {
-        "run_date": run_date, "run_id": run_id, "run_ts": datetime.now(timezone.utc).replace(microsecond=0, tzinfo=None), "model_family": family, "model_id": family, "model_version": None, "device": "spark", "snapshot_date": run_date, "scored_accounts": n,
+        "run_date": run_date, "run_id": run_id, "run_ts": datetime.now(timezone.utc).replace(microsecond=0, tzinfo=None), "model_family": family, "model_id": family, "model_version": None, "device": on, "snapshot_date": run_date, "scored_accounts": n,
         "context_rows": seen["n"], "context_mules": int(seen["y"]), "context_negatives": seen["n"] - int(seen["y"]), "context_from": first, "context_to": dates[-1], "context_mule_rate": round(seen["y"] / seen["n"], 5),
         "book_mule_rate": round(rate, 7), "book_rate_source": source, "source_table": "mule_features", "source_snapshot_id": str(version), "holdout_test_from": test_from, "holdout_test_to": test_to, "holdout_context_rows": held_rows,
         "gate_passed": passed, "gate_detail": " | ".join(lines), "alerts_published": publish, "policy_json": json.dumps(policy, sort_keys=True), "triggered_by": triggered_by, "duration_s": round(time.monotonic() - began, 1),
@@ -163,7 +166,7 @@ def checked(request: dict) -> tuple[list[dict], dict]:
 class Endpoint:
     """Scores single requests with the context, rates and cut-offs of the latest published run."""
 
-    def __init__(self, store, family: str | None = None, policy: dict | None = None, scorer: sc.Scorer | None = None):
+    def __init__(self, store, family: str | None = None, policy: dict | None = None, scorer: scorers.Scorer | None = None):
         self.spark, self.policy = store.spark, policy or POLICY
         last = store.read("mule_model_run").orderBy(F.desc("run_ts")).limit(1).collect()
         if not last:
@@ -171,8 +174,10 @@ class Endpoint:
         self.run = r = last[0].asDict()
         features = store.read("mule_features", int(r["source_snapshot_id"])).select(*FEATURE_COLUMNS)
         c = self.policy["context"]
-        context = cut(sc.context(features, r["context_from"], r["context_to"], c["max_mules"], c["negatives_per_mule"]))
-        self.score_rows = (scorer or sc.scorer(family or r["model_family"]))(context)
+        on = scorers.device(self.spark)
+        name = r["model_family"] if scorer else scorers.resolved(family or r["model_family"], on)
+        context = cut(sc.context(features, r["context_from"], r["context_to"], scorers.max_positives(c, name, on), c["negatives_per_mule"]))
+        self.score_rows = (scorer or scorers.FAMILIES[name].fit)(context)
         self.cutoffs = [r["t1_cutoff"], r["t2_cutoff"], r["t3_cutoff"]]
 
     def _scored(self, rows: list[dict]) -> list[dict]:

@@ -8,7 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..contract import LABEL
+from ..contract import LABEL, NO_TIER
 
 Tables = dict[str, DataFrame]
 T1 = "T1_FREEZE_REVIEW"
@@ -104,6 +104,35 @@ def versions_compared(store, first: int = 1) -> DataFrame:
     return line(store.read("mule_features"), "now").unionByName(line(store.read("mule_features", first), "first snapshot"))
 
 
+def queue(t: Tables) -> DataFrame:
+    """The latest alerts, each with its account's last decision and last known label."""
+    decided = F.struct("decided_at", "decision_id")
+    decisions = t["investigator_decisions"].groupBy("account_id").agg(F.max_by("decision", decided).alias("last_decision"), F.max("decided_at").alias("decided_at"), F.count("*").alias("decisions"))
+    labels = t["mule_features"].where(F.col(LABEL).isNotNull()).groupBy("account_id").agg(F.max_by(LABEL, "snapshot_date").alias("last_label"), F.max("snapshot_date").alias("labelled_on"))
+    rows = latest_rows(t["mule_alerts"]).select("account_id", "cif", "risk_rank", "tier")
+    rows = rows.join(decisions, "account_id", "left").join(labels, "account_id", "left")
+    return rows.select("account_id", "cif", "risk_rank", "tier", "last_decision", "decided_at", F.coalesce("decisions", F.lit(0)).alias("decisions"), "last_label", "labelled_on")
+
+
+def linked(t: Tables, edges: DataFrame, customer: DataFrame) -> DataFrame:
+    """The customers that edges (src_cif, dst_cif, first_seen) link to those of the latest alerts, with what is known of them (cif and more) and the tier of their own alert."""
+    tiers = latest_rows(t["mule_alerts"]).groupBy(F.col("cif").alias("other_cif")).agg(F.min("tier").alias("tier"))
+    ends = edges.select(F.inline(F.array(*[F.struct(F.col(a).alias("cif"), F.col(b).alias("other_cif"), F.col("first_seen")) for a, b in (("src_cif", "dst_cif"), ("dst_cif", "src_cif"))])))
+    ends = ends.where("cif <> other_cif").join(tiers.select(F.col("other_cif").alias("cif")), "cif", "left_semi").groupBy("cif", "other_cif").agg(F.min("first_seen").alias("first_seen"))
+    out = ends.join(customer.withColumnRenamed("cif", "other_cif"), "other_cif", "left").join(tiers, "other_cif", "left")
+    more = [c for c in customer.columns if c != "cif"]
+    return out.select("cif", "other_cif", "first_seen", *more, F.col("tier").isNotNull().alias("alerted_this_run"), F.coalesce("tier", F.lit(NO_TIER)).alias("other_tier"))
+
+
+def members(t: Tables) -> DataFrame:
+    """The accounts of the latest rings on the day of the latest alerts, with their alerts where they have any."""
+    day = t["mule_alerts"].agg(F.max("run_date").alias("snapshot_date"))
+    rings = latest_rows(t["mule_rings"]).select("ring_id").distinct()
+    rows = t["mule_features"].join(F.broadcast(day), "snapshot_date").join(rings, "ring_id").select("ring_id", "account_id", "cif", "hops_to_known_mule")
+    rows = rows.join(latest_rows(t["mule_alerts"]).select("account_id", "tier", "p_mule_adj", "risk_rank"), "account_id", "left")
+    return rows.select("ring_id", "account_id", "cif", F.coalesce("tier", F.lit(NO_TIER)).alias("tier"), "p_mule_adj", "risk_rank", "hops_to_known_mule")
+
+
 def briefing(t: Tables) -> DataFrame:
     r = latest_rows(t["mule_model_run"], "run_ts")
     total = F.col("alerts_t1") + F.col("alerts_t2") + F.col("alerts_t3")
