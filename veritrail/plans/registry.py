@@ -529,8 +529,8 @@ UNION ALL SELECT 'o_orderdate not after the as-of date', d = 0, n, d, CAST(d AS
 def quality_profile(spark, sf_dir):
     o = read(spark, sf_dir, "orders")
     rules = [quality.not_null("o_custkey"), quality.in_set("o_orderstatus", ["O", "F"], check="status known"), quality.in_range("o_totalprice", 1000, 400000), quality.not_after("o_orderdate", date(2000, 1, 1))]
-    found, n = quality.check("orders", o, rules)
-    return findings(spark, [*found, quality.unique("orders", o, ["o_orderkey"], n["rows"])])
+    found, _ = quality.check("orders", o, rules)
+    return findings(spark, [*found, quality.repeated("orders", ["o_orderkey"], quality.key_counts([quality.Keys("key", o, ["o_orderkey"])])["key"])])
 
 
 @query("""WITH s AS (SELECT count(*) AS n, count(*) FILTER (WHERE o_custkey NOT IN (SELECT c_custkey FROM customer WHERE c_acctbal > -990)) AS b FROM orders)
@@ -539,9 +539,9 @@ UNION ALL SELECT 'orders = distinct orders of lines', (SELECT count(DISTINCT l_o
 UNION ALL SELECT 'rows against the previous load within -5% / +10%', n / 14000.0 BETWEEN 0.95 AND 1.10, n, NULL, printf('%.4f', n / 14000.0) FROM s""")
 def quality_rates(spark, sf_dir):
     o, c = read(spark, sf_dir, "orders"), read(spark, sf_dir, "customer").where("c_acctbal > -990").select(F.col("c_custkey").alias("o_custkey"))
-    n = o.count()
-    lines = read(spark, sf_dir, "lineitem").select("l_orderkey").distinct().count()
-    return findings(spark, [*quality.rate_with_warning("orders", "unknown customers", n, quality.orphans(o, "o_custkey", c)), quality.equal("orders", "orders = distinct orders of lines", n, lines), *quality.volume("orders", n, 14000.0)])
+    got = quality.key_counts([quality.Keys("customer", o, ["o_custkey"], c), quality.Keys("lines", read(spark, sf_dir, "lineitem"), ["l_orderkey"])])
+    n = got["customer"].rows
+    return findings(spark, [*quality.rate_with_warning("orders", "unknown customers", n, got["customer"].orphans), quality.equal("orders", "orders = distinct orders of lines", n, got["lines"].distinct), *quality.volume("orders", n, 14000.0)])
 
 
 @query(r"SELECT doc_id, coalesce(regexp_matches(upper(text), '(^|[^A-Z0-9])[A-Z]{5}[0-9]{4}[A-Z]([^A-Z0-9]|$)'), false) OR coalesce(regexp_matches(upper(source), '(^|[^A-Z0-9])[A-Z]{5}[0-9]{4}[A-Z]([^A-Z0-9]|$)'), false) OR coalesce(regexp_matches(upper(lang), '(^|[^A-Z0-9])[A-Z]{5}[0-9]{4}[A-Z]([^A-Z0-9]|$)'), false) AS hit FROM documents")

@@ -10,9 +10,10 @@ from __future__ import annotations
 
 import json
 from collections.abc import Sequence
+from dataclasses import dataclass
 from datetime import datetime, timezone
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -23,6 +24,23 @@ LOG = "version bigint, committed_at timestamp, operation string, rows bigint, ad
 PARTS = "written bigint, month_of string, schema string, parts array<string>"
 
 
+@dataclass(frozen=True)
+class Staged:
+    """Files of a version that is not committed yet: their rows, and what was counted while they were written."""
+
+    store: Store
+    table: str
+    row: tuple
+    rows: DataFrame
+    counts: dict
+
+    def commit(self) -> int:
+        n, _, *more = self.row
+        log = self.store.spark.createDataFrame([(n, datetime.now(timezone.utc).replace(tzinfo=None), *more)], f"{LOG}, {PARTS}")
+        log.coalesce(1).write.mode("append").parquet(self.store._log(self.table))
+        return n
+
+
 class Store:
     def __init__(self, spark: SparkSession, root: str):
         self.spark, self.root = spark, root.rstrip("/")
@@ -81,7 +99,14 @@ class Store:
 
     def _put(self, table: str, df: DataFrame, operation: str, partition: str | None, month_of: str | None, keep: Sequence[str] = (), before=None, counts: tuple[int, int, int] | None = None) -> int:
         """Commits the rows of df and the directories of the version before that are kept."""
+        return self._stage(table, df, operation, partition, month_of, keep, before, counts).commit()
+
+    def _stage(self, table: str, df: DataFrame, operation: str, partition: str | None, month_of: str | None, keep: Sequence[str] = (), before=None, counts: tuple[int, int, int] | None = None, observe: Sequence[Column] = ()) -> Staged:
+        """Writes the rows of df as files of the next version, which is none until it is committed. What is counted of them is counted while they are written."""
         n = (self.version(table) or 0) + 1
+        columns = df.columns
+        seen = Observation()
+        df = df.observe(seen, F.count("*").alias("_written"), *observe)
         if month_of:
             df = df.withColumn(partition, F.trunc(month_of, "MM"))
         own = f"_commit={n}"
@@ -91,12 +116,19 @@ class Store:
         p, fs = path_of(self.spark, path)
         made = [f"{own}/{s.getPath().getName()}" for s in fs.listStatus(p) if s.isDirectory()] if partition else [own]
         schema = StructType([*df.schema.fields, *([f for f in StructType.fromJson(json.loads(before["schema"])).fields if f.name not in df.columns] if before is not None else [])])
-        written = self.spark.read.schema(df.schema).parquet(path).count() if made else 0
-        rows = written + (self._rows(table, before, keep).count() if keep and before is not None else 0)
+        got = seen.get
+        written, rows = got["_written"], got["_written"]
+        if before is not None:  # of the version before only the directories that go are counted
+            gone = [d for d in before["parts"] if d not in set(keep)]
+            rows += before["rows"] - (self._rows(table, before, gone).count() if gone and keep else before["rows"] if gone else 0)
         added, updated, deleted = counts or (written, 0, 0)
-        row = (n, datetime.now(timezone.utc).replace(tzinfo=None), operation, rows, added, updated, deleted, partition, written, month_of, schema.json(), [*keep, *made])
-        self.spark.createDataFrame([row], f"{LOG}, {PARTS}").coalesce(1).write.mode("append").parquet(self._log(table))
-        return n
+        row = (n, None, operation, rows, added, updated, deleted, partition, written, month_of, schema.json(), [*keep, *made])
+        fresh = self.spark.createDataFrame([], df.schema) if not made else self.spark.read.schema(df.schema).option("basePath", path).parquet(*[f"{self.root}/{table}/{m}" for m in made])
+        return Staged(self, table, row, fresh.select(*[f"`{c}`" for c in columns]), {k: v for k, v in got.items() if k != "_written"} | {"rows": written})
+
+    def stage(self, table: str, df: DataFrame, by_month: str | None = None, observe: Sequence[Column] = ()) -> Staged:
+        """The rows of df as files of the table's next version, to be committed later, with aggregates of them taken while they were written."""
+        return self._stage(table, df, "replace", f"{by_month}_month" if by_month else None, by_month, observe=observe)
 
     def write(self, table: str, df: DataFrame, by_month: str | None = None, by: str | None = None, operation: str = "replace") -> int:
         """Commits df as the next version. by_month: a date column by whose month files are parted; by: a column itself."""
