@@ -5,7 +5,7 @@ import os
 
 import duckdb
 import pytest
-from veritrail.plans import chain, day, network, registry, scoring  # noqa: F401
+from veritrail.plans import chain, day, network, registry, scoring, suites  # noqa: F401
 
 SF = os.environ.get("ORACLE_SF_DIR", "/root/testdata/sf0.001")
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
