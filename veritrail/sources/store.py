@@ -21,6 +21,8 @@ from ..functions.scalars import differs
 from ..session import cut, path_of
 
 LOG = "version bigint, committed_at timestamp, operation string, rows bigint, added bigint, updated bigint, deleted bigint, partition_column string"
+#: The name of the partition of nulls.
+DEFAULT = "__HIVE_DEFAULT_PARTITION__"
 PARTS = "written bigint, month_of string, schema string, parts array<string>"
 
 
@@ -147,30 +149,53 @@ class Store:
             return self.write(table, df, by=column, operation="replace_partition")
         before = self._commit(table, self.version(table))
         if before["partition_column"] == column and before["month_of"] is None:
-            mine = "__HIVE_DEFAULT_PARTITION__" if value is None else str(value)
+            mine = DEFAULT if value is None else str(value)
             kept = [p for p in before["parts"] if p.partition("/")[2] != f"{column}={mine}"]
             return self._put(table, df, "replace_partition", column, None, kept, before)
         others = self._rows(table, before, before["parts"]).where(~F.col(column).eqNullSafe(F.lit(value)))
         return self._put(table, others.unionByName(df, allowMissingColumns=True), "replace_partition", column, None)
 
+    @staticmethod
+    def _differing(target: DataFrame, source: DataFrame, partition: str, columns: Sequence[str]) -> set[str]:
+        """The partitions whose rows are not the same on both sides, by digests that do not depend on the order of rows: their number and the
+        sums of two hashes of each."""
+
+        def digests(df: DataFrame) -> dict:
+            row = F.struct(*sorted(columns))
+            sums = [F.sum(h.cast("decimal(38,0)")).alias(f"h{i}") for i, h in enumerate((F.xxhash64(row), F.xxhash64(row, F.lit(1)), F.hash(row)))]
+            found = df.groupBy(F.coalesce(F.col(partition).cast("string"), F.lit(DEFAULT)).alias("p")).agg(F.count("*").alias("n"), *sums).collect()  # a row a partition
+            return {r["p"]: tuple(r)[1:] for r in found}
+
+        ours, theirs = digests(target), digests(source)
+        return {p for p in ours.keys() | theirs.keys() if ours.get(p) != theirs.get(p)}
+
     def merge(self, table: str, source: DataFrame, keys: Sequence[str], compare: Sequence[str] | None = None, by_month: str | None = None) -> int:
         """Upserts source and deletes what it lacks; rows that only differ elsewhere than in `compare` stay as they were.
 
-        Both sides are read once, and what changed is kept; then the directories that hold a changed row are written anew."""
+        Where the table is parted, digests of its partitions and of the source's tell which can hold a change: those alone are joined. Then the
+        directories that hold a changed row are written anew. A row that moves from a partition to another changes the digests of both."""
         if not self.exists(table):
             return self.write(table, source, by_month=by_month, operation="bootstrap")
         before = self._commit(table, self.version(table))
         partition, month_of, keys = before["partition_column"], before["month_of"], list(keys)
-        target = self._rows(table, before, before["parts"])
         if month_of:
             source = source.drop(partition).withColumn(partition, F.trunc(month_of, "MM"))
+        parts = list(before["parts"])
+        if partition:
+            source = cut(source)  # it is read for its digests, and what differs of it again
+            shared = [c for c in source.columns if c in StructType.fromJson(json.loads(before["schema"])).names]
+            differing = self._differing(self._rows(table, before, parts), source, partition, shared)
+            parts = [p for p in parts if p.partition("/")[2].partition("=")[2] in differing]
+            inside = F.coalesce(F.col(partition).cast("string"), F.lit(DEFAULT)).isin(sorted(differing))
+            source = source.where(inside)
+        target = self._rows(table, before, parts)
         where = [partition] if partition else []
         changes = merged(target.select(*[c for c in source.columns if c in target.columns]), source, keys, compare, old=where).where("action <> 'kept'")
         changes = cut(changes)
         found = changes.groupBy("action", *[c for w in where for c in (w, f"was_{w}")]).agg(F.count("*").alias("n")).collect()  # a row a partition and action
         counts = tuple(sum(r["n"] for r in found if r["action"] == a) for a in ("inserted", "updated", "deleted"))
         if partition:
-            touched = {("__HIVE_DEFAULT_PARTITION__" if r[c] is None else str(r[c])) for r in found for c, in_ in ((partition, ("inserted", "updated", "deleted")), (f"was_{partition}", ("updated",))) if r["action"] in in_}
+            touched = {(DEFAULT if r[c] is None else str(r[c])) for r in found for c, in_ in ((partition, ("inserted", "updated", "deleted")), (f"was_{partition}", ("updated",))) if r["action"] in in_}
             old = [p for p in before["parts"] if p.partition("/")[2].partition("=")[2] in touched]
         else:
             old = list(before["parts"]) if found else []
