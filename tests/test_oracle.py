@@ -7,7 +7,7 @@ import duckdb
 import pytest
 from veritrail.plans import chain, day, network, registry, scoring, suites  # noqa: F401
 
-SF = os.environ.get("ORACLE_SF_DIR", "/root/testdata/sf0.001")
+SF = os.environ.get("ORACLE_SF_DIR", "/root/testdata/sf0.01")
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
 
 
@@ -17,7 +17,7 @@ def plain(v):
     if isinstance(v, bool):
         return str(v)
     if isinstance(v, (int, float)) or type(v).__name__ == "Decimal":
-        return f"{float(v):.6g}" if abs(float(v)) > 1e-12 else "0"
+        return f"{float(v):.9g}" if abs(float(v)) > 1e-12 else "0"
     return str(v)
 
 

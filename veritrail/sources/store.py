@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from ..functions.scalars import differs
+from ..operators.relational import latest
 from ..session import cut, path_of
 
 LOG = "version bigint, committed_at timestamp, operation string, rows bigint, added bigint, updated bigint, deleted bigint, partition_column string"
@@ -191,6 +192,30 @@ class Store:
         target = self._rows(table, before, parts)
         where = [partition] if partition else []
         changes = merged(target.select(*[c for c in source.columns if c in target.columns]), source, keys, compare, old=where).where("action <> 'kept'")
+        return self._changed(table, before, changes, keys, "merge")
+
+    def upsert(self, table: str, source: DataFrame, keys: Sequence[str], by: str, by_month: str | None = None, operation: str = "upsert") -> int:
+        """Commits the rows of source where they are the newest of their key by `by` (ties as `latest` has them); all other rows stay. Rows that lack a key are left out.
+
+        Of the table only rows of the source's keys are carried, and the directories that hold a changed row are written anew."""
+        keys = list(keys)
+        source = cut(latest(source.dropna(subset=keys), keys, by))
+        if not self.exists(table):
+            return self.write(table, source, by_month=by_month, operation=operation)
+        before = self._commit(table, self.version(table))
+        partition, month_of = before["partition_column"], before["month_of"]
+        columns = source.columns
+        if month_of:
+            source = source.withColumn(partition, F.trunc(month_of, "MM"))
+        held = self._rows(table, before, before["parts"]).select(*source.columns).join(source.select(*keys), keys, "left_semi").select(*source.columns)
+        newest = latest(held.unionByName(source), keys, by, [c for c in columns if c != by and c not in keys])
+        changes = merged(held, newest, keys, old=[partition] if partition else []).where("action <> 'kept'")
+        return self._changed(table, before, changes, keys, operation)
+
+    def _changed(self, table: str, before, changes: DataFrame, keys: Sequence[str], operation: str) -> int:
+        """Commits changes (action, columns, was_<partition>): the directories that hold one are written anew."""
+        partition, month_of = before["partition_column"], before["month_of"]
+        where = [partition] if partition else []
         changes = cut(changes)
         found = changes.groupBy("action", *[c for w in where for c in (w, f"was_{w}")]).agg(F.count("*").alias("n")).collect()  # a row a partition and action
         counts = tuple(sum(r["n"] for r in found if r["action"] == a) for a in ("inserted", "updated", "deleted"))
@@ -204,7 +229,7 @@ class Store:
         for k in keys:
             same = same & F.col(k).eqNullSafe(F.col(f"g_{k}"))
         rows = self._rows(table, before, old).join(gone, same, "left_anti").unionByName(changes.where("action <> 'deleted'").drop("action", *[f"was_{w}" for w in where]), allowMissingColumns=True)
-        return self._put(table, rows, "merge", partition, month_of, [p for p in before["parts"] if p not in set(old)], before, counts)
+        return self._put(table, rows, operation, partition, month_of, [p for p in before["parts"] if p not in set(old)], before, counts)
 
 
 def merged(target: DataFrame, source: DataFrame, keys: Sequence[str], compare: Sequence[str] | None = None, old: Sequence[str] = ()) -> DataFrame:
