@@ -15,7 +15,7 @@ from .negatives import op13_hard_negatives
 from .packing import op11_packing
 from .quality import op10_quality
 from .simhash import op2_simhash
-from .spelling import op12_spelling
+from .spelling import LOWER, UPPER, op12_spelling
 from .tokens import op3_token_ids
 from .toxicity import op8_toxicity
 from .urls import op1_urls
@@ -53,4 +53,30 @@ SELECT p.anchor_id, p.id AS positive_id, row_number() OVER (PARTITION BY p.a_pla
 FROM positives p JOIN scored n ON p.a_place = n.a_place AND NOT n.same AND 100 * n.score BETWEEN 30 * p.score AND 90 * p.score
 QUALIFY row_number() OVER (PARTITION BY p.a_place, p.place ORDER BY n.score DESC, n.id, n.place) <= 10"""
 
-ORACLE: dict[str, str] = {"op4_hnsw": HNSW_SQL, "op13_hard_negatives": NEGATIVES_SQL}
+
+
+def crc32_sql(text: str) -> str:
+    """The CRC-32 of a text's UTF-8 bytes: each byte in two halves, by a table of 16 entries that is made from the polynomial."""
+
+    def entry(c: int) -> int:
+        for _ in range(4):
+            c = c >> 1 ^ (0xEDB88320 if c & 1 else 0)
+        return c
+
+    table = f"[{', '.join(str(entry(i)) for i in range(16))}]"
+    half = f"xor({{0}} >> 4, {table}[({{0}} & 15) + 1])"
+    step = half.format(half.format("xor(a, b)"))
+    octets = f"list_transform(range(strlen({text})), lambda i: CAST('0x' || substr(hex(encode({text})), 2 * i + 1, 2) AS BIGINT))"
+    return f"xor(list_reduce(list_prepend(CAST(4294967295 AS BIGINT), {octets}), lambda a, b: {step}), 4294967295)"
+
+
+#: Pairs of near words by equal deletions, and their forms followed one by one.
+SPELLING_SQL = f"""WITH RECURSIVE runs AS (SELECT doc_id, run, count(*) AS k FROM (SELECT doc_id, unnest(regexp_extract_all(translate(text, '{UPPER}', '{LOWER}'), '[A-Za-z\u00C0-\u00FF]+')) AS run FROM documents) WHERE length(run) >= 6 GROUP BY 1, 2),
+hashed AS (SELECT run, k, {crc32_sql("(coalesce(CAST(doc_id AS VARCHAR), '') || ':' || run)")} AS h FROM runs), spelt AS (SELECT CASE WHEN h % 199 = 0 THEN substr(run, 1, CAST(h % length(run) AS INT)) || substr(run, CAST(h % length(run) AS INT) + 2) ELSE run END AS word, k FROM hashed),
+words AS (SELECT word, CAST(sum(k) AS BIGINT) AS n FROM spelt WHERE length(word) >= 6 GROUP BY 1 HAVING sum(k) >= 5), less AS (SELECT word, i, substr(word, 1, i) || substr(word, i + 2) AS d FROM (SELECT word, CAST(unnest(range(length(word))) AS INT) AS i FROM words)),
+short AS (SELECT DISTINCT less.word AS a, words.word AS b FROM less JOIN words ON less.d = words.word), pairs AS (SELECT x.word AS a, y.word AS b FROM less x JOIN less y ON x.d = y.d AND x.i = y.i AND x.word <> y.word UNION SELECT a, b FROM short UNION SELECT b, a FROM short),
+near AS (SELECT a, b, w.n, count(*) OVER (PARTITION BY a) AS n_near, row_number() OVER (PARTITION BY a ORDER BY w.n DESC, b) AS place FROM pairs JOIN words w ON w.word = b), known AS (SELECT word, words.n, coalesce(n_near, 0) AS n_near, CASE WHEN near.n >= 5 * words.n THEN b END AS form, CASE WHEN near.n >= 5 * words.n THEN near.n END AS form_n FROM words LEFT JOIN near ON a = word AND place = 1),
+chain AS (SELECT word, word AS root FROM known UNION SELECT chain.word, known.form FROM chain JOIN known ON known.word = chain.root WHERE known.form IS NOT NULL), last AS (SELECT chain.word, root FROM chain JOIN known ON known.word = root WHERE known.form IS NULL)
+SELECT known.word, form, root, n, n_near, form_n FROM known JOIN last USING (word)"""
+
+ORACLE: dict[str, str] = {"op12_spelling": SPELLING_SQL, "op4_hnsw": HNSW_SQL, "op13_hard_negatives": NEGATIVES_SQL}
