@@ -14,7 +14,7 @@ from ..session import scratch
 from ..sources import export, simulate
 from ..sources.store import Store, run_script
 from . import daily, day
-from .registry import CODES, TEST, TOPS, findings, holdout, query, read
+from .registry import CODES, TEST, TOPS, findings, holdout, query, read, shared
 
 AS_OF = date(2024, 6, 21)
 WEEK = "DATE '2024-01-05' + CAST(7 * n_nationkey AS INT)"
@@ -44,6 +44,7 @@ def new_store(spark: SparkSession) -> Store:
 # ---------------------------------------------------------------- store
 
 
+@shared
 def committed(spark: SparkSession, sf_dir: str) -> Store:
     """Orders by month, then more of them, then an upsert with changes: four versions."""
     st = new_store(spark)
@@ -284,6 +285,7 @@ def half_and_rate(context: DataFrame):
     return lambda rows: rows.withColumn("p", (F.col("pass_through_ratio_7d") + F.lit(rate)) / 2)
 
 
+@shared
 def scored_day(spark: SparkSession, sf_dir: str, **options) -> tuple[Store, daily.Outcome]:
     st = new_store(spark)
     st.write("mule_features", book(spark, sf_dir), by_month="snapshot_date")

@@ -15,12 +15,13 @@ from ..operators.features import Silver, assemble
 from ..operators.timeline import Calendar
 from ..session import cut
 from . import layers
-from .registry import query, read
+from .registry import query, read, shared
 
 CALENDAR = Calendar(as_of=date(2024, 6, 1), first=date(2024, 1, 5))
 SHOWN = ["account_id", "snapshot_date", "dormant_reactivated_flag", "accounts_on_same_device", "cifs_sharing_mobile", "person_cluster_size", "ring_size", "hops_to_known_mule", "is_mule_90d", "person_cluster_id", "ring_id"]
 
 
+@shared
 def made(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     """The standard tables."""
     e = read(spark, sf_dir, "events").select("event_id", F.col("user_id").alias("cif"), "event_type", "value", F.col("ts").cast("timestamp").alias("ts"), F.to_date("ts").alias("d"), F.get_json_object("props", "$.k").alias("k"))
@@ -50,6 +51,13 @@ def made(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     return t
 
 
+@shared
+def graph_of(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """The link graph's edges and clusters."""
+    edges, clusters = layers.link_graph(made(spark, sf_dir), CALENDAR)
+    return edges, cut(clusters)
+
+
 EV = "ev AS (SELECT event_id, user_id AS a, event_type AS e, value AS v, CAST(ts AS DATE) AS d, json_extract_string(props, '$.k') AS k FROM events)"
 CAL = "cal AS (SELECT CAST(g AS DATE) AS s FROM generate_series(TIMESTAMP '2024-01-05', TIMESTAMP '2024-06-01', INTERVAL 7 DAY) x(g) UNION SELECT DATE '2024-06-01')"
 LINKS = """acc AS (SELECT a, min(d) AS o, min(d) FILTER (WHERE e = 'error' AND v > 285) AS fz, min(d) FILTER (WHERE e = 'purchase' AND v > 250) AS re FROM ev GROUP BY 1),
@@ -84,12 +92,12 @@ def known_seeds(spark, sf_dir):
 
 @query(f"{ALL} SELECT s AS snapshot_date, a AS src_cif, b AS dst_cif, kind AS link_type, CAST(w AS INTEGER) AS weight FROM ge")
 def graph_edges(spark, sf_dir):
-    return layers.link_graph(made(spark, sf_dir), CALENDAR)[0]
+    return graph_of(spark, sf_dir)[0]
 
 
 @query(f"{ALL} SELECT s AS snapshot_date, a AS cif, * EXCLUDE (s, a) FROM cl")
 def graph_clusters(spark, sf_dir):
-    return layers.link_graph(made(spark, sf_dir), CALENDAR)[1]
+    return graph_of(spark, sf_dir)[1]
 
 
 @query(f"{ALL} SELECT s AS snapshot_date, a AS cif, dev AS accounts_on_same_device, mob AS cifs_sharing_mobile FROM sh WHERE dev IS NOT NULL OR mob IS NOT NULL")
@@ -106,5 +114,5 @@ coalesce(person_cluster_id, a) AS person_cluster_id, coalesce(ring_id, a) AS rin
 def feature_table(spark, sf_dir):
     """The whole chain from events to features: links, dated edges, components, hops, shared identifiers, population, label."""
     t = made(spark, sf_dir)
-    clusters = cut(layers.link_graph(t, CALENDAR)[1])
+    clusters = graph_of(spark, sf_dir)[1]
     return assemble(Silver(t["customer"], t["account"], t["txn"], t["session"], t["report"], t["decision"], clusters), CALENDAR).select(*SHOWN)

@@ -7,6 +7,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from datetime import date
+from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -34,6 +35,20 @@ def query(sql: str | None = None):
     return put
 
 
+def shared(make: Callable) -> Callable:
+    """make(spark, sf_dir, **options) once for an application and its arguments: several queries read what it has written and none changes it."""
+    made: dict[tuple, object] = {}
+
+    @wraps(make)
+    def get(spark: SparkSession, sf_dir: str, **options):
+        key = (spark.sparkContext.applicationId, sf_dir, *sorted(options.items()))
+        if key not in made:
+            made[key] = make(spark, sf_dir, **options)
+        return made[key]
+
+    return get
+
+
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..operators import scorers
 from . import chain, day, layers, reports
-from .registry import query, read
+from .registry import query, read, shared
 
 # ---------------------------------------------------------------- families
 
@@ -102,6 +102,7 @@ def ring_members(spark, sf_dir):
 # ---------------------------------------------------------------- versions of the feature table
 
 
+@shared
 def matured(spark: SparkSession, sf_dir: str):
     """A feature table as it was loaded first, made by the merge itself, and after a load in which more labels had matured and a week was gone."""
     st, rows = chain.new_store(spark), chain.book(spark, sf_dir)
