@@ -5,6 +5,7 @@ from datetime import date
 import pytest
 from pyspark.sql import functions as F
 from veritrail.contract import FEATURE_COLUMNS, POLICY
+from veritrail.operators import quality
 from veritrail.operators.timeline import Calendar
 from veritrail.plans import daily, layers, reports
 from veritrail.sources import simulate
@@ -19,7 +20,17 @@ def built(spark, tmp_path_factory):
     store = Store(spark, str(tmp_path_factory.mktemp("store")))
     bronze = simulate.bronze(spark, 40, AS_OF, days=200, mule_share=0.25, seed=3)
     bronze = {k: v.cache() for k, v in bronze.items()}
-    findings = layers.nightly(spark, bronze, store, calendar=Calendar(AS_OF))
+    read, plain = [], quality.check
+
+    def watched(table, df, rules, extra=None, seen=None):
+        read.extend([table] * (seen is None))
+        return plain(table, df, rules, extra, seen)
+
+    with pytest.MonkeyPatch.context() as m:
+        m.setattr(quality, "check", watched)
+        findings = layers.nightly(spark, bronze, store, calendar=Calendar(AS_OF))
+    # one pass over each extract and over the gold table; the silver tables are counted while they are written
+    assert read == [*quality.EXTRACTS, "mule_features"]
     return store, bronze, findings
 
 
@@ -92,6 +103,9 @@ def test_backfill_and_families(built):
     runs = {r["run_date"]: r["scored_accounts"] for r in store.read("mule_model_run").collect()}
     assert all(runs[d] == o.run["scored_accounts"] == store.read("mule_features", where=F.col("snapshot_date") == F.lit(d)).count() for d, o in zip(dates, out, strict=True))
     assert {r["run_date"] for r in store.read("mule_alerts").select("run_date").distinct().collect()} >= set(dates)
+    attended = daily.run(store, family="kernel", policy=SMALL, with_holdout=False, write=False)
+    assert (attended.run["model_family"], attended.run["device"]) == ("kernel", "cpu") and attended.run["context_mules"] <= SMALL["context"]["max_mules"] // 4
+    assert daily.run(store, family="auto", policy=SMALL, with_holdout=False, write=False).run["model_family"] == "stub"
     with pytest.raises(ValueError, match="no scorer"):
         daily.run(store, family="nope", policy=SMALL)
     with pytest.raises(ValueError, match="no rows"):
