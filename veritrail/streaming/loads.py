@@ -26,8 +26,10 @@ def newest(stream: DataFrame, keys: Sequence[str], by: str, delay: str) -> DataF
         if state.hasTimedOut:
             state.remove()
             return
-        rows = pd.concat(list(frames))
-        best = rows.sort_values([by, *[c for c in rows.columns if c != by]], ascending=[False] + [True] * (rows.shape[1] - 1), kind="stable").iloc[:1]
+        best = None
+        for rows in frames:  # one Arrow batch after another: no more than a batch and a row are held
+            rows = rows if best is None else pd.concat([best, rows])
+            best = rows.sort_values([by, *[c for c in rows.columns if c != by]], ascending=[False] + [True] * (rows.shape[1] - 1), kind="stable").iloc[:1]
         at = best[by].iloc[0]
         at = at.tz_localize(zone) if at.tzinfo is None else at
         micros = at.value // 1000
