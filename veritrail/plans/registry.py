@@ -604,38 +604,8 @@ def visual_builder(spark, sf_dir):
     return v.frame(read(spark, sf_dir, "orders"))
 
 
-CHECKS = """(VALUES ('manual-a', TIMESTAMP '2025-01-01 01:00:00', 'bronze', 't', 'row count', 'row_count', true, '100', NULL), ('manual-a', TIMESTAMP '2025-01-01 01:30:00', 'gold', 'f', 'no label before 90 days have passed (leakage)', 'not_null', false, '3', 3),
-('scheduled__b', TIMESTAMP '2025-01-02 01:00:00', 'bronze', 't', 'bad rows at most 1%', 'rate_at_most', true, '0.005000', 1), ('scheduled__b', TIMESTAMP '2025-01-02 00:50:00', 'bronze', 't', 'row count', 'row_count', true, '90', NULL)) c(pipeline_run, run_ts, layer, table_name, check_name, expectation_type, success, observed_value, unexpected_count)"""
-
-
-@query(f"""WITH r AS (SELECT *, max(run_ts) OVER (PARTITION BY pipeline_run, layer) AS last_ts, min(run_ts) OVER (PARTITION BY pipeline_run) AS started FROM {CHECKS}), l AS (SELECT layer, arg_max(pipeline_run, run_ts) AS newest FROM r GROUP BY 1)
-SELECT pipeline_run, r.layer, check_name, CASE WHEN pipeline_run LIKE 'scheduled~_~_%' ESCAPE '~' THEN 'nightly' ELSE 'by hand' END AS run_type, '2025-01-01 ' || CASE WHEN pipeline_run LIKE 'scheduled%' THEN 'nightly' ELSE 'by hand' END || ' ' || strftime(started, '%H:%M') AS run_label,
-CASE WHEN check_name LIKE '%(leakage)%' THEN 'Leakage guard' WHEN expectation_type = 'row_count' THEN 'Volume' ELSE 'Rate limit' END AS category, CAST(CASE WHEN success AND unexpected_count > 0 THEN 1 ELSE 0 END AS INTEGER) AS near_miss, CASE WHEN expectation_type = 'not_null' THEN CAST(unexpected_count AS DOUBLE) ELSE CAST(observed_value AS DOUBLE) END AS actual,
-CAST(CASE expectation_type WHEN 'row_count' THEN 1.0 WHEN 'rate_at_most' THEN 0.01 ELSE 0.0 END AS DOUBLE) AS expected, CAST(CASE WHEN pipeline_run = newest THEN 1 ELSE 0 END AS INTEGER) AS is_latest FROM r JOIN l ON l.layer = r.layer WHERE run_ts = last_ts""")
-def view_checks(spark, sf_dir):
-    from datetime import datetime
-
-    rows = [
-        ("manual-a", datetime(2025, 1, 1, 1), "bronze", "t", "row count", "row_count", "critical", True, "100", 100, None, '{"min_value": 1}'),
-        ("manual-a", datetime(2025, 1, 1, 1, 30), "gold", "f", "no label before 90 days have passed (leakage)", "not_null", "critical", False, "3", 50, 3, None),
-        ("scheduled__b", datetime(2025, 1, 2, 1), "bronze", "t", "bad rows at most 1%", "rate_at_most", "warning", True, "0.005000", 200, 1, '{"max_rate": 0.01}'),
-        ("scheduled__b", datetime(2025, 1, 2, 0, 50), "bronze", "t", "row count", "row_count", "critical", True, "90", 90, None, '{"min_value": 1}'),
-    ]
-    kinds = "pipeline_run string, run_ts timestamp, layer string, table_name string, check_name string, expectation_type string, severity string, success boolean, observed_value string, element_count long, unexpected_count long, kwargs string"
-    more = {"run_id": F.lit("r"), "as_of": F.lit(date(2025, 1, 1)), "column_name": F.lit(None).cast("string"), "unexpected_pct": F.lit(None).cast("double"), "table_snapshot_id": F.lit(None).cast("long")}
-    v = reports.v_dq({"dq_results": spark.createDataFrame(rows, kinds).withColumns(more)})
-    return v.select("pipeline_run", "layer", "check_name", "run_type", "run_label", "category", "near_miss", "actual", "expected", "is_latest")
-
-
 @query("SELECT o_custkey, o_orderkey, CAST(row_number() OVER (PARTITION BY o_custkey ORDER BY o_totalprice DESC, o_orderkey) AS INTEGER) AS ring_rank, CASE WHEN o_custkey = (SELECT max(o_custkey) FROM orders) THEN 1 ELSE 0 END AS is_latest FROM orders")
 def view_ranked(spark, sf_dir):
     o = read(spark, sf_dir, "orders")
     t = o.select(F.col("o_custkey").alias("run_date"), F.col("o_orderkey").alias("ring_id"), F.col("o_totalprice").alias("sum_p_mule_adj"), *[F.lit(1).alias(c) for c in ("ring_size", "accounts_scored", "accounts_alerted", "top_tier", "max_p_mule_adj", "min_hops_to_known_mule", "top_reason_codes")])
     return reports.v_rings({"mule_rings": t}).select(F.col("run_date").alias("o_custkey"), F.col("ring_id").alias("o_orderkey"), "ring_rank", "is_latest")
-
-
-@query()
-def simulated_world(spark, sf_dir):
-    from ..sources import simulate
-
-    return simulate.extracts(simulate.world(spark, 20, days=90), date(2025, 6, 1))["upi_transactions"]
