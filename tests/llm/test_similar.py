@@ -70,6 +70,22 @@ def test_close_fingerprints_that_are_not_alike_stay(spark):
     assert kept(spark, rows) == plain_kept(rows)
 
 
+@pytest.mark.parametrize("block", [1024, 5])
+def test_nodes_that_agree_in_no_run_meet_at_anchors(spark, monkeypatch, block):
+    """Twins differ in a bit of every 16 in turn, so that only anchors of the code bring them together."""
+    monkeypatch.setattr(similar, "SAMPLED", 1)
+    monkeypatch.setattr(similar, "BLOCK", block)
+    rng = np.random.default_rng(7)
+    fps = rng.integers(0, 256, (60, 8 * similar.WORDS64), dtype=np.uint8)
+    twins = fps.copy()
+    for x in twins:
+        for k in range(0, len(x), 2):
+            x[k + rng.integers(2)] ^= 1 << rng.integers(8)
+    rows = [(i, x.tobytes()) for i, x in enumerate(np.concatenate((fps, twins)))]
+    found = similar.candidates(spark.createDataFrame(rows, "node long, fp binary")).distinct().collect()
+    assert {tuple(sorted(r)) for r in found} == {(i, i + 60) for i in range(60)}
+
+
 def test_alike():
     rng = np.random.default_rng(6)
     sets = [np.unique(rng.integers(0, 40, rng.integers(0, 40))).astype("u8") for _ in range(150)]

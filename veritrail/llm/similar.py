@@ -1,8 +1,10 @@
 """Near copies by the Jaccard similarity of their sets of shingles: wide SimHashes find candidates, the sets decide.
 
-Texts with equal sets are one node. A node's fingerprint has 1024 bits, dealt into 64 runs of 16; nodes that agree in a run
-meet there, and those that differ in at most FAR of the first 128 bits are candidates. At a similarity of 0.8 a bit differs
-with 0.15, a run agrees with 0.07, and 99 % of pairs meet in some run. Cells with many nodes are dealt into pairs of blocks.
+Texts with equal sets are one node. A node's fingerprint has 256 bits, dealt into 14 runs of 18. Within a run the anchors are those
+of `simhash`: a node is at home with its nearest anchor and is replicated to all anchors at which a run that differs from its own in
+one bit can be at home. Nodes that meet at an anchor and differ in at most FAR of the first 128 bits are candidates. At a similarity
+of 0.8 a bit differs with 0.15, a pair meets in a run with 0.30, and 99 % of pairs meet in some run. The residents of a busy anchor
+are dealt into blocks, past each of which go all that come there.
 
 Candidates only say which nodes to compare: all pairs of a component of candidates are decided by their sets, and the links
 that hold make the components that count. No task emits more than a spanning forest of the pairs it found.
@@ -22,10 +24,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .base import components, cut, stored
-from .simhash import BLOCK, HEAVY_BROADCAST, PAIRS, first_of_each, forest, shingles
+from .simhash import BLOCK, HEAVY_BROADCAST, PAIRS, anchors, first_of_each, forest, shingles
 
-WORDS64 = 16
-RUNS = 4 * WORDS64
+WORDS64 = 4
+#: Runs of bits, bits of a run, and the bits of a run in which a node is sought from its anchors.
+RUNS, WIDTH, RADIUS = 14, 18, 1
 #: Bits, of the first 128, in which candidates may differ: at a similarity of 0.8 the mean is 19.4 and the deviation 4.1.
 FAR = 34
 #: One node in so many is counted to see which cells are heavy.
@@ -65,20 +68,28 @@ def nodes_of(docs: DataFrame, words: int) -> DataFrame:
     return rows.select("doc_id", "text_hash", "of.*")
 
 
-def place(nodes: DataFrame) -> DataFrame:
-    """(cell, node, f0, f1): each node in the cell of each of its runs, with the first 128 bits."""
+def runs_of(fps: np.ndarray) -> np.ndarray:
+    """The runs of fingerprints (rows of bytes) as numbers, a column a run."""
+    bits = np.unpackbits(fps, axis=1, bitorder="little")[:, : RUNS * WIDTH].reshape(len(fps), RUNS, WIDTH)
+    return bits @ (1 << np.arange(WIDTH, dtype=np.uint64))
+
+
+def place(nodes: DataFrame, residents_only: bool = False) -> DataFrame:
+    """(cell, replica, node, f0, f1): each node at its home of each run, and as a replica at the other anchors within reach, with the first 128 bits."""
 
     def deal(batches):
         for b in batches:
             node, fps = b.column("node").to_numpy(zero_copy_only=False), b.column("fp").to_pylist()
             for k in range(0, len(fps), 2000):
                 own = node[k : k + 2000]
-                fp = np.frombuffer(b"".join(fps[k : k + 2000]), "<u2").reshape(len(own), RUNS)
-                first = np.ascontiguousarray(fp[:, :8]).view(np.int64)
-                cell = (np.arange(RUNS, dtype=np.int64) << 16) | fp.astype(np.int64)
-                yield pa.RecordBatch.from_arrays([pa.array(cell.ravel())] + [pa.array(np.repeat(x, RUNS)) for x in (own, first[:, 0], first[:, 1])], names=["cell", "node", "f0", "f1"])
+                fp = np.frombuffer(b"".join(fps[k : k + 2000]), np.uint8).reshape(len(own), 8 * WORDS64)
+                first = np.ascontiguousarray(fp[:, :16]).view(np.int64)
+                for r, run in enumerate(runs_of(fp).T):
+                    row, anchor = anchors(run, 0, WIDTH, 0 if residents_only else RADIUS)
+                    cell = anchor.astype(np.int64) | (r << WIDTH)
+                    yield pa.RecordBatch.from_arrays([pa.array(cell), pa.array(np.arange(len(row)) >= len(own))] + [pa.array(x[row]) for x in (own, first[:, 0], first[:, 1])], names=["cell", "replica", "node", "f0", "f1"])
 
-    return nodes.select("node", "fp").mapInArrow(deal, "cell long, node long, f0 long, f1 long")
+    return nodes.select("node", "fp").mapInArrow(deal, "cell long, replica boolean, node long, f0 long, f1 long")
 
 
 def dealt(rows: DataFrame, key: str, blocks: DataFrame) -> DataFrame:
@@ -96,19 +107,19 @@ def bounded(df: DataFrame) -> DataFrame:
 
 
 def meet(batches):
-    """For mapInArrow over rows sorted by cell and sub: edges of a spanning forest of the candidates."""
+    """For mapInArrow over rows sorted by cell and sub, residents first: edges of a spanning forest of the candidates."""
 
     def edges(found):
         if found:
             a, b = forest(*(np.concatenate(x) for x in zip(*found, strict=True)))
             yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
 
-    def work(cell, sub, node, f0, f1):
+    def work(cell, sub, replica, node, f0, f1):
         n = len(cell)
         start = np.concatenate(([0], np.nonzero((cell[1:] != cell[:-1]) | (sub[1:] != sub[:-1]))[0] + 1))
         size = np.diff(np.append(start, n))
         end = np.repeat(start + size, size)
-        at, d, found, load = np.arange(n), 1, [], 0
+        at, d, found, load = np.nonzero(~replica)[0], 1, [], 0
         while len(at := at[at + d < end[at]]):
             o = at + d
             near = np.bitwise_count(f0[at] ^ f0[o]) + np.bitwise_count(f1[at] ^ f1[o]) <= FAR
@@ -123,7 +134,7 @@ def meet(batches):
 
     held = None
     for b in batches:
-        rows = [b.column(c).to_numpy(zero_copy_only=False) for c in ("cell", "sub", "node")] + [b.column(c).to_numpy(zero_copy_only=False).view(np.uint64) for c in ("f0", "f1")]
+        rows = [b.column(c).to_numpy(zero_copy_only=False) for c in ("cell", "sub", "replica", "node")] + [b.column(c).to_numpy(zero_copy_only=False).view(np.uint64) for c in ("f0", "f1")]
         if held is not None:
             rows = [np.concatenate(x) for x in zip(held, rows, strict=True)]
         if not len(rows[0]):
@@ -139,10 +150,12 @@ def meet(batches):
 
 def candidates(nodes: DataFrame) -> DataFrame:
     """Edges (a, b) that connect just the nodes that candidate pairs connect."""
-    some = place(nodes.where(F.pmod(F.xxhash64("node"), F.lit(SAMPLED)) == 0)).groupBy("cell").count().where(F.col("count") * SAMPLED > BLOCK)
-    heavy = bounded(some.select(F.col("cell").alias("dealt_key"), F.ceil(F.col("count") * SAMPLED / BLOCK).alias("n_blocks")))
-    rows = dealt(place(nodes), "cell", heavy).select("cell", "sub", "node", "f0", "f1")
-    return rows.repartition(F.col("cell"), F.col("sub")).sortWithinPartitions("cell", "sub").mapInArrow(meet, "a long, b long")
+    some = place(nodes.where(F.pmod(F.xxhash64("node"), F.lit(SAMPLED)) == 0), True).groupBy("cell").count().where(F.col("count") * SAMPLED > BLOCK)
+    heavy = bounded(some.select(F.col("cell").alias("busy"), F.ceil(F.col("count") * SAMPLED / BLOCK).alias("n_blocks")))
+    placed, n = place(nodes).join(heavy, F.col("cell") == F.col("busy"), "left"), F.coalesce("n_blocks", F.lit(1).cast("long"))
+    rows = placed.withColumn("own", F.pmod(F.xxhash64("node", F.lit(1)), n)).withColumn("sub", F.explode(F.sequence(F.lit(0).cast("long"), n - 1)))
+    rows = rows.select("cell", "sub", (F.col("replica") | (F.col("sub") != F.col("own"))).alias("replica"), "node", "f0", "f1")
+    return rows.repartition(F.col("cell"), F.col("sub")).sortWithinPartitions("cell", "sub", "replica").mapInArrow(meet, "a long, b long")
 
 
 def alike(nodes: np.ndarray, sets: list[np.ndarray], least: float) -> tuple[list[int], list[int]]:
