@@ -109,3 +109,22 @@ def test_components_of_a_chain(spark):
     e = spark.createDataFrame([(i, i + 1) for i in range(n)] + [(1000, 1001), (None, 5), (7, 7)], "a long, b long")
     got = {r["node"]: r["component"] for r in components(e).collect()}
     assert got == {**dict.fromkeys(range(n + 1), 0), 1000: 1000, 1001: 1000}
+
+
+def test_components_run_in_as_many_tasks_as_edges_need(spark):
+    """The driver keeps account of each task: a small graph is not dealt to all shuffle partitions in each step of each round."""
+    partitions, sc = 32, spark.sparkContext
+    before = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled")}
+    try:
+        spark.conf.set("spark.sql.shuffle.partitions", partitions)
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+        sc.setJobGroup("components", "components")
+        got = components(spark.createDataFrame([(i, i + 1) for i in range(12)], "a long, b long")).collect()
+    finally:
+        sc.setJobGroup("", "")
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert {r["component"] for r in got} == {0} and len(got) == 13
+    of = sc.statusTracker()
+    tasks = sum(s.numCompletedTasks for j in of.getJobIdsForGroup("components") for i in of.getJobInfo(j).stageIds if (s := of.getStageInfo(i)))
+    assert tasks < 40 * partitions

@@ -110,26 +110,33 @@ def kept(token: str, make: Callable):
 LETTERS = re.compile(r"[^\W\d_]+")
 
 
+#: Edges that one task takes in a round of `components`.
+EDGES = 250_000
+
+
 def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
     """(node, component) for every node of the edges (a, b); component is the smallest node that it reaches.
 
     Alternating large-star and small-star steps; each joins a node's edges with the minimum of its
-    neighbourhood, so that no task gathers a neighbourhood. Every round ends in a checkpoint, and a
-    fingerprint of the edge set tells whether it still changes. Null nodes and loops are left out."""
+    neighbourhood, so that no task gathers a neighbourhood. Every round ends in a checkpoint; the last one leaves
+    stars: each node has one edge, to a node that is the larger end of none. Steps run in as many tasks as the
+    edges need, as the driver keeps account of each task. Null nodes and loops are left out."""
     now = edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a > b").distinct()
-    now, mark = cut(now), None
+    now = cut(now)
+    tasks = max(2 * now.sparkSession.sparkContext.defaultParallelism, -(-now.count() // EDGES))  # no step adds edges
+    now = now.coalesce(tasks)
     for _ in range(rounds):
-        found = now.agg(F.count("*").alias("n"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")).alias("h")).first()
-        if found["n"] == 0 or (found["n"], found["h"]) == mark:
+        ends = now.select(F.col("a").alias("v"), F.lit(1).alias("up"), F.lit(0).alias("down")).union(now.select("b", F.lit(0), F.lit(1)))
+        ends = ends.groupBy("v").agg(F.sum("up").alias("up"), F.max("down").alias("down")).coalesce(tasks)
+        if not ends.agg(F.count_if(F.expr("up > 1 or up > 0 and down > 0"))).first()[0]:
             break
-        mark = (found["n"], found["h"])
         both = now.union(now.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy("a").agg(F.min("b").alias("m")).select(F.col("a").alias("k"), F.least("a", "m").alias("m"))
-        large = both.join(least, F.col("a") == F.col("k")).where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a > b").distinct()
+        large = both.join(least, F.col("a") == F.col("k")).where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a > b").coalesce(tasks).distinct().coalesce(tasks)
         least = large.groupBy("a").agg(F.min("b").alias("m")).withColumnRenamed("a", "k")
         small = large.join(least, F.col("a") == F.col("k"))
-        small = small.select(F.col("b").alias("a"), F.col("m").alias("b")).union(least.select("k", "m")).where("a > b").distinct()
-        now = cut(small)
+        small = small.select(F.col("b").alias("a"), F.col("m").alias("b")).coalesce(tasks).union(least.select("k", "m").coalesce(tasks)).where("a > b").distinct()
+        now = cut(small.coalesce(tasks))
     else:
         raise RuntimeError(f"components: no fixed point after {rounds} rounds")
     return now.select(F.col("a").alias("node"), F.col("b").alias("component")).union(now.select("b", "b").distinct())
