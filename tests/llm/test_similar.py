@@ -86,6 +86,58 @@ def test_nodes_that_agree_in_no_run_meet_at_anchors(spark, monkeypatch, block):
     assert {tuple(sorted(r)) for r in found} == {(i, i + 60) for i in range(60)}
 
 
+def group_of(rng, nodes):
+    """Fingerprints of a large group: a bit of them differs from a common one with 0.06."""
+    return rng.integers(0, 2, 256, dtype=np.uint8) ^ (rng.random((nodes, 256)) < 0.06).astype(np.uint8)
+
+
+def connected(pairs):
+    """The smallest node that each node reaches."""
+    label = {x: x for p in pairs for x in p}
+    while True:
+        new = dict(label)
+        for a, b in pairs:
+            new[a] = new[b] = min(new[a], new[b])
+        if new == label:
+            return label
+        label = new
+
+
+def test_a_large_group_takes_rows_in_proportion(spark, monkeypatch):
+    """Cells of many blocks: what a group brings forth grows with its nodes, not with nodes by blocks."""
+    monkeypatch.setattr(similar, "SAMPLED", 1)
+    monkeypatch.setattr(similar, "BLOCK", 10)
+    rows = {}
+    for n in (100, 400):
+        fps = np.packbits(group_of(np.random.default_rng(8), n), axis=1, bitorder="little")
+        found = similar.candidates(spark.createDataFrame([(i, x.tobytes()) for i, x in enumerate(fps)], "node long, fp binary")).collect()
+        assert connected(found) == dict.fromkeys(range(n), 0)
+        rows[n] = len(found)
+    assert rows[400] <= 6 * rows[100] and rows[400] <= 15 * 400
+
+
+@pytest.mark.parametrize("reach", [0, 1, 8])
+def test_labels_leave_out_no_pair(spark, monkeypatch, reach):
+    """Two groups that share heavy cells, and nodes of which some are near one, against all pairs that meet at an anchor."""
+    monkeypatch.setattr(similar, "SAMPLED", 1)
+    monkeypatch.setattr(similar, "BLOCK", 6)
+    monkeypatch.setattr(similar, "REACH", reach)
+    rng = np.random.default_rng(9)
+    bits = group_of(rng, 140)
+    bits[60:100] ^= np.arange(256) >= 36
+    bits[100:] ^= rng.random((40, 256)) < 0.22
+    fps = np.packbits(bits, axis=1, bitorder="little")
+    at = {}
+    for r, run in enumerate(similar.runs_of(fps).T):
+        row, anchor = simhash.anchors(run, 0, similar.WIDTH, similar.RADIUS)
+        for k, (i, c) in enumerate(zip(row.tolist(), anchor.tolist(), strict=True)):
+            at.setdefault((r, c), ([], []))[k >= len(fps)].append(i)
+    far = (bits[:, None, :128] != bits[None, :, :128]).sum(2)
+    want = {(i, j) for home, more in at.values() for i in home for j in home + more if i != j and far[i, j] <= similar.FAR}
+    found = similar.candidates(spark.createDataFrame([(i, x.tobytes()) for i, x in enumerate(fps)], "node long, fp binary")).collect()
+    assert set(connected(want).values()) == {0, 60} and connected(found) == connected(want)
+
+
 def test_alike():
     rng = np.random.default_rng(6)
     sets = [np.unique(rng.integers(0, 40, rng.integers(0, 40))).astype("u8") for _ in range(150)]

@@ -3,8 +3,13 @@
 Texts with equal sets are one node. A node's fingerprint has 256 bits, dealt into 14 runs of 18. Within a run the anchors are those
 of `simhash`: a node is at home with its nearest anchor and is replicated to all anchors at which a run that differs from its own in
 one bit can be at home. Nodes that meet at an anchor and differ in at most FAR of the first 128 bits are candidates. At a similarity
-of 0.8 a bit differs with 0.15, a pair meets in a run with 0.30, and 99 % of pairs meet in some run. The residents of a busy anchor
-are dealt into blocks, past each of which go all that come there.
+of 0.8 a bit differs with 0.15, a pair meets in a run with 0.30, and 99 % of pairs meet in some run.
+
+Nodes are labelled before all of this is done: at home alone each is compared with a few others, and the components of what is near are
+the labels. Then only nodes of different labels need to meet, and what they tell is an edge between labels. The residents of a busy anchor
+are dealt into blocks, those of a large label into blocks of its own, and all that come there go past each block but those of
+their own label. So a group under one label costs rows in proportion to its nodes; large labels that share a cell and are not alike still go
+past each other's blocks. No pair of different labels is left out.
 
 Candidates only say which nodes to compare: all pairs of a component of candidates are decided by their sets, and the links
 that hold make the components that count. No task emits more than a spanning forest of the pairs it found.
@@ -31,6 +36,8 @@ WORDS64 = 4
 RUNS, WIDTH, RADIUS = 14, 18, 1
 #: Bits, of the first 128, in which candidates may differ: at a similarity of 0.8 the mean is 19.4 and the deviation 4.1.
 FAR = 34
+#: Rows after its own, and at the start of its block, with which a node is compared before there are labels.
+REACH = 8
 #: One node in so many is counted to see which cells are heavy.
 SAMPLED = 16
 #: Nodes and shingles of a block whose pairs one task decides.
@@ -75,21 +82,21 @@ def runs_of(fps: np.ndarray) -> np.ndarray:
 
 
 def place(nodes: DataFrame, residents_only: bool = False) -> DataFrame:
-    """(cell, replica, node, f0, f1): each node at its home of each run, and as a replica at the other anchors within reach, with the first 128 bits."""
+    """(cell, replica, node, label, f0, f1): each node at its home of each run, and as a replica at the other anchors within reach, with the first 128 bits."""
 
     def deal(batches):
         for b in batches:
-            node, fps = b.column("node").to_numpy(zero_copy_only=False), b.column("fp").to_pylist()
+            names, fps = [b.column(c).to_numpy(zero_copy_only=False) for c in ("node", "label")], b.column("fp").to_pylist()
             for k in range(0, len(fps), 2000):
-                own = node[k : k + 2000]
+                own, label = (x[k : k + 2000] for x in names)
                 fp = np.frombuffer(b"".join(fps[k : k + 2000]), np.uint8).reshape(len(own), 8 * WORDS64)
                 first = np.ascontiguousarray(fp[:, :16]).view(np.int64)
                 for r, run in enumerate(runs_of(fp).T):
                     row, anchor = anchors(run, 0, WIDTH, 0 if residents_only else RADIUS)
                     cell = anchor.astype(np.int64) | (r << WIDTH)
-                    yield pa.RecordBatch.from_arrays([pa.array(cell), pa.array(np.arange(len(row)) >= len(own))] + [pa.array(x[row]) for x in (own, first[:, 0], first[:, 1])], names=["cell", "replica", "node", "f0", "f1"])
+                    yield pa.RecordBatch.from_arrays([pa.array(cell), pa.array(np.arange(len(row)) >= len(own))] + [pa.array(x[row]) for x in (own, label, first[:, 0], first[:, 1])], names=["cell", "replica", "node", "label", "f0", "f1"])
 
-    return nodes.select("node", "fp").mapInArrow(deal, "cell long, replica boolean, node long, f0 long, f1 long")
+    return nodes.select("node", "label", "fp").mapInArrow(deal, "cell long, replica boolean, node long, label long, f0 long, f1 long")
 
 
 def dealt(rows: DataFrame, key: str, blocks: DataFrame) -> DataFrame:
@@ -106,56 +113,100 @@ def bounded(df: DataFrame) -> DataFrame:
     return F.broadcast(df) if df.count() <= HEAVY_BROADCAST else df
 
 
-def meet(batches):
-    """For mapInArrow over rows sorted by cell and sub, residents first: edges of a spanning forest of the candidates."""
+def meet(reach: int):
+    """A function for mapInArrow over rows sorted by cell and sub, residents first: edges of a spanning forest of the candidates of different labels.
+
+    A resident is compared with all rows after it that are within `reach` of it, or it within `reach` of the start of its block."""
 
     def edges(found):
         if found:
             a, b = forest(*(np.concatenate(x) for x in zip(*found, strict=True)))
             yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
 
-    def work(cell, sub, replica, node, f0, f1):
+    def pairs(cell, sub, replica, label, f0, f1):
         n = len(cell)
         start = np.concatenate(([0], np.nonzero((cell[1:] != cell[:-1]) | (sub[1:] != sub[:-1]))[0] + 1))
         size = np.diff(np.append(start, n))
-        end = np.repeat(start + size, size)
-        at, d, found, load = np.nonzero(~replica)[0], 1, [], 0
-        while len(at := at[at + d < end[at]]):
+        first, end = np.repeat(start, size), np.repeat(start + size, size)
+        at, d = np.nonzero(~replica)[0], 1
+        while len(at := at[(at + d < end[at]) & ((d <= reach) | (at - first[at] < reach))]):
             o = at + d
-            near = np.bitwise_count(f0[at] ^ f0[o]) + np.bitwise_count(f1[at] ^ f1[o]) <= FAR
+            near = (np.bitwise_count(f0[at] ^ f0[o]) + np.bitwise_count(f1[at] ^ f1[o]) <= FAR) & (label[at] != label[o])
             if near.any():
-                found.append((node[at[near]], node[o[near]]))
-                load += len(found[-1][0])
-            if load > PAIRS:
-                yield from edges(found)
-                found, load = [], 0
+                yield label[at[near]], label[o[near]]
             d += 1
-        yield from edges(found)
 
-    held = None
-    for b in batches:
-        rows = [b.column(c).to_numpy(zero_copy_only=False) for c in ("cell", "sub", "replica", "node")] + [b.column(c).to_numpy(zero_copy_only=False).view(np.uint64) for c in ("f0", "f1")]
+    def blocks(batches):
+        """The rows in runs of whole blocks."""
+        held = None
+        for b in batches:
+            rows = [b.column(c).to_numpy(zero_copy_only=False) for c in ("cell", "sub", "replica", "label")] + [b.column(c).to_numpy(zero_copy_only=False).view(np.uint64) for c in ("f0", "f1")]
+            if held is not None:
+                rows = [np.concatenate(x) for x in zip(held, rows, strict=True)]
+            if not len(rows[0]):
+                continue
+            new = np.nonzero((rows[0][1:] != rows[0][:-1]) | (rows[1][1:] != rows[1][:-1]))[0] + 1
+            last = int(new[-1]) if len(new) else 0
+            if last:
+                yield [x[:last] for x in rows]
+            held = [x[last:] for x in rows]
         if held is not None:
-            rows = [np.concatenate(x) for x in zip(held, rows, strict=True)]
-        if not len(rows[0]):
-            continue
-        new = np.nonzero((rows[0][1:] != rows[0][:-1]) | (rows[1][1:] != rows[1][:-1]))[0] + 1
-        last = int(new[-1]) if len(new) else 0
-        if last:
-            yield from work(*(x[:last] for x in rows))
-        held = [x[last:] for x in rows]
-    if held is not None:
-        yield from work(*held)
+            yield held
+
+    def run(batches):
+        found, load = [], 0
+        for rows in blocks(batches):
+            for pair in pairs(*rows):
+                found.append(pair)
+                load += len(pair[0])
+                if load > PAIRS:
+                    yield from edges(found)
+                    found, load = [], 0
+        yield from edges(found)
+
+    return run
+
+
+def met(rows: DataFrame, reach: int) -> DataFrame:
+    """Edges (a, b) between the labels of rows (cell, sub, replica, label, f0, f1) that `meet` finds."""
+    return rows.repartition(F.col("cell"), F.col("sub")).sortWithinPartitions("cell", "sub", "replica").mapInArrow(meet(reach), "a long, b long")
+
+
+def sampled(nodes: DataFrame) -> DataFrame:
+    """One node in SAMPLED at its homes."""
+    return place(nodes.where(F.pmod(F.xxhash64("node"), F.lit(SAMPLED)) == 0), True)
+
+
+def labelled(nodes: DataFrame) -> DataFrame:
+    """(node, label, fp): nodes of a label are connected by candidate pairs, if not all that are have one label.
+
+    Heavy cells are dealt out, in each run of bits anew."""
+    heavy = sampled(nodes).groupBy(F.col("cell").alias("busy")).agg((F.count("*") * SAMPLED).alias("many")).where(F.col("many") > BLOCK)
+    heavy = bounded(heavy.select("busy", F.ceil(F.col("many") / BLOCK).alias("n_blocks")))
+    rows = place(nodes, True).join(heavy, F.col("cell") == F.col("busy"), "left")
+    sub = F.pmod(F.xxhash64("node", "cell"), F.coalesce("n_blocks", F.lit(1).cast("long")))
+    found = components(met(rows.select("cell", sub.alias("sub"), "replica", "label", "f0", "f1"), REACH)).withColumnRenamed("node", "_node")
+    return nodes.join(found, F.col("node") == F.col("_node"), "left").select("node", F.coalesce("component", "node").alias("label"), "fp")
 
 
 def candidates(nodes: DataFrame) -> DataFrame:
     """Edges (a, b) that connect just the nodes that candidate pairs connect."""
-    some = place(nodes.where(F.pmod(F.xxhash64("node"), F.lit(SAMPLED)) == 0), True).groupBy("cell").count().where(F.col("count") * SAMPLED > BLOCK)
-    heavy = bounded(some.select(F.col("cell").alias("busy"), F.ceil(F.col("count") * SAMPLED / BLOCK).alias("n_blocks")))
-    placed, n = place(nodes).join(heavy, F.col("cell") == F.col("busy"), "left"), F.coalesce("n_blocks", F.lit(1).cast("long"))
-    rows = placed.withColumn("own", F.pmod(F.xxhash64("node", F.lit(1)), n)).withColumn("sub", F.explode(F.sequence(F.lit(0).cast("long"), n - 1)))
-    rows = rows.select("cell", "sub", (F.col("replica") | (F.col("sub") != F.col("own"))).alias("replica"), "node", "f0", "f1")
-    return rows.repartition(F.col("cell"), F.col("sub")).sortWithinPartitions("cell", "sub", "replica").mapInArrow(meet, "a long, b long")
+    nodes = cut(labelled(cut(nodes.select("node", F.col("node").alias("label"), "fp"))))
+    seen = sampled(nodes).groupBy("cell", "label").agg((F.count("*") * SAMPLED).alias("many"))
+    large = F.collect_list(F.when(F.col("many") > BLOCK, F.struct("label", F.ceil(F.col("many") / BLOCK).alias("n")))).alias("large")
+    rest = F.coalesce(F.sum(F.when(F.col("many") <= BLOCK, F.col("many"))), F.lit(0))
+    heavy = seen.groupBy(F.col("cell").alias("busy")).agg(F.sum("many").alias("all"), F.greatest(F.ceil(rest / BLOCK), F.lit(1).cast("long")).alias("n_mixed"), large).where(F.col("all") > BLOCK)
+    rows = place(nodes).join(bounded(heavy.drop("all")), F.col("cell") == F.col("busy"), "left")
+    zero, one, spread = F.lit(0).cast("long"), F.lit(1).cast("long"), F.xxhash64("node", "cell")
+    n_own = F.get(F.filter("large", lambda x: x["label"] == F.col("label")), F.lit(0))["n"]
+    own = F.when(n_own.isNotNull(), F.xxhash64("label", F.pmod(spread, n_own) + one)).otherwise(F.pmod(spread, F.col("n_mixed")))
+    own = F.when(F.col("busy").isNull(), zero).otherwise(own)
+    others = F.transform(F.filter("large", lambda x: x["label"] != F.col("label")), lambda x: F.transform(F.sequence(one, x["n"]), lambda j: F.xxhash64(x["label"], j)))
+    past = F.concat(F.sequence(zero, F.col("n_mixed") - one), F.flatten(others))
+    past = F.when(F.col("busy").isNull(), F.array(zero)).when(F.col("replica"), past).otherwise(F.array_union(past, F.array(own)))
+    rows = rows.select("cell", F.explode(past).alias("sub"), F.when(~F.col("replica"), own).alias("own"), "label", "f0", "f1")
+    rows = rows.select("cell", "sub", F.coalesce(F.col("sub") != F.col("own"), F.lit(True)).alias("replica"), "label", "f0", "f1")
+    return met(rows, 1 << 40).unionByName(nodes.select(F.col("node").alias("a"), F.col("label").alias("b")).where("a != b"))
 
 
 def alike(nodes: np.ndarray, sets: list[np.ndarray], least: float) -> tuple[list[int], list[int]]:
